@@ -163,7 +163,10 @@ def topk(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
     """
     k = corpus.config.topk
     scored = materialize(score(corpus, queries), "bm25-scores")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "received", "case_id")
+    # Equal documents must tie however their sums were ordered.
+    order = Window.partitionBy("query_id").orderBy(
+        F.round("score", 9).desc(), "received", "case_id"
+    )
     best = (
         scored.unionByName(_zero_fill(corpus, queries, scored))
         .withColumn("place", F.row_number().over(order))

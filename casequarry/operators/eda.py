@@ -140,13 +140,27 @@ def monthly_counts(rows: DataFrame, date_col: str = "received") -> DataFrame:
     )
 
 
+def months_of(counts: DataFrame) -> DataFrame:
+    """Rows per ``YYYY-MM`` from the counted days."""
+    return (
+        counts.where((F.col("facet") == "day") & F.col("value").isNotNull())
+        .groupBy(F.substring("value", 1, 7).alias("month"))
+        .agg(F.sum("n").alias("n"))
+        .orderBy("month")
+    )
+
+
 def length_histogram(cases: DataFrame, bins: int = 50) -> DataFrame:
-    """Word lengths clipped at the 99th percentile, in equal bins; the last bin is closed.
+    """Word lengths clipped at the 99th percentile, in equal bins; the last bin is closed."""
+    return histogram_of(value_counts(cases, words=word_count(F.col("text"))), bins)
+
+
+def histogram_of(counts: DataFrame, bins: int = 50) -> DataFrame:
+    """Histogram of the counted word lengths.
 
-    Works on counted lengths: one row per distinct length after the first shuffle. Empty bins
-    are listed with zero.
+    The windows see one row per distinct length. Empty bins are listed with zero.
     """
-    lengths = value_counts(cases, words=word_count(F.col("text"))).select(
+    lengths = counts.where(F.col("facet") == "words").select(
         F.col("value").cast("long").alias("words"), "n"
     )
     whole = Window.partitionBy()
@@ -194,8 +208,9 @@ def report(counts: DataFrame, top: int = 10) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("facet") == "issue", F.col("coverage"))), F.lit(0.0)).alias("issues"),
         F.coalesce(F.max(F.when(F.col("facet") == "product", F.col("coverage"))), F.lit(0.0)).alias("products"),
     )
-    keyed = summary(counts).withColumn("one", F.lit(1)).join(shares.withColumn("one", F.lit(1)), "one")
-    return render(keyed)
+    # Two one-row tables side by side.
+    both = summary(counts).unionByName(shares, allowMissingColumns=True)
+    return render(both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns]))
 
 
 def render(facts: DataFrame) -> DataFrame:

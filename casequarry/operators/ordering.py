@@ -6,16 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def part_offsets(rows: DataFrame, part: Column, weight: Column) -> DataFrame:
+def part_offsets(rows: DataFrame, part: Column, weight: Column, **extra: Column) -> DataFrame:
     """Per part: the weight of all earlier parts, and the weight of the whole table.
 
-    One row per task of the previous stage, so the single-task window here sees no data rows.
+    One row per task or file of the previous stage, so the single-task window here sees no data
+    rows. ``extra`` are further aggregates per part.
     """
-    parts = rows.groupBy(part.alias("part")).agg(F.sum(weight).cast("long").alias("weight"))
+    parts = rows.groupBy(part.alias("part")).agg(
+        F.sum(weight).cast("long").alias("weight"), *[c.alias(name) for name, c in extra.items()]
+    )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     return parts.select(
         "part",
+        *extra,
         F.coalesce(F.sum("weight").over(before), F.lit(0)).cast("long").alias("offset"),
         F.sum("weight").over(everything).cast("long").alias("total"),
     )
