@@ -74,7 +74,8 @@ def month_of(col: Column) -> Column:
 
 def decimals_or_na(col: Column, digits: int) -> Column:
     """Half-even rounding to a fixed number of decimals; ``NA`` for null."""
-    return F.coalesce(F.format_string(f"%.{digits}f", F.bround(col, digits)), F.lit("NA"))
+    shown = F.format_string(f"%.{digits}f", F.bround(col, digits))
+    return F.when(col.isNotNull(), shown).otherwise("NA")
 
 
 def double_or_null(col: Column) -> Column:
