@@ -68,7 +68,10 @@ def nearest_cells(centroids: np.ndarray, count: int, embedding: Column, spark) -
 
 
 def fit_centroids(vectors: DataFrame, config: IvfConfig) -> np.ndarray:
-    """Spherical k-means on a sample of fixed expected size, picked by id."""
+    """Spherical k-means on at most about ``train_samples`` distinct vectors, picked by hash.
+
+    Copies count once, or a large group of copies would take most of the starting points.
+    """
     n = vectors.count()
     if n == 0:
         raise ValueError("no vectors to index")
@@ -76,9 +79,10 @@ def fit_centroids(vectors: DataFrame, config: IvfConfig) -> np.ndarray:
     sample = vectors
     if n > config.train_samples:
         buckets = 1 << 30
-        kept = F.pmod(F.xxhash64("pos"), F.lit(buckets)) < int(config.train_samples / n * buckets)
+        kept = F.pmod(F.xxhash64("embedding"), F.lit(buckets)) < int(config.train_samples / n * buckets)
         sample = vectors.where(kept)
-    points = sample.select(array_to_vector("embedding").alias("features"))
+    points = sample.select("embedding").distinct()
+    points = points.select(array_to_vector("embedding").alias("features"))
     if n_cells == 1:
         centers = np.array([np.ones(len(vectors.first()["embedding"]))])
     else:

@@ -342,14 +342,14 @@ def _split_vectors(spark, sf_dir):
 
 
 def _vector_rows(spark, sf_dir):
-    """The vectors' cases with the text of the document of the same number."""
+    """The vectors' cases with the text of the document of the same number, if there is one."""
     texts = samples.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ingest_pos"), "text"
     )
     cases = _split_vectors(spark, sf_dir).select(
         F.col("pos").alias("ingest_pos"), "case_id", "split", "issue"
     )
-    return cases.join(texts, "ingest_pos")
+    return cases.join(texts, "ingest_pos", "left").na.fill({"text": ""})
 
 
 def _evidence(spark, sf_dir, nprobe=None):

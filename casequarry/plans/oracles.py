@@ -271,14 +271,13 @@ pairs AS (
   SELECT q.case_id AS query_id, q.split AS query_split, t.vec_id AS hit_pos, t.case_id AS hit_id, t.issue AS hit_issue,
          list_dot_product(q.embedding, t.embedding) / (sqrt(list_dot_product(q.embedding, q.embedding))
            * sqrt(list_dot_product(t.embedding, t.embedding))) AS sim
-  FROM splits q JOIN splits t ON t.split = 'train' AND NOT (q.split = 'train' AND q.case_id = t.case_id)
-  WHERE t.vec_id IN (SELECT doc_id FROM texts)),
+  FROM splits q JOIN splits t ON t.split = 'train' AND NOT (q.split = 'train' AND q.case_id = t.case_id)),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, hit_pos) AS place FROM pairs),
 evidence AS (
   SELECT query_id, query_split, cast(place AS integer) AS rank, hit_id, hit_issue, sim AS cosine_similarity,
-         {shorten('flat', 350)} AS hit_snippet
-  FROM placed JOIN texts ON doc_id = hit_pos WHERE place <= 3)"""
+         coalesce({shorten('flat', 350)}, '') AS hit_snippet
+  FROM placed LEFT JOIN texts ON doc_id = hit_pos WHERE place <= 3)"""
 
 ORACLES["ivf_full_probe"] = f"""
 {EVIDENCE}
@@ -304,9 +303,9 @@ ORACLES["augmented_text"] = f"""
 lines AS (
   SELECT query_id, string_agg(format('Similar case {{}}. Issue: {{}}. Narrative: {{}}', rank, hit_issue, hit_snippet),
          chr(10) ORDER BY rank) AS hits FROM evidence GROUP BY 1)
-SELECT s.case_id, s.split, 'Query narrative: ' || d.text || chr(10) || chr(10) || 'Retrieved evidence:' || chr(10)
+SELECT s.case_id, s.split, 'Query narrative: ' || coalesce(d.text, '') || chr(10) || chr(10) || 'Retrieved evidence:' || chr(10)
        || coalesce(hits, '') AS augmented_text
-FROM splits s JOIN documents d ON d.doc_id = s.vec_id LEFT JOIN lines ON query_id = s.case_id"""
+FROM splits s LEFT JOIN documents d ON d.doc_id = s.vec_id LEFT JOIN lines ON query_id = s.case_id"""
 
 PREDICTIONS = """
 preds AS (
