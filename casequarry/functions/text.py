@@ -99,7 +99,7 @@ def with_bag(rows: DataFrame, terms: Column, out: str = "bag") -> DataFrame:
         F.slice(begin, 2, F.size(begin)), F.slice(F.array(F.size(term_at)), 1, F.size(begin))
     )
     return (
-        rows.withColumn("__terms", F.array_sort(terms))
+        rows.withColumn("__terms", F.sort_array(terms))
         .withColumn(
             "__begin",
             F.filter(

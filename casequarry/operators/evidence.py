@@ -66,16 +66,15 @@ def collect_evidence(
         F.col("issue").alias("hit_issue"),
         shorten(F.col("text"), snippet_chars).alias("hit_snippet"),
     )
-    train = F.col("split") == "train"
-    hits = ivf.search(index, vectors.where(train), known, nprobe, drop_self=True).unionByName(
-        ivf.search(index, vectors.where(~train), known, nprobe)
-    )
     asked = vectors.select(
-        F.col("pos").alias("query_pos"),
+        "pos",
+        "embedding",
+        F.when(F.col("split") == "train", F.col("case_id")).alias("own_id"),
         F.col("case_id").alias("query_id"),
         F.col("split").alias("query_split"),
     )
-    return hits.join(asked, "query_pos").select("query_pos", *EVIDENCE.fieldNames())
+    hits = ivf.search(index, asked, known, nprobe)
+    return hits.select("query_pos", *EVIDENCE.fieldNames())
 
 
 def augment(rows: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casequarry.functions.vectors import l2_norm
 from casequarry.storage import materialize
@@ -59,7 +60,7 @@ def nearest_cells(centroids: np.ndarray, count: int, embedding: Column, spark) -
     def search(vectors: pd.Series) -> pd.Series:
         if vectors.empty:
             return pd.Series([], dtype=object)
-        sims = np.stack(vectors.to_numpy()).astype(np.float64) @ shared.value.T
+        sims = _matrix(vectors) @ shared.value.T
         near = np.argpartition(-sims, count - 1, axis=1)[:, :count]
         order = np.argsort(-np.take_along_axis(sims, near, axis=1), axis=1, kind="stable")
         return pd.Series(list(np.take_along_axis(near, order, axis=1).astype(np.int32)))
@@ -160,23 +161,24 @@ def _numbers_below(limit: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), limit - 1))
 
 
-def candidates(index: IvfIndex, queries: DataFrame, nprobe: int, drop_self: bool) -> DataFrame:
-    """``(query_pos, sim, members, first_pos)``: the best distinct vectors per query and block.
+def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
+    """The best distinct vectors per query and block.
 
-    Queries meet the cells they probe in a grid of blocks, so neither a large cell nor a popular
-    one becomes a large task. A block compares by one matrix product and returns ``topk`` rows per
-    query. With ``drop_self`` a vector that only the query's own id has is no candidate.
+    Columns are those of the query without its vector, and ``sim, members, first_pos`` of what was
+    found. Queries meet the cells they probe in a grid of blocks, so neither a large cell nor a
+    popular one becomes a large task. A block compares by one matrix product and returns a bounded
+    number of rows per query. A vector that only ``own_id`` has is no candidate.
     """
     cfg = index.config
     spark = queries.sparkSession
     probed = materialize(
-        with_direction(queries.select("pos", "case_id", "embedding")).withColumn(
+        with_direction(queries).withColumn(
             "probes", nearest_cells(index.centroids, nprobe, F.col("embedding"), spark)
         ),
         "ivf-queries",
     )
     # One row per cell, so at most nlist rows.
-    query_blocks = materialize(
+    grid = materialize(
         probed.select(F.explode("probes").alias("cell"))
         .groupBy("cell")
         .agg(
@@ -185,15 +187,15 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int, drop_self: bool
         .join(F.broadcast(index.blocks_per_cell), "cell"),
         "ivf-grid",
     )
+    carried = [f for f in queries.schema.fields if f.name != "embedding"]
+    names = [f.name for f in carried]
     left = (
-        probed.select("pos", "case_id", "embedding", F.explode("probes").alias("cell"))
-        .join(F.broadcast(query_blocks), "cell")
+        probed.select(*names, "embedding", F.explode("probes").alias("cell"))
+        .join(F.broadcast(grid), "cell")
         .withColumn("query_block", F.pmod(F.xxhash64("pos"), F.col("query_blocks")).cast("int"))
-        .select(
-            "cell", "query_block", _numbers_below(F.col("blocks")).alias("block"), "pos", "case_id", "embedding"
-        )
+        .select("cell", "query_block", _numbers_below(F.col("blocks")).alias("block"), *names, "embedding")
     )
-    right = index.cells.join(F.broadcast(query_blocks.drop("blocks")), "cell").select(
+    right = index.cells.join(F.broadcast(grid.drop("blocks")), "cell").select(
         "cell",
         _numbers_below(F.col("query_blocks")).alias("query_block"),
         "block",
@@ -202,81 +204,80 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int, drop_self: bool
         "first_pos",
         "owner",
     )
-    # One more than asked: a shared vector may lose its first row to the query's own id.
-    k = cfg.topk + 1 if drop_self else cfg.topk
     keys = ["cell", "query_block", "block"]
+    wanted = _vectors_per_query(index)
+    schema = T.StructType(
+        [
+            *carried,
+            T.StructField("sim", T.DoubleType()),
+            T.StructField("members", T.ArrayType(T.LongType())),
+            T.StructField("first_pos", T.LongType()),
+        ]
+    )
 
     def compare(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or stored.empty:
-            return pd.DataFrame({"query_pos": [], "sim": [], "members": [], "first_pos": []})
+            return pd.DataFrame({name: [] for name in schema.names})
         asked = asked.reset_index(drop=True)
         stored = stored.sort_values("first_pos").reset_index(drop=True)
-        sims = np.stack(asked["embedding"]).astype(np.float64) @ np.stack(stored["embedding"]).astype(np.float64).T
-        if drop_self:
-            own = pd.merge(
-                asked[["case_id"]].rename_axis("q").reset_index(),
-                stored[["owner"]].dropna().rename_axis("v").reset_index(),
-                left_on="case_id",
-                right_on="owner",
-            )
-            sims[own["q"], own["v"]] = -np.inf
-        width = min(k, sims.shape[1])
+        sims = _matrix(asked["embedding"]) @ _matrix(stored["embedding"]).T
+        own = pd.merge(
+            asked[["own_id"]].dropna().rename_axis("q").reset_index(),
+            stored[["owner"]].dropna().rename_axis("v").reset_index(),
+            left_on="own_id",
+            right_on="owner",
+        )
+        sims[own["q"], own["v"]] = -np.inf
+        width = min(wanted, sims.shape[1])
         bound = np.partition(sims, -width, axis=1)[:, -width]
         q, v = np.nonzero((sims >= bound[:, None]) & np.isfinite(sims))
         value = sims[q, v]
         # Highest similarity first; ties in position order, which is the order of the columns.
         order = np.lexsort((v, -value, q))
         q, v, value = q[order], v[order], value[order]
-        first = np.searchsorted(q, np.arange(len(asked)))
-        best = np.arange(len(q)) - first[q] < k
+        best = np.arange(len(q)) - np.searchsorted(q, np.arange(len(asked)))[q] < wanted
         q, v, value = q[best], v[best], value[best]
-        return pd.DataFrame(
-            {
-                "query_pos": asked["pos"].to_numpy()[q],
-                "sim": value,
-                "members": stored["members"].to_numpy()[v],
-                "first_pos": stored["first_pos"].to_numpy()[v],
-            }
+        found = asked[names].iloc[q].reset_index(drop=True)
+        return found.assign(
+            sim=value,
+            members=stored["members"].to_numpy()[v],
+            first_pos=stored["first_pos"].to_numpy()[v],
         )
 
-    return (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(compare, "query_pos long, sim double, members array<long>, first_pos long")
-    )
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, schema)
 
 
-def search(
-    index: IvfIndex,
-    queries: DataFrame,
-    train: DataFrame,
-    nprobe: int | None = None,
-    drop_self: bool = False,
-) -> DataFrame:
-    """``(query_pos, rank, hit_pos, cosine_similarity)`` and the columns of ``train`` at the hit.
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
 
-    ``queries`` are ``(pos, case_id, embedding)`` rows, ``train`` has ``pos, case_id`` and what is
-    to be known about a hit. Ties go to the earlier position. A query whose cells hold too few
-    vectors gets fewer hits.
+
+def _vectors_per_query(index: IvfIndex) -> int:
+    """One more than the hits: a shared vector may lose its first row to the query's own id."""
+    return index.config.topk + 1
+
+
+def search(index: IvfIndex, queries: DataFrame, train: DataFrame, nprobe: int | None = None) -> DataFrame:
+    """Hits with ``rank, hit_pos, hit_id, cosine_similarity``, and the columns of both sides.
+
+    ``queries`` need ``pos, own_id, embedding``; a hit never has the id ``own_id``, which is null
+    where any id may be found. ``train`` has ``pos, case_id`` and what is to be known about a hit.
+    Ties go to the earlier position. A query whose cells hold too few vectors gets fewer hits.
     """
-    k = index.config.topk
-    found = candidates(index, queries, nprobe or index.config.nprobe, drop_self)
+    found = candidates(index, queries, nprobe or index.config.nprobe)
     near = Window.partitionBy("query_pos").orderBy(F.desc("sim"), "first_pos")
     hits = (
-        found.withColumn("place", F.row_number().over(near))
-        .where(F.col("place") <= (k + 1 if drop_self else k))
-        .select("query_pos", "sim", F.explode("members").alias("hit_pos"))
+        found.withColumnRenamed("pos", "query_pos")
+        .withColumn("place", F.row_number().over(near))
+        .where(F.col("place") <= _vectors_per_query(index))
+        .withColumn("hit_pos", F.explode("members"))
+        .drop("place", "members", "first_pos")
     )
     known = train.withColumnsRenamed({"pos": "hit_pos", "case_id": "hit_id"})
-    hydrated = hits.join(known, "hit_pos")
-    if drop_self:
-        own = queries.select(F.col("pos").alias("query_pos"), F.col("case_id").alias("query_id"))
-        hydrated = (
-            hydrated.join(own, "query_pos").where(F.col("query_id") != F.col("hit_id")).drop("query_id")
-        )
     final = Window.partitionBy("query_pos").orderBy(F.desc("sim"), "hit_pos")
     return (
-        hydrated.withColumn("rank", F.row_number().over(final))
-        .where(F.col("rank") <= k)
+        hits.join(known, "hit_pos")
+        .where(F.col("own_id").isNull() | (F.col("own_id") != F.col("hit_id")))
+        .withColumn("rank", F.row_number().over(final))
+        .where(F.col("rank") <= index.config.topk)
         .withColumnRenamed("sim", "cosine_similarity")
     )

@@ -91,7 +91,7 @@ def test_bag_is_computed_once_per_row(spark):
     rows = spark.createDataFrame([("a b a",)], "x string")
     bag = text.unnest_bag(text.with_bag(rows, F.split("x", " ")))
     plan = bag._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("array_sort") == 1
+    assert plan.count("sort_array") == 1
 
 
 def test_numbers_in_reports(spark):

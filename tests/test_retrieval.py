@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from casequarry.operators import evidence, hybrid, ivf
 from casequarry.operators.clean import select_split
@@ -31,6 +32,11 @@ def frame(spark, rows):
     return materialize(spark.createDataFrame(rows, schema).repartition(4), "test-vectors")
 
 
+def asked(df):
+    own = F.when(F.col("split") == "train", F.col("case_id"))
+    return df.select("pos", "embedding", own.alias("own_id"))
+
+
 def brute_force(rows, k):
     train = [r for r in rows if r[2] == "train"]
     found = {}
@@ -58,12 +64,10 @@ def test_full_probe_equals_brute_force(spark, block):
     cells = len(index.centroids)
     assert cells == 10
     known = select_split(df, "train").select("pos", "case_id")
-    asked = df.select("pos", "case_id", "split", "embedding")
-    found = {}
-    for name in ("train", "test"):
-        hits = ivf.search(index, select_split(asked, name), known, cells, drop_self=name == "train")
-        for r in hits.collect():
-            found[r["query_pos"], r["rank"]] = (r["hit_id"], r["hit_pos"], r["cosine_similarity"])
+    found = {
+        (r["query_pos"], r["rank"]): (r["hit_id"], r["hit_pos"], r["cosine_similarity"])
+        for r in ivf.search(index, asked(df), known, cells).collect()
+    }
     want = brute_force(rows, 3)
     assert found.keys() == want.keys()
     for key in want:
@@ -76,7 +80,7 @@ def test_recall_of_partial_probe(spark):
     df = frame(spark, rows)
     index = ivf.build_index(select_split(df, "train"))
     known = select_split(df, "train").select("pos", "case_id")
-    test = select_split(df, "test")
+    test = asked(select_split(df, "test"))
     want = {(k[0], v[1]) for k, v in brute_force(rows, 3).items() if k[0] % 4 == 0}
     got = {(r["query_pos"], r["hit_pos"]) for r in ivf.search(index, test, known, 8).collect()}
     assert len(got & want) / len(want) > 0.8
@@ -86,7 +90,9 @@ def test_too_few_candidates_give_fewer_rows(spark):
     rows = [(0, "a", "train", "x", [1.0, 0.0]), (1, "q", "test", "x", [0.6, 0.8])]
     df = frame(spark, rows)
     index = ivf.build_index(select_split(df, "train"))
-    hits = ivf.search(index, select_split(df, "test"), select_split(df, "train").select("pos", "case_id"))
+    hits = ivf.search(
+        index, asked(select_split(df, "test")), select_split(df, "train").select("pos", "case_id")
+    )
     assert [(r["hit_id"], r["rank"]) for r in hits.collect()] == [("a", 1)]
 
 
