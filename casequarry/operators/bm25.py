@@ -113,25 +113,33 @@ def score(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
     )
 
 
-def _zero_fill(corpus: Bm25Corpus, queries: DataFrame, scored: DataFrame) -> DataFrame:
-    """First unmatched documents in train order, for queries with too few positive scores.
+def _best(corpus: Bm25Corpus, scored: DataFrame) -> DataFrame:
+    """The ``topk`` best documents per query; the limit acts in each task before the shuffle."""
+    # Equal documents must tie however their sums were ordered.
+    order = Window.partitionBy("query_id").orderBy(
+        F.round("score", 9).desc(), "received", "case_id"
+    )
+    return scored.withColumn("place", F.row_number().over(order)).where(
+        F.col("place") <= corpus.config.topk
+    )
 
-    A query with ``topk`` positive scores needs none. For the others the documents are taken from
-    the head of the train order, as long as the head can be covered by their matches.
+
+def _unmatched(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
+    """Per query the first ``topk`` documents in train order that share no term with it.
+
+    They lie in the head of the train order, as long as the most matches of any of these queries
+    and ``topk`` more.
     """
     k = corpus.config.topk
-    matched = scored.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("matched"),
-        F.sum(F.when(F.col("score") > 0, F.col("n")).otherwise(F.lit(0))).alias("positive"),
-    )
-    short = materialize(
+    scored = materialize(score(corpus, queries), "bm25-short-scores")
+    matched = scored.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("matched"))
+    counted = materialize(
         queries.select("query_id")
         .join(matched, "query_id", "left")
-        .where(F.coalesce("positive", F.lit(0)) < k)
         .select("query_id", F.coalesce("matched", F.lit(0)).alias("matched")),
-        "bm25-short-queries",
+        "bm25-short-counts",
     )
-    head_size = k + (short.agg(F.max("matched")).first()[0] or 0)
+    head_size = k + counted.agg(F.max("matched")).first()[0]
     head = (
         corpus.docs.select("case_id", "received", "n")
         .orderBy("received", "case_id")
@@ -139,18 +147,17 @@ def _zero_fill(corpus: Bm25Corpus, queries: DataFrame, scored: DataFrame) -> Dat
         .withColumn("place", F.row_number().over(Window.orderBy("received", "case_id")))
     )
     taken = (
-        scored.join(short.select("query_id"), "query_id", "left_semi")
-        .join(head.select("case_id", "received", "place"), ["case_id", "received"])
+        scored.join(head.select("case_id", "received", "place"), ["case_id", "received"])
         .groupBy("query_id")
         .agg(F.collect_set("place").alias("taken"))
     )
     free = F.array_except(
-        F.sequence(F.lit(1), F.col("matched").cast("int") + k),
+        F.sequence(F.lit(1), F.col("matched") + k),
         F.coalesce("taken", F.array().cast("array<int>")),
     )
     return (
-        short.join(taken, "query_id", "left")
-        .select("query_id", F.explode(F.slice(F.array_sort(free), 1, k)).alias("place"))
+        counted.join(taken, "query_id", "left")
+        .select("query_id", F.explode_outer(F.slice(F.sort_array(free), 1, k)).alias("place"))
         .join(head, "place")
         .select("query_id", "case_id", "received", "n", F.lit(0.0).alias("score"))
     )
@@ -159,25 +166,31 @@ def _zero_fill(corpus: Bm25Corpus, queries: DataFrame, scored: DataFrame) -> Dat
 def topk(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
     """``(query_id, rank, hit_id, bm25_score)``: highest scores first, ties in train order.
 
-    A document listed several times fills several ranks.
+    A document listed several times fills several ranks. A query with fewer than ``topk``
+    positive scores is filled up with documents that score zero; these also stand before negative
+    scores. Only such queries are scored a second time.
     """
     k = corpus.config.topk
-    scored = materialize(score(corpus, queries), "bm25-scores")
-    # Equal documents must tie however their sums were ordered.
-    order = Window.partitionBy("query_id").orderBy(
-        F.round("score", 9).desc(), "received", "case_id"
+    best = materialize(_best(corpus, score(corpus, queries)), "bm25-best").drop("place")
+    positive = (
+        best.where(F.col("score") > 0).groupBy("query_id").agg(F.sum("n").alias("positive"))
     )
-    best = (
-        scored.unionByName(_zero_fill(corpus, queries, scored))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= k)
+    short = materialize(
+        queries.join(positive, "query_id", "left")
+        .where(F.coalesce("positive", F.lit(0)) < k)
+        .drop("positive"),
+        "bm25-short-queries",
+    )
+    if not short.isEmpty():
+        best = _best(corpus, best.unionByName(_unmatched(corpus, short))).drop("place")
+    order = Window.partitionBy("query_id").orderBy(
+        F.round("score", 9).desc(), "received", "case_id", "copy"
     )
     listed = best.withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")))
     )
-    again = Window.partitionBy("query_id").orderBy("place", "copy")
     return (
-        listed.withColumn("rank", F.row_number().over(again))
+        listed.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", F.col("case_id").alias("hit_id"), F.col("score").alias("bm25_score"))
     )

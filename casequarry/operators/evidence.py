@@ -40,7 +40,7 @@ def fit_retriever(rows: DataFrame, config: RetrieverConfig = RetrieverConfig())
     texts = rows.select(F.col("ingest_pos").alias("pos"), "case_id", "split", "text")
     train = F.col("split") == "train"
     terms = tfidf.fit(texts.where(train), "text", config.tfidf)
-    sparse = materialize(terms.transform(texts, "text").drop("text"), "retriever-tfidf")
+    sparse = materialize(terms.transform(texts, "text"), "retriever-tfidf")
     reduced = svd.fit(sparse.where(train), terms.size, terms.n_docs, config.svd)
     vectors = materialize(svd.encode(sparse, reduced), "retriever-vectors")
     index = ivf.build_index(vectors.where(train), config.ivf)

@@ -307,7 +307,7 @@ def _svd_input(spark, sf_dir):
     config = evidence.RetrieverConfig().tfidf
     model = _tfidf_model(spark, sf_dir, config)
     rows = _rows(spark, sf_dir).select("case_id", "split", "text")
-    return model, materialize(model.transform(rows, "text").drop("text"), "svd-input")
+    return model, materialize(model.transform(rows, "text"), "svd-input")
 
 
 @query
@@ -473,8 +473,7 @@ def compare_report(spark, sf_dir):
 
 @query
 def ovr_predictions(spark, sf_dir):
-    preds = classify.predictions(_rows(spark, sf_dir))
-    return preds.drop("text")
+    return classify.predictions(_rows(spark, sf_dir))
 
 
 @query
@@ -498,7 +497,6 @@ def rac_predictions(spark, sf_dir):
     """Classifier on the text augmented with retrieved evidence."""
     rows = evidence.augment(_rows(spark, sf_dir), _text_evidence(spark, sf_dir))
     augmented = _stage_table(spark, sf_dir, "augmented", lambda: rows)
-    preds = classify.predictions(
+    return classify.predictions(
         augmented, "augmented_text", tfidf.TfidfConfig(max_features=120_000)
     )
-    return preds.drop("text")

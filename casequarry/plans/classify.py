@@ -16,19 +16,19 @@ def predictions(
     text_col: str = "text",
     terms: TfidfConfig = TfidfConfig(),
     classifier: OvrConfig = OvrConfig(),
+    carry: tuple[str, ...] = ("case_id", "split", "issue"),
 ) -> DataFrame:
-    """``case_id, split, issue, pred_issue, text`` of the rows outside train.
+    """The ``carry`` columns and ``pred_issue`` of the rows outside train.
 
-    ``rows`` need ``case_id, split, issue, text`` and ``text_col``. The train matrix is written
-    once and read by every pass of the fit; the other rows are vectorised and scored in one pass.
+    ``rows`` need ``split``, ``issue`` and ``text_col``. The train matrix is written once and read
+    by every pass of the fit; the other rows are vectorised and scored in one pass.
     """
     is_train = F.col("split") == "train"
     train = rows.where(is_train)
     vocabulary = tfidf.fit(train, text_col, terms)
     matrix = materialize(
-        vocabulary.transform(train.select("issue", text_col), text_col).drop(text_col), "train-matrix"
+        vocabulary.transform(train.select("issue", text_col), text_col), "train-matrix"
     )
     model = ovr.fit(matrix, classifier)
-    columns = list(dict.fromkeys(["case_id", "split", "issue", "text", text_col]))
-    unseen = vocabulary.transform(rows.where(~is_train).select(*columns), text_col)
-    return ovr.predict(unseen, model).select("case_id", "split", "issue", "pred_issue", "text")
+    unseen = rows.where(~is_train).select(*carry, F.col(text_col).alias("__text"))
+    return ovr.predict(vocabulary.transform(unseen, "__text"), model)

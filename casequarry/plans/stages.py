@@ -14,7 +14,7 @@ from casequarry.operators.ovr import OvrConfig
 from casequarry.operators.splits import SplitFractions
 from casequarry.operators.tfidf import TfidfConfig
 from casequarry.plans import classify
-from casequarry.schema import EVIDENCE
+from casequarry.schema import EVIDENCE, PREDICTIONS
 from casequarry.sources import cases as case_source
 from casequarry.sources import tables
 from casequarry.storage import materialize
@@ -40,6 +40,10 @@ class StageConfig:
         return f"{self.out_dir.rstrip('/')}/{name}"
 
 
+# Columns that go along with a prediction.
+PREDICTED = ("case_id", "split", "issue", "text")
+
+
 def _cases(spark: SparkSession, cfg: StageConfig) -> DataFrame:
     return case_source.read_cases(spark, cfg.at("cases"), cfg.max_rows)
 
@@ -100,7 +104,8 @@ def bm25_demo(spark: SparkSession, cfg: StageConfig) -> None:
 
 def _evaluated(spark: SparkSession, cfg: StageConfig, preds: DataFrame, name: str) -> None:
     """Write predictions once; metrics and report are read from them."""
-    tables.write_table(preds, cfg.at(f"{name}_predictions"))
+    ordered = preds.select(*PREDICTIONS.fieldNames())
+    tables.write_table(ordered, cfg.at(f"{name}_predictions"))
     written = tables.read_predictions(spark, cfg.at(f"{name}_predictions"))
     tables.write_table(metrics.split_metrics(written), cfg.at(f"{name}_metrics"))
     report = metrics.classification_report(select_split(written, "test"))
@@ -108,7 +113,9 @@ def _evaluated(spark: SparkSession, cfg: StageConfig, preds: DataFrame, name: st
 
 
 def baseline(spark: SparkSession, cfg: StageConfig) -> None:
-    preds = classify.predictions(_labelled(spark, cfg), "text", cfg.baseline, cfg.classifier)
+    preds = classify.predictions(
+        _labelled(spark, cfg), "text", cfg.baseline, cfg.classifier, PREDICTED
+    )
     _evaluated(spark, cfg, preds, "tfidf_logreg_issue")
 
 
@@ -137,7 +144,7 @@ def retrieval_augmented(spark: SparkSession, cfg: StageConfig) -> None:
         built["evidence"].select(*EVIDENCE.fieldNames()), cfg.at("rac_retrieval_evidence")
     )
     preds = classify.predictions(
-        built["augmented"], "augmented_text", cfg.augmented, cfg.classifier
+        built["augmented"], "augmented_text", cfg.augmented, cfg.classifier, PREDICTED
     )
     _evaluated(spark, cfg, preds, "rac_issue")
 
