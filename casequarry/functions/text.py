@@ -62,7 +62,7 @@ def ngrams(tokens: Column, ngram_range: tuple[int, int]) -> Column:
             gram = F.zip_with(
                 F.slice(gram, 1, width),
                 F.slice(tokens, shift + 1, width),
-                lambda left, right: F.concat_ws(" ", left, right),
+                lambda left, right: F.concat(left, F.lit(" "), right),
             )
         parts.append(gram)
     return F.concat(*parts) if len(parts) > 1 else parts[0]
