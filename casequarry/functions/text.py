@@ -127,6 +127,6 @@ def unnest_bag(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per distinct term of every bag.
 
     The outer form keeps the optimizer from copying the whole expression of the bag into a filter
-    on its size, which would compute the bag again for every reference.
+    on its size, which would compute the bag once more per use.
     """
     return rows.select(*keep, F.inline_outer("bag")).where(F.col("term").isNotNull())
