@@ -1,7 +1,7 @@
 """Quality by nearest neighbours in a latent space of term weights.
 
 Terms are words and word shapes (upper case, lower case, digits, each mark as itself, runs
-collapsed), hashed into a fixed number of columns. Their document frequencies are counted over
+collapsed), hashed into a fixed number of columns, and words that repeat the word before. Their document frequencies are counted over
 all documents. A truncated SVD of the weighted terms of the labelled sample gives the latent
 space; the labelled vectors travel to every task, which computes the exact cosines of all its
 documents with all of them block by block and lets the nearest vote by similarity.
@@ -25,7 +25,10 @@ from pyspark.sql import types as T
 from casequarry.llm import frames, tokens
 
 WORD_COLUMNS, SHAPE_COLUMNS = 6144, 2048
-COLUMNS = WORD_COLUMNS + SHAPE_COLUMNS
+# A repeated word is one term; so is its share of the words of a text, in steps of an eighth.
+REPEATS = WORD_COLUMNS + SHAPE_COLUMNS
+SHARES = 8
+COLUMNS = REPEATS + 1 + SHARES
 LABELLED = 3000
 COMPONENTS = 32
 NEIGHBOURS = 25
@@ -57,9 +60,20 @@ def _shapes(texts: pa.Array) -> tokens.Words:
 
 def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(text, column, count)`` sorted by text and column."""
-    keys = []
+    plain = tokens.words(texts)
+    again = np.zeros(len(plain.hashes), bool)
+    again[1:] = plain.hashes[1:] == plain.hashes[:-1]
+    again[plain.offsets[:-1][plain.offsets[:-1] < len(again)]] = False
+    upto = np.concatenate([[0], np.cumsum(again)])
+    repeats = upto[plain.offsets[1:]] - upto[plain.offsets[:-1]]
+    texts_with = np.flatnonzero(repeats)
+    share = repeats[texts_with] * SHARES // plain.counts()[texts_with]
+    keys = [
+        plain.text_of_word()[again] * COLUMNS + REPEATS,
+        np.repeat(texts_with * COLUMNS + REPEATS + 1 + share, repeats[texts_with]),
+    ]
     for found, low, size in (
-        (tokens.words(texts), 0, WORD_COLUMNS),
+        (plain, 0, WORD_COLUMNS),
         (_shapes(texts), WORD_COLUMNS, SHAPE_COLUMNS),
     ):
         column = low + (found.hashes % np.uint64(size)).astype(np.int64)
