@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casequarry.llm import decontaminate, langid, quality
+from casequarry.llm import decontaminate, langid, lsh_forest, ngram_lm, quality
 from casequarry.llm.frames import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,18 @@ def op2_quality_classifier(spark, sf_dir):
     )
 
 
+@query
+def op4_lm_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return ngram_lm.score(docs, fold(F.col("doc_id"), 10) == 0)
+
+
+@query
+def op6_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return lsh_forest.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
