@@ -183,7 +183,11 @@ def _judge(model: Phrases, batch: pa.RecordBatch, text: str) -> list:
 
 
 def mark(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    window: int = WINDOW,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with the columns of ``RESULT``; ``spans`` are ranges of hit words to remove.
 
@@ -198,11 +202,11 @@ def mark(
     texts = texts if isinstance(texts, pa.Array) else pa.array([], pa.string())
     model = phrases(items["item_id"].to_pylist(), texts, window)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return frames.append(docs, RESULT, lambda batch: _judge(shared.value, batch, text), text)
+    return frames.append(docs, RESULT, lambda batch: _judge(shared.value, batch, text), text, keep)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they are."""
     renamed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    marked = mark(renamed, benchmark)
+    marked = mark(renamed, benchmark, keep=["row"])
     return marked.where(~F.col("contaminated")).select("row.*")

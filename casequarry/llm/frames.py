@@ -35,14 +35,16 @@ def append(
     fields: T.StructType,
     compute: Callable[[pa.RecordBatch], list],
     text: str = "text",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``rows`` with further columns computed batch by batch, without a shuffle.
 
-    ``compute`` gets a slice of bounded text size and returns one list or array per field. A column
-    of ``rows`` that has the name of a new one is replaced.
+    ``compute`` gets a slice of bounded text size and returns one list or array per field. Of the
+    columns of ``rows`` those in ``keep`` are returned, all if it is not given; one that has the
+    name of a new column is replaced.
     """
-    kept = rows.drop(*fields.fieldNames())
-    schema = T.StructType(kept.schema.fields + fields.fields)
+    names = [c for c in (rows.columns if keep is None else keep) if c not in fields.fieldNames()]
+    schema = T.StructType([rows.schema[c] for c in names] + fields.fields)
 
     def work(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -56,6 +58,7 @@ def append(
                     else values
                     for field, values in zip(fields.fields, compute(part))
                 ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=target.names)
+                kept = [part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*kept, *new], names=target.names)
 
-    return kept.mapInArrow(work, schema)
+    return rows.select(*dict.fromkeys([*names, text])).mapInArrow(work, schema)

@@ -204,10 +204,12 @@ def _predict(model: Model, batch: pa.RecordBatch, text: str) -> list:
     return [names, scores]
 
 
-def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def predict(
+    rows: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """``rows`` with ``lang_pred`` and ``score``, the share of the possible distance not used."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    return frames.append(rows, RESULT, lambda batch: _predict(shared.value, batch, text), text)
+    return frames.append(rows, RESULT, lambda batch: _predict(shared.value, batch, text), text, keep)
 
 
 def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -218,4 +220,4 @@ def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
     model = fit(docs.where(~held_out))
     renamed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return predict(renamed, model).where(known).select("row.*")
+    return predict(renamed, model, keep=["row"]).where(known).select("row.*")

@@ -204,11 +204,13 @@ def votes(model: Model, vectors: np.ndarray, neighbours: int = NEIGHBOURS) -> np
     return np.clip(out, 0, 1)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """``docs`` with ``score``; every document meets every labelled vector."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(batch):
         return [votes(shared.value, shared.value.encode(batch.column(text)))]
 
-    return frames.append(docs, RESULT, compute, text)
+    return frames.append(docs, RESULT, compute, text, keep)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casequarry.llm import decontaminate, langid, lsh_forest, ngram_lm, quality
+from casequarry.llm import decontaminate, jaccard, langid, lsh_forest, ngram_lm, quality
 from casequarry.llm.frames import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_ngram_jaccard(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.cluster(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op2_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -25,7 +31,7 @@ def op2_quality_classifier(spark, sf_dir):
     held_out = fold(F.col("doc_id"), 3) == 1
     known = labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
     model = quality.fit(docs, known)
-    return quality.score(docs, model).select(
+    return quality.score(docs, model, keep=["doc_id"]).select(
         "doc_id",
         held_out.alias("held_out"),
         "score",
@@ -50,7 +56,7 @@ def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
     model = langid.fit(docs.where(~held_out))
-    return langid.predict(docs.select("doc_id", "text"), model).select(
+    return langid.predict(docs, model, keep=["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
 
@@ -59,6 +65,6 @@ def op7_language_id(spark, sf_dir):
 def op10_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     benchmark = table(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontaminate.mark(docs, benchmark).select(
+    return decontaminate.mark(docs, benchmark, keep=["doc_id"]).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )

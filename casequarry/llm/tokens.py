@@ -149,8 +149,8 @@ def windows(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 def whole(sequence: np.ndarray) -> np.uint64:
     """Hash of one short sequence of words, different for every length."""
     total = np.full(1, len(sequence) + 1, np.uint64)
-    for k, word in enumerate(sequence):
-        total += word * np.uint64(pow(int(_BASE), 3 * k + 1, 2**64))
+    for k in range(len(sequence)):
+        total += sequence[k : k + 1] * np.uint64(pow(int(_BASE), 3 * k + 1, 2**64))
     return mix(total)[0]
 
 
