@@ -431,14 +431,17 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
 
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, class, component_id)`` of every row of ``docs``."""
+    """``(doc_id, n_shingles, class, label, component_id)`` of every row of ``docs``.
+
+    ``label`` names the component where no row of it has an id.
+    """
     table = materialize(profiles(docs, doc_id, text), "jaccard-profiles")
     rows = table.where(F.col("block").isNull()).select("doc_id", "n", "class")
     filled = rows.where(F.col("class").isNotNull())
     labels = link(docs, text, table)
     least = filled.groupBy("class").agg(F.min("doc_id").alias("least"))
     if labels is None:
-        of_class = least.withColumnRenamed("least", "component_id")
+        of_class = least.select("class", "class", "least").toDF("class", "label", "component_id")
     else:
         marked = least.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
         marked = materialize(
@@ -446,12 +449,13 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             "jaccard-classes",
         )
         smallest = marked.groupBy("label").agg(F.min("least").alias("component_id"))
-        of_class = marked.join(smallest, "label").select("class", "component_id")
-    named = filled.join(of_class, "class").select("doc_id", "n", "class", "component_id")
-    blank = rows.where(F.col("class").isNull()).withColumn("component_id", F.col("doc_id"))
-    return named.unionByName(blank.select("doc_id", "n", "class", "component_id")).select(
-        "doc_id", F.col("n").alias("n_shingles"), "class", "component_id"
+        of_class = marked.join(smallest, "label").select("class", "label", "component_id")
+    blank = rows.where(F.col("class").isNull()).select(
+        "doc_id", "n", "class", F.lit(None).cast("long").alias("label"), "doc_id"
     )
+    out = ("doc_id", "n_shingles", "class", "label", "component_id")
+    named = filled.join(of_class, "class").select("doc_id", "n", "class", "label", "component_id")
+    return named.toDF(*out).unionByName(blank.toDF(*out))
 
 
 def _class_column(texts: pa.Array) -> list:
@@ -461,27 +465,26 @@ def _class_column(texts: pa.Array) -> list:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, and all without words.
 
-    Of repeated rows with that id and the same words one stays. Linked rows that all lack an id are
-    kept, as they cannot be told apart. The columns stay as they are.
+    Of repeated rows with that id and the same words one stays. The columns stay as they are.
     """
-    groups = cluster(docs)
+    groups = cluster(docs).where(F.col("class").isNotNull())
     kept = (
-        groups.where(F.col("class").isNotNull())
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id")
-        .agg(F.min("class").alias("class"), F.count(F.lit(1)).alias("rows"))
+        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("label", "component_id")
+        .agg(F.min("class").alias("chosen"), F.count(F.lit(1)).alias("rows"))
     )
     renamed = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text")
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("text"),
     )
     field = T.StructType([T.StructField("class", T.LongType())])
     marked = frames.append(
         renamed, field, lambda batch: [_class_column(batch.column("text"))], keep=["row", "id"]
     )
     blank = marked.where(F.col("class").isNull()).select("row.*")
-    chosen = marked.join(
-        kept.select(F.col("component_id").alias("id"), "class", "rows"), ["id", "class"]
-    )
+    same = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("class") == F.col("chosen"))
+    chosen = marked.join(kept, same)
     single = chosen.where(F.col("rows") == 1).select("row.*")
     repeated = chosen.where(F.col("rows") > 1).dropDuplicates(["id", "class"]).select("row.*")
     return blank.unionByName(single).unionByName(repeated)

@@ -41,3 +41,32 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_TRIMMED = "trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13))"
+
+ORACLES["op5_line_dedup"] = f"""
+WITH pages AS (
+    SELECT row_number() OVER () AS page, doc_id, coalesce('h' || source, '') AS host, text
+    FROM documents
+), line AS (
+    SELECT page, host, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM pages
+), keyed AS (
+    SELECT *, {_TRIMMED} AS key FROM line
+), totals AS (
+    SELECT host, count(*) AS pages FROM pages GROUP BY host
+), dropped AS (
+    SELECT host, key FROM keyed JOIN totals USING (host) WHERE key <> ''
+    GROUP BY host, key, pages
+    HAVING count(DISTINCT page) >= 5 AND count(DISTINCT page) > 0.05 * pages
+), kept AS (
+    SELECT page, count(*) AS n_lines,
+           count(*) FILTER (WHERE d.key IS NOT NULL) AS n_dropped,
+           coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE d.key IS NULL), '') AS text
+    FROM keyed k LEFT JOIN dropped d ON k.host = d.host AND k.key = d.key
+    GROUP BY page
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, kept.text
+FROM pages LEFT JOIN kept USING (page)
+"""

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casequarry.llm import decontaminate, jaccard, langid, lsh_forest, ngram_lm, quality
+from casequarry.llm import (
+    decontaminate,
+    jaccard,
+    langid,
+    lines,
+    lsh_forest,
+    mixing,
+    ngram_lm,
+    quality,
+)
 from casequarry.llm.frames import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,12 +48,25 @@ def op2_quality_classifier(spark, sf_dir):
     )
 
 
+@query
+def op3_mix_sources(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs)
+
+
 @query
 def op4_lm_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return ngram_lm.score(docs, fold(F.col("doc_id"), 10) == 0)
 
 
+@query
+def op5_line_dedup(spark, sf_dir):
+    """Documents without the lines that stand on too many pages of their source."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return lines.drop_boilerplate(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query
 def op6_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
