@@ -15,6 +15,7 @@ from casequarry.llm import (
     lsh_forest,
     mixing,
     ngram_lm,
+    pii,
     quality,
 )
 from casequarry.llm.frames import fold, table
@@ -83,6 +84,11 @@ def op7_language_id(spark, sf_dir):
     )
 
 
+@query
+def op9_pii(spark, sf_dir):
+    return pii.annotate(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
