@@ -70,3 +70,19 @@ WITH pages AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, kept.text
 FROM pages LEFT JOIN kept USING (page)
 """
+
+ORACLES["op8_warc"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest
+    FROM payloads
+), responses AS (
+    SELECT payload_digest, max(page_id) AS response FROM digests
+    WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM digests LEFT JOIN responses USING (payload_digest)
+"""

@@ -17,6 +17,7 @@ from casequarry.llm import (
     ngram_lm,
     pii,
     quality,
+    warc,
 )
 from casequarry.llm.frames import fold, table
 
@@ -84,6 +85,13 @@ def op7_language_id(spark, sf_dir):
     )
 
 
+@query
+def op8_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op9_pii(spark, sf_dir):
     return pii.annotate(table(spark, sf_dir, "documents", "doc_id", "text"))
