@@ -1,9 +1,11 @@
 """N-gram Jaccard join: which documents share at least ``PERCENT`` hundredths of their shingles.
 
 1. Equal shingle sets are one class; copies meet in a count and are never paired.
-2. Two similar sets share a shingle of their prefixes, the first ``n - ceil(0.75 n) + 1`` shingles of
-   each in one common order. Shingles of frequent slots come last, so passages that many documents
-   share stay out of prefixes. This deals the classes out to tasks and loses no pair.
+2. Two similar sets share the ``k`` first shingles of what they have in common, in any common order,
+   within prefixes of ``n - ceil(0.75 n) + k`` shingles. Shingles of frequent slots come last, so
+   passages that many documents share stay out of prefixes. Classes that share fewer prefix
+   shingles with others than ``k`` have no partner and go; shingles that stand in the prefixes of the
+   same classes are one. This deals the classes out to tasks and loses no pair.
 3. Within the classes that share a prefix shingle, one leads. Members whose count-vector bound
    allows it are verified against their leader on the whole sets; linked ones are contracted. A few
    rounds take groups of near copies together without pairing them all.
@@ -33,8 +35,10 @@ SHINGLE = 5
 PERCENT = 75
 ROUNDS = 3
 # Slots in which shingle frequencies are counted; they only choose the common order.
-SLOT_BITS = 18
+SLOT_BITS = 20
 SLOT_BLOCKS = 16
+# Shingles that the prefixes of a pair share, unless its sets are too small.
+SHARED = 32
 # A shingle is frequent from this multiple of the mean slot and this many texts on.
 FREQUENT_TIMES, FREQUENT_LEAST = 8, 50_000
 # Postings of a bucket, postings a task holds back, members of a group that are compared at once.
@@ -67,10 +71,15 @@ def _class_of(members: np.ndarray) -> int:
     return int(tokens.mix(np.array([total]))[0].astype(np.int64))
 
 
+def _least_shared(n):
+    """Prefix shingles that a set of ``n`` shares with any similar set that is not smaller."""
+    return np.minimum(SHARED, -(-PERCENT * n // 100))
+
+
 def _prefix(members: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     """First shingles in the common order: by level of the slot's frequency, then by hash."""
     n = len(members)
-    size = n - -(-PERCENT * n // 100) + 1
+    size = n - -(-PERCENT * n // 100) + int(_least_shared(n))
     level = frequency[members >> np.uint64(64 - SLOT_BITS)]
     if not level.any():
         return members[:size]
@@ -107,7 +116,7 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                     names=["doc_id", "n", "class", "block", "slots"],
                 )
         if id_type is not None and slots.any():
-            parts = np.split(slots, SLOT_BLOCKS)
+            parts = np.split(np.minimum(slots, 65_535).astype(np.uint16), SLOT_BLOCKS)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(SLOT_BLOCKS, id_type),
@@ -130,7 +139,7 @@ def _levels(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = np.frombuffer(part.as_buffer(), np.uint32).astype(np.int64)
+                values = np.frombuffer(part.as_buffer(), np.uint16).astype(np.int64)
                 totals[block] = totals[block] + values if block in totals else values
         for block, values in totals.items():
             yield pa.RecordBatch.from_arrays(
@@ -151,36 +160,38 @@ def _levels(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(docs: DataFrame, text: str, shared, n_buckets: int) -> DataFrame:
-    """``(bucket, keys, classes)``: prefix shingles, packed by bucket; copies once per task.
+    """``(bucket, keys, places, classes)``: prefix shingles, packed by bucket; copies once per task.
 
-    Frequent shingles go to buckets of their own, dealt out by class as well.
+    Within a bucket 32 bits of a shingle's hash tell it apart; ``places`` are those of its class in
+    ``classes``. Frequent shingles go to buckets of their own, dealt out by class as well.
     """
 
     def work(batches):
         level, frequent = shared.value
         seen: set[int] = set()
-        keys, classes, held = [], [], 0
+        keys, owners, classes, held = [], [], [], 0
 
         def emit():
-            key, cls = np.concatenate(keys), np.concatenate(classes)
-            bucket = (tokens.mix(key) % np.uint64(n_buckets)).astype(np.int64)
+            key, owner = np.concatenate(keys), np.concatenate(owners)
+            known = np.array(classes, np.int64)
+            scrambled = tokens.mix(key)
+            bucket = (scrambled % np.uint64(n_buckets)).astype(np.int64)
             often = frequent[key >> np.uint64(64 - SLOT_BITS)]
             if often.any():
-                dealt = tokens.mix(key[often] ^ cls[often].astype(np.uint64))
+                dealt = tokens.mix(key[often] ^ known[owner[often]].astype(np.uint64))
                 bucket[often] = n_buckets + (dealt % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            bucket, key, cls = bucket[order], key[order], cls[order]
+            bucket, owner = bucket[order], owner[order]
+            short = (scrambled[order] >> np.uint64(32)).astype(np.uint32)
             begin = tokens.distinct(bucket)
-            end = np.concatenate([begin[1:], [len(bucket)]])
+            out: tuple[list, list, list] = ([], [], [])
+            for low, high in zip(begin, np.concatenate([begin[1:], [len(bucket)]])):
+                own, place = np.unique(owner[low:high], return_inverse=True)
+                for column, values in zip(out, (short[low:high], place.astype(np.uint32), known[own])):
+                    column.append(values.tobytes())
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[begin], pa.int32()),
-                    *(
-                        pa.array([x[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())
-                        for x in (key, cls)
-                    ),
-                ],
-                names=["bucket", "keys", "classes"],
+                [pa.array(bucket[begin], pa.int32()), *(pa.array(x, pa.binary()) for x in out)],
+                names=["bucket", "keys", "places", "classes"],
             )
 
         for batch in batches:
@@ -195,15 +206,16 @@ def _postings(docs: DataFrame, text: str, shared, n_buckets: int) -> DataFrame:
                         seen.add(cls)
                     prefix = _prefix(members, level)
                     keys.append(prefix)
-                    classes.append(np.full(len(prefix), cls, np.int64))
+                    owners.append(np.full(len(prefix), len(classes), np.int32))
+                    classes.append(cls)
                     held += len(prefix)
                 if held > HELD:
                     yield emit()
-                    keys, classes, held = [], [], 0
+                    keys, owners, classes, held = [], [], [], 0
         if held:
             yield emit()
 
-    schema = "bucket int, keys binary, classes binary"
+    schema = "bucket int, keys binary, places binary, classes binary"
     return docs.select(text).mapInArrow(work, schema)
 
 
@@ -211,24 +223,66 @@ def _shared_keys(postings: DataFrame, n_buckets: int) -> DataFrame:
     """``(key, class)`` of the shingles that stand in the prefixes of several classes."""
 
     def work(rows: pa.Table) -> pa.Table:
-        key = np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"].to_pylist()])
-        cls = np.concatenate([np.frombuffer(x, np.int64) for x in rows["classes"].to_pylist()])
+        bucket = rows["bucket"][0].as_py()
+        key = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["keys"].to_pylist()])
+        cls = np.concatenate(
+            [
+                np.frombuffer(known, np.int64)[np.frombuffer(place, np.uint32)]
+                for known, place in zip(rows["classes"].to_pylist(), rows["places"].to_pylist())
+            ]
+        )
         order = np.argsort(key, kind="stable")
         key, cls = key[order], cls[order]
-        begin = tokens.distinct(key)
-        sizes = np.diff(np.concatenate([begin, [len(key)]]))
-        if rows["bucket"][0].as_py() < n_buckets:
+        sizes = np.diff(np.concatenate([tokens.distinct(key), [len(key)]]))
+        if bucket < n_buckets:
             several = np.repeat(sizes > 1, sizes)
             key, cls = key[several], cls[several]
         order = np.lexsort((cls, key))
         key, cls = key[order], cls[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-        return pa.table({"key": key[new], "class": cls[new]})
+        key, cls = key[new], cls[new]
+        if bucket < n_buckets:
+            # Copies in other tasks made some of them look shared.
+            sizes = np.diff(np.concatenate([tokens.distinct(key), [len(key)]]))
+            several = np.repeat(sizes > 1, sizes)
+            key, cls = key[several], cls[several]
+            high = bucket
+        else:
+            high = n_buckets
+        return pa.table({"key": (np.int64(high) << 32) | key.astype(np.int64), "class": cls})
 
     return postings.groupBy("bucket").applyInArrow(work, "key long, class long")
 
 
+def _plausible(keys: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The keys of classes that share enough of them with others; the rest has no partner."""
+    least = F.ceil(F.lit(PERCENT) * F.ceil(F.lit(PERCENT) * F.col("n") / 100) / 100)
+    enough = (
+        keys.groupBy("class")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .join(sizes, "class")
+        .where(F.col("shared") >= F.least(least, F.lit(SHARED)))
+        .select("class")
+    )
+    left = keys.join(enough, "class")
+    several = left.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
+    return left.join(several.select("key"), "key").select("key", "class")
+
+
+def _merged(keys: DataFrame) -> DataFrame:
+    """``(key, class, weight)``: of the keys with the same classes one, with their number."""
+    alike = keys.groupBy("key").agg(
+        F.bit_xor(F.xxhash64("class")).alias("one"),
+        F.bit_xor(F.xxhash64("class", F.lit(1))).alias("two"),
+        F.count(F.lit(1)).alias("held"),
+    )
+    first = alike.groupBy("one", "two", "held").agg(
+        F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")
+    )
+    return keys.join(first.select("key", "weight"), "key")
+
+
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """``(class, n, vector, members)`` of the wanted classes.
 
@@ -327,7 +381,7 @@ def _labelled(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
         .where(F.col("low") != F.col("high"))
         .select("key")
     )
-    return marked.join(open_keys, "key").select("key", "class", "label")
+    return marked.join(open_keys, "key").select("key", "class", "weight", "label")
 
 
 def _led(marked: DataFrame, number: int) -> DataFrame:
@@ -341,7 +395,7 @@ def _led(marked: DataFrame, number: int) -> DataFrame:
         marked.join(leader, "key")
         .where(F.col("label") != F.col("first.label"))
         .groupBy(F.col("class").alias("a"), F.col("first.class").alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("weight").alias("n"))
     )
     return met.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
 
@@ -410,6 +464,12 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     shared = docs.sparkSession.sparkContext.broadcast(_levels(table))
     postings = _postings(docs, text, shared, n_buckets)
     keys = materialize(_shared_keys(postings, n_buckets), "jaccard-keys")
+    # Shingles whose frequent buckets hold one class are no keys; the first pass drops them too.
+    sizes = table.where(F.col("class").isNotNull()).select("class", "n").distinct()
+    sizes = materialize(sizes.join(keys.select("class"), "class", "left_semi"), "jaccard-sizes")
+    for _ in range(2):
+        keys = materialize(_plausible(keys, sizes), "jaccard-keys")
+    keys = materialize(_merged(keys), "jaccard-keys")
     if keys.isEmpty():
         return None
     sets = materialize(_sets(docs, text, keys.select("class").distinct()), "jaccard-sets")
