@@ -15,7 +15,7 @@ The model grows with the corpus and is never held in one place. Tokens are numbe
 bounded size; a shard asks for the counts of its own distinct n-grams, which are summed by hash
 bucket over all shards, and gets back the part of the automaton that its texts can reach. Its texts
 then pass through it from left to right. The state after a token depends on that token alone, so
-all tokens of a shard are stepped at once.
+many tokens are stepped at once.
 
 Defined results: a null or blank text is one end token; without training tokens every known count
 is 0 and the base model gives each token the same probability; repeated rows count and are scored
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,11 @@ from casequarry.storage import materialize
 ADDED = 0.1
 STRENGTHS = (1.0, 8.0, 64.0, 512.0, 4096.0)
 # Tokens of a shard; a longer text is a shard of its own.
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 2_500_000
 # N-gram counts that one task adds up.
 BUCKET_KEYS = 3_000_000
+# Tokens that take a step together.
+STEP_TOKENS = 1 << 18
 
 _END = np.uint64(0xD6E8FEB86659FD93)
 _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
@@ -51,6 +54,14 @@ SHARD = """shard long, n_tokens long, doc_ids array<long>, held array<boolean>,
     lengths array<int>, vocabulary binary, low binary, high binary"""
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values))
+
+
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 class _Shard:
     """Numbered tokens of some texts; numbers are ranks by frequency within the shard."""
 
@@ -62,6 +73,17 @@ class _Shard:
         self.ends = np.cumsum(self.lengths)
         self.training = np.repeat(~self.held, self.lengths)
 
+    def parts(self) -> Iterator["_Shard"]:
+        """The texts a few at a time, in the numbers of the whole shard."""
+        first = 0
+        while first < len(self.lengths):
+            begin = self.ends[first] - self.lengths[first]
+            last = max(first + 1, int(np.searchsorted(self.ends, begin + STEP_TOKENS, "right")))
+            numbers = self.numbers[begin : self.ends[last - 1]]
+            lengths, held = self.lengths[first:last], self.held[first:last]
+            yield _Shard(self.vocabulary, numbers, lengths, held)
+            first = last
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Place of the second token and the code of every pair of neighbours in one text."""
         inner = np.ones(len(self.numbers), bool)
@@ -70,8 +92,8 @@ class _Shard:
         size = len(self.vocabulary)
         return place, self.numbers[place - 1] * size + self.numbers[place]
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the distinct words, then pairs, and how often each occurs in training texts.
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the distinct words, then pairs, their training counts, and the pair codes.
 
         Keys of words are odd and keys of pairs even.
         """
@@ -96,16 +118,16 @@ class _Shard:
             pa.array([ids], pa.list_(pa.int64())),
             pa.array([self.held.tolist()], pa.list_(pa.bool_())),
             pa.array([self.lengths.tolist()], pa.list_(pa.int32())),
-            *(pa.array([x.tobytes()], pa.binary()) for x in (self.vocabulary, low, high)),
+            *(pa.array([_packed(x)], pa.binary()) for x in (self.vocabulary, low, high)),
         ]
         names = ["shard", "n_tokens", "doc_ids", "held", "lengths", "vocabulary", "low", "high"]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _shard_of(row: dict) -> _Shard:
-    low = np.frombuffer(row["low"], np.uint16).astype(np.int64)
-    high = np.frombuffer(row["high"], np.uint16).astype(np.int64)
-    vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
+    low = _unpacked(row["low"], np.uint16).astype(np.int64)
+    high = _unpacked(row["high"], np.uint16).astype(np.int64)
+    vocabulary = _unpacked(row["vocabulary"], np.uint64)
     return _Shard(vocabulary, low | (high << 16), row["lengths"], row["held"])
 
 
@@ -164,12 +186,13 @@ def _requests(table: DataFrame, n_buckets: int) -> DataFrame:
     """``(bucket, shard, keys, counts)``: what each shard counted, cut by bucket.
 
     Keys are sent as planes of their upper 16, middle 16 and lower 32 bits; the upper ones of
-    sorted keys compress well.
+    sorted keys compress well, and so do the counts.
     """
 
     def work(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 keys, counts, _ = _shard_of(row).counts()
                 order, at = _buckets(keys, n_buckets)
                 keys, counts = keys[order], counts[order].astype(np.uint32)
@@ -186,7 +209,7 @@ def _requests(table: DataFrame, n_buckets: int) -> DataFrame:
                             pa.array(some, pa.int32()),
                             pa.array([row["shard"]] * len(some), pa.int64()),
                             *(
-                                pa.array([p[at[b] : at[b + 1]].tobytes() for b in some], pa.binary())
+                                pa.array([_packed(p[at[b] : at[b + 1]]) for b in some], pa.binary())
                                 for p in planes
                             ),
                         ],
@@ -204,14 +227,14 @@ def _answers(requests: DataFrame) -> DataFrame:
     def add_up(rows: pa.Table) -> pa.Table:
         parts = []
         for upper, middle, lower in zip(*(rows[c].to_pylist() for c in ("upper", "middle", "lower"))):
-            keys = np.frombuffer(upper, np.uint16).astype(np.uint64) << np.uint64(48)
-            keys |= np.frombuffer(middle, np.uint16).astype(np.uint64) << np.uint64(32)
-            parts.append(keys | np.frombuffer(lower, np.uint32))
-        counts = [np.frombuffer(x, np.uint32) for x in rows["counts"].to_pylist()]
+            keys = _unpacked(upper, np.uint16).astype(np.uint64) << np.uint64(48)
+            keys |= _unpacked(middle, np.uint16).astype(np.uint64) << np.uint64(32)
+            parts.append(keys | _unpacked(lower, np.uint32))
+        counts = [_unpacked(x, np.uint32) for x in rows["counts"].to_pylist()]
         known, total = tokens.counted(np.concatenate(parts), np.concatenate(counts).astype(np.int64))
         word = (known & _ONE).astype(bool)
         stats = {"words": int((total[word] > 0).sum()), "tokens": int(total[word].sum())}
-        out = [total[np.searchsorted(known, keys)].tobytes() for keys in parts]
+        out = [_packed(total[np.searchsorted(known, keys)]) for keys in parts]
         n = len(out)
         return pa.table(
             {
@@ -272,8 +295,10 @@ def _score_shard(n: int, v: int, n_buckets: int):
         order, at = _buckets(keys, n_buckets)
         counts = np.zeros(len(keys), np.int64)
         for bucket, found in zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()):
-            counts[order[at[bucket] : at[bucket + 1]]] = np.frombuffer(found, np.int64)
-        known, base, scores, left = Automaton(shard, counts, codes, n, v).traverse(shard)
+            counts[order[at[bucket] : at[bucket + 1]]] = _unpacked(found, np.int64)
+        automaton = Automaton(shard, counts, codes, n, v)
+        stepped = [automaton.traverse(part) for part in shard.parts()]
+        known, base, scores, left = (np.concatenate(x) for x in zip(*stepped))
         return pa.table(
             {
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
