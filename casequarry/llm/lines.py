@@ -71,8 +71,9 @@ def drop_boilerplate(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     spare_whole: bool = False,
+    count: bool = True,
 ) -> DataFrame:
-    """``docs`` with the lines gone from ``text``, and ``n_lines`` and ``n_dropped``.
+    """``docs`` with the lines gone from ``text``; with ``count`` also ``n_lines`` and ``n_dropped``.
 
     ``spare_whole`` leaves a page alone all of whose lines would go: that is no page around
     boilerplate but a copy of others, and near-duplicate removal decides on it.
@@ -92,20 +93,16 @@ def drop_boilerplate(
     if spare_whole:
         left = F.exists("kept", lambda line: ~_is_blank(line))
         rows = rows.withColumn("kept", F.when(left, F.col("kept")).otherwise(F.col("lines")))
+    new = F.when(F.size("lines") == F.size("kept"), F.col("row")[text]).otherwise(
+        F.array_join("kept", "\n")
+    )
+    counted = ("n_lines", "n_dropped") if count else ()
     columns = [
-        F.when(F.size("lines") == F.size("kept"), F.col("row")[c])
-        .otherwise(F.array_join("kept", "\n"))
-        .alias(c)
-        if c == text
-        else F.col("row")[c].alias(c)
-        for c in docs.columns
-        if c not in ("n_lines", "n_dropped")
+        (new if c == text else F.col("row")[c]).alias(c) for c in docs.columns if c not in counted
     ]
-    n_lines = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
-    gone = F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long")
-    count = F.when(F.col("lines").isNull(), F.lit(0).cast("long"))
-    return rows.select(
-        *columns,
-        count.otherwise(n_lines).alias("n_lines"),
-        count.otherwise(gone).alias("n_dropped"),
-    )
+    none = F.when(F.col("lines").isNull(), F.lit(0).cast("long"))
+    numbers = {
+        "n_lines": none.otherwise(F.size("lines").cast("long")),
+        "n_dropped": none.otherwise((F.size("lines") - F.size("kept")).cast("long")),
+    }
+    return rows.select(*columns, *[numbers[name].alias(name) for name in counted])
