@@ -26,12 +26,11 @@ def _large_star(edges: DataFrame) -> DataFrame:
         both.where(F.col("other") > F.col("node"))
         .join(least, "node")
         .select(F.col("other").alias("high"), root.alias("low"))
-        .distinct()
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Hang a node and its smaller neighbours on the smallest of them."""
+    """Hang a node and its smaller neighbours on the smallest of them; edges may repeat."""
     least = edges.groupBy("high").agg(F.min("low").alias("least"))
     moved = (
         edges.join(least, "high")

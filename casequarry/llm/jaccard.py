@@ -33,7 +33,7 @@ from casequarry.storage import materialize
 
 SHINGLE = 5
 PERCENT = 75
-ROUNDS = 3
+ROUNDS = 2
 # Slots in which shingle frequencies are counted; they only choose the common order.
 SLOT_BITS = 20
 SLOT_BLOCKS = 16
