@@ -10,8 +10,9 @@
    allows it are verified against their leader on the whole sets; linked ones are contracted. A few
    rounds take groups of near copies together without pairing them all.
 4. For shingles whose classes are still in several components, count vectors go into R-trees, which
-   are joined under the bound; the surviving pairs of different components are verified exactly.
-   After this every pair is linked, connected through links, or refuted.
+   are joined under the bound; the surviving pairs of different components are verified exactly,
+   unless their ends are connected by then. After this every pair is linked, connected through links,
+   or refuted.
 
 Shingles and classes are 64-bit hashes. Defined results: a text without words (or null) has no
 shingles, links with nothing and is a component of its own; a row without id takes part, and a
@@ -20,6 +21,8 @@ component is named by the smallest id in it (null if it has none); repeated rows
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 from casequarry.llm import frames, tokens
 from casequarry.llm.components import components
 from casequarry.llm.count_rtree import GROUPS, RTree, count_vector, join, needed
-from casequarry.storage import materialize
+from casequarry.storage import materialize, shared_root
 
 SHINGLE = 5
 PERCENT = 75
@@ -324,6 +327,20 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
+def _bucketed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """A written table in buckets of ``key``, which joins on ``key`` need not shuffle again."""
+    spark = rows.sparkSession
+    name = f"casequarry_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        rows.write.bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", f"{shared_root(spark)}/casequarry/{name}")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 _SET_NAMES = ["class", "n", "vector", "members"]
 _SET_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
@@ -403,42 +420,55 @@ def _led(marked: DataFrame, number: int) -> DataFrame:
 def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     """Pairs of different components that share a key and survive the joined R-trees.
 
-    The members of a key are cut into blocks. Only those outside the largest component of the key
-    visit the other blocks too, so a large group of linked copies is not compared with itself.
+    Of the components of a key all but the largest are minor, and only their members are compared
+    with the others, so a large group of linked copies is not compared with itself. Members and
+    minor ones are cut into blocks, and a group is a block of each. Returns ``(a, b, spot)``; ``spot``
+    is one of the groups that found the pair.
     """
     tally = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = tally.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("major"), F.sum("n").alias("size")
+        F.max_by("label", F.struct("n", "label")).alias("major"),
+        F.sum("n").alias("size"),
+        F.max("n").alias("most"),
     )
-    blocks = F.ceil(F.col("size") / GROUP).cast("int")
     rows = marked.join(largest, "key").select(
         "key",
         "class",
         "label",
         (F.col("label") != F.col("major")).alias("minor"),
-        blocks.alias("blocks"),
-        F.pmod(F.xxhash64("class"), blocks).cast("int").alias("own"),
+        F.ceil(F.col("size") / GROUP).cast("int").alias("blocks"),
+        F.ceil((F.col("size") - F.col("most")) / GROUP).cast("int").alias("minor_blocks"),
     )
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = rows.withColumn(
-        "block", F.explode(F.when(F.col("minor"), every).otherwise(F.array("own")))
-    ).join(sets.select("class", "n", "vector"), "class")
+
+    def one(blocks):
+        return F.pmod(F.xxhash64("class"), blocks).cast("int").alias("at")
+
+    def every(blocks):
+        return F.explode(F.sequence(F.lit(0), blocks - 1)).alias("at")
+
+    def placed(chosen: DataFrame, asks: bool) -> DataFrame:
+        held = chosen.select("*", (every if asks else one)(F.col("blocks"))).withColumnRenamed("at", "block")
+        held = held.select("*", (one if asks else every)(F.col("minor_blocks")))
+        return held.select(
+            "key", "class", "label", F.xxhash64("key", "block", "at").alias("spot"), F.lit(asks).alias("asks")
+        )
+
+    members = placed(rows, False).unionByName(placed(rows.where("minor"), True))
+    members = members.join(sets.select("class", "n", "vector"), "class")
 
     def work(table: pa.Table) -> pa.Table:
-        key, block = table["key"].to_numpy(), table["block"].to_numpy()
-        order = np.lexsort((block, key))
-        both = np.stack([key[order], block[order]])
-        begin = np.concatenate([[0], np.flatnonzero((both[:, 1:] != both[:, :-1]).any(axis=0)) + 1])
+        spot = table["spot"].to_numpy()
+        order = np.argsort(spot, kind="stable")
+        spot = spot[order]
+        begin = tokens.distinct(spot)
         cls, label = table["class"].to_numpy()[order], table["label"].to_numpy()[order]
-        minor = table["minor"].to_numpy()[order]
-        native = table["own"].to_numpy()[order] == block[order]
-        sizes = table["n"].to_numpy()[order]
+        asks, sizes = table["asks"].to_numpy()[order], table["n"].to_numpy()[order]
         vectors = np.frombuffer(b"".join(table["vector"].to_pylist()), np.uint16)
         vectors = vectors.reshape(-1, GROUPS)[order]
-        out_a, out_b = [], []
+        out: tuple[list, list, list] = ([], [], [])
         for low, high in zip(begin, np.concatenate([begin[1:], [len(order)]])):
             rows = np.arange(low, high)
-            left, right = rows[minor[rows]], rows[native[rows]]
+            left, right = rows[asks[rows]], rows[~asks[rows]]
             if not len(left) or not len(right):
                 continue
             i, j = join(
@@ -446,15 +476,61 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
             )
             i, j = left[i], right[j]
             apart = label[i] != label[j]
-            out_a.append(cls[i[apart]])
-            out_b.append(cls[j[apart]])
+            for column, values in zip(out, (cls[i[apart]], cls[j[apart]], spot[i[apart]])):
+                column.append(values)
         empty = np.zeros(0, np.int64)
-        a, b = np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        a, b, where = (np.concatenate([empty, *x]) for x in out)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "spot": where})
 
     bins = max(12, size // 50_000)
-    dealt = placed.withColumn("bin", F.pmod(F.xxhash64("key", "block"), F.lit(bins)))
-    return dealt.groupBy("bin").applyInArrow(work, "a long, b long").distinct()
+    dealt = members.withColumn("bin", F.pmod("spot", F.lit(bins)))
+    found = dealt.groupBy("bin").applyInArrow(work, "a long, b long, spot long")
+    return found.groupBy("a", "b").agg(F.min("spot").alias("spot"))
+
+
+def _verified_together(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """Links that connect what all similar pairs of ``(a, b, spot)`` connect.
+
+    The pairs of a spot are verified in one place, where every set is needed once, and a pair
+    whose ends are connected already is passed over.
+    """
+    bins = max(12, size // 5_000)
+    dealt = pairs.withColumn("bin", F.pmod("spot", F.lit(bins))).drop("spot")
+    ends = F.explode(F.array("a", "b")).alias("class")
+    asked_for = dealt.select(F.col("bin").alias("home"), ends).distinct()
+    needed_sets = asked_for.join(sets.select("class", "members"), "class")
+
+    def work(asked: pa.Table, held: pa.Table) -> pa.Table:
+        members = {
+            cls: np.frombuffer(data, np.uint64)
+            for cls, data in zip(held["class"].to_pylist(), held["members"].to_pylist())
+        }
+        parent = dict.fromkeys(members)
+
+        def root(node):
+            while parent[node] is not None:
+                above = parent[node]
+                if parent[above] is not None:
+                    parent[node] = parent[above]
+                node = above
+            return node
+
+        out: tuple[list, list] = ([], [])
+        for a, b in sorted(zip(asked["a"].to_pylist(), asked["b"].to_pylist())):
+            top_a, top_b = root(a), root(b)
+            if top_a == top_b:
+                continue
+            both = np.sort(np.concatenate([members[a], members[b]]))
+            shared = int((both[1:] == both[:-1]).sum())
+            if 100 * shared >= PERCENT * (len(both) - shared):
+                parent[max(top_a, top_b)] = min(top_a, top_b)
+                out[0].append(a)
+                out[1].append(b)
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return (
+        dealt.groupBy("bin").cogroup(needed_sets.groupBy("home")).applyInArrow(work, "a long, b long")
+    )
 
 
 def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
@@ -472,7 +548,7 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     keys = materialize(_merged(keys), "jaccard-keys")
     if keys.isEmpty():
         return None
-    sets = materialize(_sets(docs, text, keys.select("class").distinct()), "jaccard-sets")
+    sets = _bucketed(_sets(docs, text, keys.select("class").distinct()), "class", "sets")
     vectors = sets.select("class", "n", "vector")
     links, labels = None, None
     for number in range(ROUNDS + 1):
@@ -484,7 +560,11 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
             pairs = materialize(_bounded(_led(marked, number), vectors), "jaccard-led")
         else:
             pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
-        found = materialize(_verified(pairs, sets), "jaccard-links")
+        if number < ROUNDS:
+            similar = _verified(pairs, sets)
+        else:
+            similar = _verified_together(pairs, sets, pairs.count())
+        found = materialize(similar, "jaccard-links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
     return labels
