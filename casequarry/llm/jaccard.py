@@ -45,9 +45,11 @@ SHARED = 32
 # A shingle is frequent from this multiple of the mean slot and this many texts on.
 FREQUENT_TIMES, FREQUENT_LEAST = 8, 50_000
 # Postings of a bucket, postings a task holds back, members of a group that are compared at once.
-BUCKET = 2_000_000
-HELD = 1 << 20
+BUCKET = 750_000
+HELD = 1 << 19
 GROUP = 1024
+# Rows of R-trees and pairs to verify that a task holds, on average.
+TREE_ROWS, PAIRS = 12_000, 2_000
 FILTER_BITS = 24
 
 _SALT = np.uint64(0x2545F4914F6CDD1D)
@@ -345,27 +347,41 @@ _SET_NAMES = ["class", "n", "vector", "members"]
 _SET_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 
-def _bounded(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Count vectors as rows of a matrix, without a copy of each."""
+    array = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    if not len(array):
+        return np.zeros((0, GROUPS), np.uint16)
+    _, offsets, data = array.buffers()
+    begin = np.frombuffer(offsets, np.int32)[array.offset]
+    size = 2 * GROUPS * len(array)
+    return np.frombuffer(data, np.uint8)[begin : begin + size].view(np.uint16).reshape(-1, GROUPS)
+
+
+def _side(sets: DataFrame, end: str, *columns: str) -> DataFrame:
+    """One end of a pair: ``class`` as ``end``, and the columns with its name behind them."""
+    return sets.select(
+        F.col("class").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]
+    )
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that the count vectors do not refute."""
 
     def work(batches):
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16)
-                .reshape(-1, GROUPS)
-                .astype(np.int32)
-                for c in ("vector_a", "vector_b")
-            )
+            a, b = (_vectors(batch.column(c)) for c in ("vector_a", "vector_b"))
             size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            shared = np.minimum(a, b).sum(axis=1)
+            shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
             yield batch.select(["a", "b"]).filter(
                 pa.array(shared >= needed(size_a, size_b, PERCENT))
             )
 
-    a = vectors.select(*[F.col(c).alias(n) for c, n in (("class", "a"), ("n", "n_a"), ("vector", "vector_a"))])
-    b = vectors.select(*[F.col(c).alias(n) for c, n in (("class", "b"), ("n", "n_b"), ("vector", "vector_b"))])
     sizes = (100 * F.least("n_a", "n_b")) >= PERCENT * F.greatest("n_a", "n_b")
-    return pairs.join(a, "a").join(b, "b").where(sizes).mapInArrow(work, "a long, b long")
+    joined = pairs.join(_side(sets, "a", "n", "vector"), "a").join(
+        _side(sets, "b", "n", "vector"), "b"
+    )
+    return joined.where(sizes).mapInArrow(work, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -381,9 +397,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 links.append(100 * shared >= PERCENT * (len(both) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    a = sets.select(F.col("class").alias("a"), F.col("members").alias("members_a"))
-    b = sets.select(F.col("class").alias("b"), F.col("members").alias("members_b"))
-    return pairs.join(a, "a").join(b, "b").mapInArrow(work, "a long, b long")
+    joined = pairs.join(_side(sets, "a", "members"), "a").join(_side(sets, "b", "members"), "b")
+    return joined.mapInArrow(work, "a long, b long")
 
 
 def _labelled(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -441,17 +456,17 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     )
 
     def one(blocks):
-        return F.pmod(F.xxhash64("class"), blocks).cast("int").alias("at")
+        return F.pmod(F.xxhash64("class"), blocks).cast("int")
 
     def every(blocks):
-        return F.explode(F.sequence(F.lit(0), blocks - 1)).alias("at")
+        return F.explode(F.sequence(F.lit(0), blocks - 1))
 
     def placed(chosen: DataFrame, asks: bool) -> DataFrame:
-        held = chosen.select("*", (every if asks else one)(F.col("blocks"))).withColumnRenamed("at", "block")
-        held = held.select("*", (one if asks else every)(F.col("minor_blocks")))
-        return held.select(
-            "key", "class", "label", F.xxhash64("key", "block", "at").alias("spot"), F.lit(asks).alias("asks")
-        )
+        of_all, of_minor = (every, one) if asks else (one, every)
+        held = chosen.select("*", of_all(F.col("blocks")).alias("block"))
+        held = held.select("*", of_minor(F.col("minor_blocks")).alias("minor_block"))
+        spot = F.xxhash64("key", "block", "minor_block").alias("spot")
+        return held.select("key", "class", "label", spot, F.lit(asks).alias("asks"))
 
     members = placed(rows, False).unionByName(placed(rows.where("minor"), True))
     members = members.join(sets.select("class", "n", "vector"), "class")
@@ -463,8 +478,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         begin = tokens.distinct(spot)
         cls, label = table["class"].to_numpy()[order], table["label"].to_numpy()[order]
         asks, sizes = table["asks"].to_numpy()[order], table["n"].to_numpy()[order]
-        vectors = np.frombuffer(b"".join(table["vector"].to_pylist()), np.uint16)
-        vectors = vectors.reshape(-1, GROUPS)[order]
+        vectors = _vectors(table["vector"])[order]
         out: tuple[list, list, list] = ([], [], [])
         for low, high in zip(begin, np.concatenate([begin[1:], [len(order)]])):
             rows = np.arange(low, high)
@@ -482,7 +496,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         a, b, where = (np.concatenate([empty, *x]) for x in out)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "spot": where})
 
-    bins = max(12, size // 50_000)
+    bins = max(12, size // TREE_ROWS)
     dealt = members.withColumn("bin", F.pmod("spot", F.lit(bins)))
     found = dealt.groupBy("bin").applyInArrow(work, "a long, b long, spot long")
     return found.groupBy("a", "b").agg(F.min("spot").alias("spot"))
@@ -494,7 +508,7 @@ def _verified_together(pairs: DataFrame, sets: DataFrame, size: int) -> DataFram
     The pairs of a spot are verified in one place, where every set is needed once, and a pair
     whose ends are connected already is passed over.
     """
-    bins = max(12, size // 5_000)
+    bins = max(12, size // PAIRS)
     dealt = pairs.withColumn("bin", F.pmod("spot", F.lit(bins))).drop("spot")
     ends = F.explode(F.array("a", "b")).alias("class")
     asked_for = dealt.select(F.col("bin").alias("home"), ends).distinct()
@@ -549,7 +563,6 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     if keys.isEmpty():
         return None
     sets = _bucketed(_sets(docs, text, keys.select("class").distinct()), "class", "sets")
-    vectors = sets.select("class", "n", "vector")
     links, labels = None, None
     for number in range(ROUNDS + 1):
         marked = materialize(_labelled(keys, labels), "jaccard-open")
@@ -557,12 +570,10 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
         if not size:
             break
         if number < ROUNDS:
-            pairs = materialize(_bounded(_led(marked, number), vectors), "jaccard-led")
-        else:
-            pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
-        if number < ROUNDS:
+            pairs = materialize(_bounded(_led(marked, number), sets), "jaccard-led")
             similar = _verified(pairs, sets)
         else:
+            pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
             similar = _verified_together(pairs, sets, pairs.count())
         found = materialize(similar, "jaccard-links")
         links = found if links is None else links.unionByName(found)
