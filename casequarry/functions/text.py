@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +73,23 @@ def month_of(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM")
 
 
+def fixed_decimals(col: Column, digits: int) -> Column:
+    """A fixed number of decimals of the exact binary value; ties go to the even digit.
+
+    For the handful of numbers in a report; JVM functions round the shortest decimal instead, which
+    differs where that looks like a tie and the binary value is none.
+    """
+
+    @F.pandas_udf("string")
+    def shown(numbers: pd.Series) -> pd.Series:
+        return numbers.map(lambda x: None if pd.isna(x) else f"{x:.{digits}f}").astype(object)
+
+    return shown(col.cast("double"))
+
+
 def decimals_or_na(col: Column, digits: int) -> Column:
-    """Half-even rounding to a fixed number of decimals; ``NA`` for null."""
-    shown = F.format_string(f"%.{digits}f", F.bround(col, digits))
-    return F.when(col.isNotNull(), shown).otherwise("NA")
+    """Fixed decimals as :func:`fixed_decimals` shows them; ``NA`` for null."""
+    return F.coalesce(fixed_decimals(col, digits), F.lit("NA"))
 
 
 def double_or_null(col: Column) -> Column:

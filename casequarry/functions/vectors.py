@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
 def l2_norm(col: Column) -> Column:
     return F.sqrt(
         F.aggregate(col, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))

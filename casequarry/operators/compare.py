@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casequarry.functions.text import fixed_decimals
+
 # Names of the models in the comparison, and how a report line calls them.
 BASELINE, AUGMENTED, HYBRID = "TF-IDF + LogReg", "RAC: augmented text", "Hybrid retrieval"
 LINE_NAMES = {
@@ -15,6 +17,15 @@ LINE_NAMES = {
     HYBRID: "Conservative hybrid retrieval classifier",
 }
 
+# What the last line of a report says, by how the best retrieval model compares with the baseline.
+CONCLUSIONS = {
+    "above": "Conclusion: similar cases raise the weighted-F1 of the baseline on held-out cases.",
+    "equal": "Conclusion: with similar cases the weighted-F1 on held-out cases is that of the baseline.",
+    "below": "Conclusion: similar cases explain a prediction, but held-out weighted-F1 falls below the "
+    "baseline.",
+    "unknown": "Conclusion: baseline and retrieval were not both evaluated.",
+}
+
 COLUMNS = ("model", "split", "n", "accuracy", "macro_f1", "weighted_f1", "retrieval_override_rate")
 
 
@@ -33,21 +44,17 @@ def best_model(comparison: DataFrame) -> DataFrame:
     return held_out_rows(comparison).orderBy(F.desc("weighted_f1"), "model").limit(1)
 
 
-def ranked_by_f1(comparison: DataFrame) -> DataFrame:
-    return held_out_rows(comparison).orderBy("weighted_f1", "model")
-
-
 def summary_lines(comparison: DataFrame) -> DataFrame:
     """Report as ``(ln, value)``: heading, one line per known model, best model, conclusion.
 
-    The conclusion follows the numbers.
+    The conclusion compares the best retrieval model with the baseline: above, equal or below.
     """
     tests = held_out_rows(comparison)
     place = F.array_position(F.array(*[F.lit(m) for m in LINE_NAMES]), F.col("model")).cast("int")
     names = F.create_map(*[F.lit(x) for pair in LINE_NAMES.items() for x in pair])
 
     def number(name: str):
-        return F.format_string("%.3f", F.bround(name, 3))
+        return fixed_decimals(F.col(name), 3)
 
     per_model = tests.where(F.col("model").isin(list(LINE_NAMES))).select(
         place.alias("ln"),
@@ -59,18 +66,18 @@ def summary_lines(comparison: DataFrame) -> DataFrame:
             number("weighted_f1"),
         ).alias("value"),
     )
-    lead = F.when(
-        F.col("model") == BASELINE,
-        "Interpretation: the plain TF-IDF baseline is strongest on test; the retrieval variants "
-        "provide evidence but do not improve held-out performance in this run.",
-    ).otherwise(
-        F.format_string(
-            "Interpretation: %s is strongest on test in this run; retrieval improves held-out "
-            "performance over the plain TF-IDF baseline.",
-            "model",
-        )
+    everything = Window.partitionBy()
+    plain = F.max(F.when(F.col("model") == BASELINE, F.col("weighted_f1"))).over(everything)
+    helped = F.max(F.when(F.col("model") != BASELINE, F.col("weighted_f1"))).over(everything)
+    # At most one row per model.
+    scored = tests.select("model", "weighted_f1", plain.alias("plain"), helped.alias("helped"))
+    lead = (
+        F.when(F.col("helped") > F.col("plain"), CONCLUSIONS["above"])
+        .when(F.col("helped") == F.col("plain"), CONCLUSIONS["equal"])
+        .when(F.col("helped") < F.col("plain"), CONCLUSIONS["below"])
+        .otherwise(CONCLUSIONS["unknown"])
     )
-    around = best_model(comparison).select(
+    around = scored.orderBy(F.desc("weighted_f1"), "model").limit(1).select(
         F.inline(
             F.array(
                 F.struct(

@@ -17,18 +17,25 @@ from casequarry.functions.vectors import l2_norm
 from casequarry.storage import materialize
 
 
+# Queries of a block that are multiplied together.
+QUERIES_AT_ONCE = 512
+
+
 @dataclass(frozen=True)
 class IvfConfig:
-    """``block_rows`` and ``block_queries`` bound what one task compares at a time."""
+    """``block_rows`` and ``block_queries`` bound what one task holds at a time.
+
+    Cells are learned from all distinct vectors unless ``train_samples`` bounds their number.
+    """
 
     nlist: int = 1024
     nprobe: int = 16
-    train_samples: int = 262_144
+    train_samples: int | None = None
     topk: int = 3
     max_iter: int = 10
     seed: int = 410
     block_rows: int = 16_384
-    block_queries: int = 4_096
+    block_queries: int = 32_768
 
 
 @dataclass(frozen=True)
@@ -69,7 +76,7 @@ def nearest_cells(centroids: np.ndarray, count: int, embedding: Column, spark) -
 
 
 def fit_centroids(vectors: DataFrame, config: IvfConfig) -> np.ndarray:
-    """Spherical k-means on at most about ``train_samples`` distinct vectors, picked by hash.
+    """Spherical k-means on the distinct vectors, or about ``train_samples`` of them by hash.
 
     Copies count once, or a large group of copies would take most of the starting points.
     """
@@ -78,7 +85,7 @@ def fit_centroids(vectors: DataFrame, config: IvfConfig) -> np.ndarray:
         raise ValueError("no vectors to index")
     n_cells = min(config.nlist, max(1, math.isqrt(n)))
     sample = vectors
-    if n > config.train_samples:
+    if config.train_samples is not None and n > config.train_samples:
         buckets = 1 << 30
         kept = F.pmod(F.xxhash64("embedding"), F.lit(buckets)) < int(config.train_samples / n * buckets)
         sample = vectors.where(kept)
@@ -128,11 +135,17 @@ def distinct_vectors(vectors: DataFrame, topk: int) -> DataFrame:
     )
 
 
-def build_index(vectors: DataFrame, config: IvfConfig = IvfConfig()) -> IvfIndex:
-    """Index ``(pos, case_id, embedding)`` rows. Large cells are cut into blocks."""
+def build_index(
+    vectors: DataFrame, config: IvfConfig = IvfConfig(), centroids: np.ndarray | None = None
+) -> IvfIndex:
+    """Index ``(pos, case_id, embedding)`` rows. Large cells are cut into blocks.
+
+    The unit vectors ``centroids`` are taken as cells if given, else cells are learned.
+    """
     spark = vectors.sparkSession
     usable = with_direction(vectors.select("pos", "case_id", "embedding"))
-    centroids = fit_centroids(usable, config)
+    if centroids is None:
+        centroids = fit_centroids(usable, config)
     placed = materialize(
         distinct_vectors(usable, config.topk).withColumn(
             "cell", F.get(nearest_cells(centroids, 1, F.col("embedding"), spark), F.lit(0))
@@ -218,9 +231,17 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     def compare(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or stored.empty:
             return pd.DataFrame({name: [] for name in schema.names})
-        asked = asked.reset_index(drop=True)
         stored = stored.sort_values("first_pos").reset_index(drop=True)
-        sims = _matrix(asked["embedding"]) @ _matrix(stored["embedding"]).T
+        matrix = _matrix(stored["embedding"])
+        # A few queries at a time, so that the products take little memory.
+        tiles = range(0, len(asked), QUERIES_AT_ONCE)
+        return pd.concat(
+            [compare_tile(asked.iloc[t : t + QUERIES_AT_ONCE], stored, matrix) for t in tiles]
+        )
+
+    def compare_tile(asked: pd.DataFrame, stored: pd.DataFrame, matrix: np.ndarray) -> pd.DataFrame:
+        asked = asked.reset_index(drop=True)
+        sims = _matrix(asked["embedding"]) @ matrix.T
         own = pd.merge(
             asked[["own_id"]].dropna().rename_axis("q").reset_index(),
             stored[["owner"]].dropna().rename_axis("v").reset_index(),

@@ -60,6 +60,14 @@ def class_scores(confusion: DataFrame, by: tuple[str, ...] = ("split",)) -> Data
     )
 
 
+# Scores are added up as decimals of this type, so a sum does not depend on the order of the rows.
+EXACT = "decimal(20,12)"
+
+
+def _exact(score: Column) -> Column:
+    return score.cast(EXACT)
+
+
 def split_metrics(
     preds: DataFrame, label_col: str = "issue", pred_col: str = "pred_issue", by: tuple[str, ...] = ("split",)
 ) -> DataFrame:
@@ -69,8 +77,10 @@ def split_metrics(
     return scores.groupBy(*by).agg(
         total.alias("n"),
         (F.sum("tp") / total).alias("accuracy"),
-        F.avg("f1_score").alias("macro_f1"),
-        (F.sum(F.col("f1_score") * F.col("support")) / total).alias("weighted_f1"),
+        (F.sum(_exact(F.col("f1_score"))).cast("double") / F.count(F.lit(1))).alias("macro_f1"),
+        (F.sum(_exact(F.col("f1_score")) * F.col("support")).cast("double") / total).alias(
+            "weighted_f1"
+        ),
     )
 
 

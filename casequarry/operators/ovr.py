@@ -180,6 +180,45 @@ def fit(
     return OvrModel(labels, w[:, :-1], w[:, -1])
 
 
+def optimality(
+    train: DataFrame,
+    model: OvrModel,
+    config: OvrConfig = OvrConfig(),
+    features: str = "features",
+    label: str = "issue",
+) -> DataFrame:
+    """``(label, n, weight_sum, solved)`` of every binary problem of a fitted model.
+
+    ``weight_sum`` adds up the balanced weights of all rows. A problem is solved if the gradient at
+    its coefficients is as small as ``tol`` asks, or the allowed steps were used up.
+    """
+    counts = {
+        row["label"]: row["n"]
+        for row in train.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    n, names = sum(counts.values()), F.array(*[F.lit(x) for x in model.labels])
+    targets = np.arange(len(model.labels)) if len(model.labels) > 2 else np.array([1])
+    share = np.array([counts[model.labels[t]] / n for t in targets])
+    rows = train.select(
+        F.unwrap_udt(features).alias("x"),
+        (F.array_position(names, F.col(label)) - 1).cast("int").alias("class"),
+    )
+    penalty = 1.0 / (config.c * n)
+    w = np.concatenate([model.coefficients, model.intercepts[:, None]], axis=1)
+    gradient = _losses(rows, targets, share, w)[1] / n + penalty * w
+    start = _losses(rows, targets, share, np.zeros_like(w))[1] / n
+    goal = config.tol * np.maximum(np.minimum(share, 1 - share), 1.0 / n)
+    # Sums over tasks round differently from run to run.
+    solved = np.linalg.norm(gradient, axis=1) <= 1.01 * goal * np.linalg.norm(start, axis=1)
+    out = []
+    for t, ok in zip(targets.tolist(), solved.tolist()):
+        m = counts[model.labels[t]]
+        weights = m * (n / (2 * m)) + (n - m) * (n / (2 * (n - m)))
+        out.append((model.labels[t], m, round(weights, 6), ok))
+    schema = "label string, n long, weight_sum double, solved boolean"
+    return train.sparkSession.createDataFrame(out, schema)
+
+
 def _score(rows: DataFrame, coefficients: np.ndarray, intercepts: np.ndarray, first: int) -> DataFrame:
     """Keep the best ``(score, class)`` so far; later classes win ties."""
     spark = rows.sparkSession

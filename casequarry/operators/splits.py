@@ -110,15 +110,13 @@ def attach_split_by_id(rows: DataFrame, splits: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SplitLookup:
-    """What is needed to place a dated row without moving it.
+    """What is needed to place a listed row without moving it.
 
     ``val_start`` and ``test_start`` are the first ``(received, case_id)`` keys of these splits.
-    ``moved`` holds the ids whose entries fall into several splits, with the split that counts.
     """
 
     val_start: tuple | None
     test_start: tuple | None
-    moved: DataFrame
 
     def place(self, received: Column, case_id: Column) -> Column:
         key = F.struct(received.alias("received"), case_id.alias("case_id"))
@@ -145,38 +143,49 @@ def split_lookup(splits: DataFrame) -> SplitLookup:
         .agg(F.min(F.struct("received", "case_id")).alias("first"))
         .collect()
     }
-    moved = materialize(
-        splits.groupBy("case_id")
-        .agg(
-            F.min(_ordinal(F.col("split"))).alias("first_split"),
-            F.max(_ordinal(F.col("split"))).alias("last_split"),
-            F.max_by("split", _ordinal(F.col("split"))).alias("moved_to"),
-        )
-        .where(F.col("first_split") < F.col("last_split"))
-        .select("case_id", "moved_to"),
-        "moved-ids",
+    return SplitLookup(starts.get("val"), starts.get("test"))
+
+
+def _looked_up(dated: DataFrame, splits: DataFrame) -> DataFrame:
+    """``(case_id, looked_up)`` of the ids of ``dated`` rows that a comparison of keys may misplace.
+
+    These are ids whose entries fall into several splits, and ids of a ``(received, case_id)`` that
+    is not listed; ``looked_up`` is the split of the id, null if the id is not listed at all. Keys
+    are compared on narrow columns, and the result is written, so the planner knows its size.
+    """
+    listed = splits.groupBy("case_id").agg(
+        F.min(_ordinal(F.col("split"))).alias("first_split"),
+        F.max(_ordinal(F.col("split"))).alias("last_split"),
+        F.max_by("split", _ordinal(F.col("split"))).alias("looked_up"),
+    )
+    moved = listed.where(F.col("first_split") < F.col("last_split")).select("case_id")
+    keys = dated.select("received", "case_id").distinct()
+    unlisted = keys.join(splits, ["received", "case_id"], "left_anti").select("case_id")
+    ids = moved.unionByName(unlisted).distinct()
+    return materialize(
+        ids.join(listed, "case_id", "left").select("case_id", "looked_up"), "looked-up-ids"
     )
-    return SplitLookup(starts.get("val"), starts.get("test"), moved)
 
 
 def attach_split(cases: DataFrame, splits: DataFrame) -> DataFrame:
-    """Rows of listed ids with their split; the text is not shuffled for it.
+    """Rows of listed ids with the split of their id; the text is not shuffled where all are listed.
 
-    The split lists are contiguous in ``(received, case_id)`` order, so a dated row finds its
-    split by comparing with two keys. Only ids that occur in several splits are looked up, in a
-    table whose size the planner knows. Undated rows are joined by id.
-
-    ``cases`` must be rows from which the lists were made, or a subset of them, or undated.
+    The split lists are contiguous in ``(received, case_id)`` order, so a row with a listed key finds
+    its split by comparing with two keys. Ids in several splits, ids of rows with another date than
+    the listed one, and ids of undated rows are joined. Rows of unlisted ids are dropped.
     """
     lookup = split_lookup(splits)
     rows = with_string_id(cases)
+    dated = dated_cases(rows)
+    joined = _looked_up(dated, splits).withColumn("by_id", F.lit(True))
+    placed = F.when(F.col("by_id"), F.col("looked_up")).otherwise(
+        lookup.place(F.col("received"), F.col("case_id"))
+    )
     dated = (
-        dated_cases(rows)
-        .join(lookup.moved, "case_id", "left")
-        .withColumn(
-            "split", F.coalesce("moved_to", lookup.place(F.col("received"), F.col("case_id")))
-        )
-        .drop("moved_to")
+        dated.join(joined, "case_id", "left")
+        .withColumn("split", placed)
+        .where(F.col("split").isNotNull())
+        .drop("looked_up", "by_id")
     )
     undated = attach_split_by_id(rows.where(F.col("received").isNull()), splits)
     return dated.unionByName(undated)
@@ -185,16 +194,26 @@ def attach_split(cases: DataFrame, splits: DataFrame) -> DataFrame:
 def listed_texts(cases: DataFrame, splits: DataFrame) -> DataFrame:
     """Every split entry with the text of its id: ``(case_id, received, split, n, text)``.
 
-    Of several rows with one id the last in file order gives the text. Only the repeated ids,
-    found on narrow columns, are joined with the lists; all other rows are placed by date.
+    Of several rows with one id the last in file order gives the text. An id with one row and one
+    entry of the same date is placed by that date; all others, found on narrow columns, are joined
+    with the lists.
     """
     usable = with_string_id(usable_cases(cases)).select(
         "case_id", "received", "text", "ingest_pos"
     )
+    entries = splits.groupBy("case_id").agg(
+        F.sum("n").alias("entries"), F.min("received").alias("listed")
+    )
+    once = (F.col("rows") == 1) & (F.col("entries") == 1) & F.col("day").eqNullSafe(F.col("listed"))
     repeated = materialize(
         usable.groupBy("case_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("ingest_pos").alias("last_pos"))
-        .where(F.col("rows") > 1)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max("ingest_pos").alias("last_pos"),
+            F.min("received").alias("day"),
+        )
+        .join(entries, "case_id", "left")
+        .where(~F.coalesce(once, F.lit(False)))
         .select("case_id", "last_pos"),
         "repeated-ids",
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +20,15 @@ from casequarry.operators import (
     hybrid,
     ivf,
     metrics,
+    ovr,
     splits,
     svd,
     tfidf,
 )
 from casequarry.plans import classify, samples
-from casequarry.storage import materialize
+from casequarry.schema import SOURCE_COLUMNS
+from casequarry.sources import cases, tables
+from casequarry.storage import materialize, shared_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _STAGE_TABLES: dict[tuple[str, str, str], DataFrame] = {}
@@ -46,6 +51,11 @@ def _stage_table(
     return _STAGE_TABLES[key]
 
 
+def forget() -> None:
+    """Let the next query build the tables it shares with others anew."""
+    _STAGE_TABLES.clear()
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
@@ -158,6 +168,93 @@ def snippets(spark, sf_dir):
     )
 
 
+# Sources and sinks
+
+_SOURCE_NAMES = {new: old for old, new in SOURCE_COLUMNS.items()}
+
+
+def _complaints(spark, sf_dir):
+    """Cases under the names of the source, dates as text, some of them or of the ids missing."""
+    number = F.col("ingest_pos")
+    day = F.date_format("received", "yyyy-MM-dd")
+    return samples.cases(spark, sf_dir).select(
+        F.when(number % 11 != 0, F.col("case_id")).alias("case_id"),
+        F.when(number % 7 != 0, day).otherwise("not a day").alias("received"),
+        F.when(number % 13 != 0, F.col("product")).otherwise("N/A").alias("product"),
+        "issue",
+        F.when(number % 17 == 0, "nan").when(number % 19 == 0, " \t ").otherwise(F.col("text")).alias("text"),
+        number.alias("number"),
+    )
+
+
+def _ingested(spark, sf_dir):
+    """Several CSV files with their columns in two orders, some with a column more, read as one source."""
+
+    def build():
+        folder = f"{shared_root(spark)}/casequarry/complaints-{uuid.uuid4().hex}"
+        rows = _complaints(spark, sf_dir).withColumnsRenamed(_SOURCE_NAMES)
+        names = list(_SOURCE_NAMES.values())
+        orders = (names, [*reversed(names), "number"])
+        for part, order in enumerate(orders):
+            chosen = rows.where(F.col("number") % 2 == part).select(*order)
+            writer = chosen.write.option("header", True).option("escape", '"')
+            writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
+                f"{folder}/{part}"
+            )
+        return cases.ingest(spark, f"{folder}/*/*.csv")
+
+    return _stage_table(spark, sf_dir, "ingested", build)
+
+
+@query
+def csv_ingest(spark, sf_dir):
+    found = _ingested(spark, sf_dir)
+    return found.select(
+        "case_id", F.date_format("received", "yyyy-MM-dd").alias("received"), "product", "issue", "text"
+    )
+
+
+@query
+def csv_usable(spark, sf_dir):
+    """Usable rows of the source: blank texts, the word nan and missing literals are not."""
+    rows = clean.with_string_id(clean.usable_cases(_ingested(spark, sf_dir), "text", "issue"))
+    return rows.groupBy("case_id").agg(F.count(F.lit(1)).alias("n"), F.count("received").alias("dated"))
+
+
+@query
+def source_columns(spark, sf_dir):
+    """The header of the documents, written as CSV."""
+    folder = f"{shared_root(spark)}/casequarry/header-{uuid.uuid4().hex}"
+    samples.table(spark, sf_dir, "documents").drop("text").write.option("header", True).csv(folder)
+    return cases.source_columns(spark, f"{folder}/*.csv")
+
+
+@query
+def dev_subset(spark, sf_dir):
+    """The first rows of the source as a table of their own."""
+    folder = f"{shared_root(spark)}/casequarry/subset-{uuid.uuid4().hex}"
+    cases.dev_subset(samples.cases(spark, sf_dir), folder, 100)
+    return spark.read.parquet(folder).select("case_id", "product", "text")
+
+
+@query
+def splits_round_trip(spark, sf_dir):
+    folder = f"{shared_root(spark)}/casequarry/splits-{uuid.uuid4().hex}"
+    tables.write_splits(_splits(spark, sf_dir), folder)
+    return tables.read_splits(spark, folder).select("case_id", "split", "pos", "n")
+
+
+@query
+def predictions_round_trip(spark, sf_dir):
+    """Predictions with texts of any kind through CSV and back."""
+    folder = f"{shared_root(spark)}/casequarry/predictions-{uuid.uuid4().hex}"
+    rows = samples.cases(spark, sf_dir).select(
+        "case_id", F.lit("val").alias("split"), "issue", F.col("product").alias("pred_issue"), "text"
+    )
+    tables.write_table(rows, folder, "csv")
+    return tables.read_predictions(spark, folder, "csv")
+
+
 # Splits
 
 
@@ -191,6 +288,29 @@ def attach_split(spark, sf_dir):
     return found.select("case_id", "issue", "split")
 
 
+@query
+def attach_split_unlisted(spark, sf_dir):
+    """Lists from two thirds of the cases; rows of all, some of them under another date."""
+    cases = samples.cases(spark, sf_dir)
+    listed = splits.split_cases(cases.where(F.col("ingest_pos") % 3 != 0))
+    later = F.expr("received + INTERVAL 40 DAYS")
+    moved = F.when(F.col("ingest_pos") % 5 == 0, later).otherwise(F.col("received"))
+    rows = clean.usable_cases(cases).withColumn("received", moved)
+    attached = splits.attach_split(rows, materialize(listed, "unlisted-splits"))
+    return attached.select("case_id", "split")
+
+
+@query
+def listed_texts_unlisted(spark, sf_dir):
+    """The texts of lists that were built from other rows: some ids absent, some under other dates."""
+    cases = samples.cases(spark, sf_dir)
+    listed = materialize(splits.split_cases(cases), "all-splits")
+    later = F.expr("received + INTERVAL 40 DAYS")
+    moved = F.when(F.col("ingest_pos") % 5 == 0, later).otherwise(F.col("received"))
+    rows = cases.where(F.col("ingest_pos") % 3 != 0).withColumn("received", moved)
+    return splits.listed_texts(rows, listed).select("case_id", "split", "n", "text")
+
+
 @query
 def attach_split_by_id(spark, sf_dir):
     labels = samples.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "case_id")
@@ -281,11 +401,19 @@ def tfidf_vocabulary(spark, sf_dir):
     return _rounded(tfidf.vocabulary(train, "text", tfidf.TfidfConfig(), train.count()), "idf")
 
 
+@query
+def tfidf_vocabulary_cut(spark, sf_dir):
+    """A vocabulary that its limit cuts among terms of equal frequency."""
+    train = _train(spark, sf_dir)
+    config = tfidf.TfidfConfig(max_features=1000)
+    return _rounded(tfidf.vocabulary(train, "text", config, train.count()), "idf")
+
+
 @query
 def tfidf_weights(spark, sf_dir):
     model = _tfidf_model(spark, sf_dir)
     rows = model.transform(_rows(spark, sf_dir).select("case_id", "text"), "text")
-    long = tfidf.weights(rows, model)
+    long = tfidf.weights(rows)
     return _rounded(
         long.join(model.table(spark).select("term_id", "term"), "term_id").drop("term_id"), "weight"
     )
@@ -312,13 +440,22 @@ def _svd_input(spark, sf_dir):
 
 @query
 def svd_encode(spark, sf_dir):
-    """Unit vectors of 64 dimensions for every case, from the retriever's TF-IDF."""
+    """Unit vectors for every case, from the retriever's TF-IDF."""
     model, matrix = _svd_input(spark, sf_dir)
     train = clean.select_split(matrix, "train")
-    reduced = svd.fit(train, model.size, model.n_docs, svd.SvdConfig(n_components=64))
+    reduced = svd.fit(train, model.size, model.n_docs)
     return svd.encode(matrix, reduced)
 
 
+@query
+def svd_invariants(spark, sf_dir):
+    """Orthonormal components that carry what their singular values say."""
+    model, matrix = _svd_input(spark, sf_dir)
+    train = clean.select_split(matrix, "train")
+    found = svd.invariants(train, svd.fit(train, model.size, model.n_docs))
+    return found.select("i", "j", F.abs(F.round("value", 5)).alias("value"))
+
+
 # Neighbours over the given vectors
 
 
@@ -371,6 +508,21 @@ def ivf_full_probe(spark, sf_dir):
     return _rounded(found, "cosine_similarity")
 
 
+GIVEN_CELLS = 40
+
+
+@query
+def ivf_given_cells(spark, sf_dir):
+    """The first vectors as cells, and the 16 nearest cells of each query probed."""
+    vectors = _split_vectors(spark, sf_dir)
+    first = vectors.where(F.col("pos") < GIVEN_CELLS).orderBy("pos").select("embedding").collect()
+    centroids = np.array([row["embedding"] for row in first])
+    index = ivf.build_index(clean.select_split(vectors, "train"), centroids=centroids)
+    rows = _vector_rows(spark, sf_dir)
+    found = evidence.collect_evidence(index, vectors, rows, nprobe=ivf.IvfConfig().nprobe)
+    return _rounded(found.drop("query_pos"), "cosine_similarity")
+
+
 @query
 def ivf_search(spark, sf_dir):
     """The 16 nearest cells probed."""
@@ -391,6 +543,30 @@ def augmented_text(spark, sf_dir):
     )
 
 
+def _coarse(rows: DataFrame, *names: str) -> DataFrame:
+    """Labels in two groups, so that neighbours often agree."""
+    return rows.withColumns({c: (F.col(c).cast("int") % 2).cast("string") for c in names})
+
+
+def _coarse_merged(spark, sf_dir):
+    found = _coarse(_exact_evidence(spark, sf_dir), "hit_issue")
+    preds = _coarse(_base_predictions(spark, sf_dir), "issue", "pred_issue")
+    return hybrid.override(preds, hybrid.aggregate_evidence(found))
+
+
+@query
+def coarse_override(spark, sf_dir):
+    """Overrides take place."""
+    return _coarse_merged(spark, sf_dir)
+
+
+@query
+def coarse_hybrid_metrics(spark, sf_dir):
+    return _rounded(
+        hybrid.hybrid_metrics(_coarse_merged(spark, sf_dir)), "retrieval_override_rate", *METRIC_COLUMNS
+    )
+
+
 def _base_predictions(spark, sf_dir):
     vectors = clean.select_split(_split_vectors(spark, sf_dir), "val", "test")
     guess = F.floor(F.col("pos") / 10) % 10
@@ -476,6 +652,15 @@ def ovr_predictions(spark, sf_dir):
     return classify.predictions(_rows(spark, sf_dir))
 
 
+@query
+def ovr_optimality(spark, sf_dir):
+    """Every binary problem of the baseline is solved under balanced weights."""
+    train = _train(spark, sf_dir)
+    terms = tfidf.fit(train, "text", tfidf.TfidfConfig())
+    matrix = materialize(terms.transform(train.select("issue", "text"), "text"), "train-matrix")
+    return ovr.optimality(matrix, ovr.fit(matrix))
+
+
 @query
 def retrieval_evidence(spark, sf_dir):
     """Text to TF-IDF, SVD, cells and the evidence of every case."""
@@ -485,8 +670,7 @@ def retrieval_evidence(spark, sf_dir):
 def _text_evidence(spark, sf_dir):
     def build():
         rows = _rows(spark, sf_dir)
-        config = evidence.RetrieverConfig(svd=svd.SvdConfig(n_components=64))
-        retriever = evidence.fit_retriever(rows, config)
+        retriever = evidence.fit_retriever(rows)
         return evidence.collect_evidence(retriever.index, retriever.vectors, rows)
 
     return _stage_table(spark, sf_dir, "text-evidence", build)

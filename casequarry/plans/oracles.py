@@ -332,8 +332,9 @@ def scores(name: str, source: str, pred: str) -> str:
   GROUP BY 1, 2),
 {name}_f1 AS (SELECT *, 2.0 * tp / (support + predicted) AS f1 FROM {name}_classes),
 {name} AS (
-  SELECT split, cast(sum(support) AS bigint) AS n, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1,
-         sum(f1 * support) / sum(support) AS weighted_f1
+  SELECT split, cast(sum(support) AS bigint) AS n, sum(tp) / sum(support) AS accuracy,
+         cast(sum(cast(f1 AS decimal(20, 12))) AS double) / count(*) AS macro_f1,
+         cast(sum(cast(f1 AS decimal(20, 12)) * cast(support AS decimal(12, 0))) AS double) / sum(support) AS weighted_f1
   FROM {name}_f1 GROUP BY 1)"""
 
 
@@ -408,6 +409,108 @@ FROM held_out
 UNION ALL
 SELECT 4, format('Best test weighted-F1 in the current run: {{}} ({{:.3f}}).', model, weighted_f1) FROM best
 UNION ALL
-SELECT 5, CASE WHEN model = 'TF-IDF + LogReg'
-  THEN 'Interpretation: the plain TF-IDF baseline is strongest on test; the retrieval variants provide evidence but do not improve held-out performance in this run.'
-  ELSE 'Interpretation: ' || model || ' is strongest on test in this run; retrieval improves held-out performance over the plain TF-IDF baseline.' END FROM best"""
+SELECT 5, CASE WHEN helped > plain
+    THEN 'Conclusion: similar cases raise the weighted-F1 of the baseline on held-out cases.'
+  WHEN helped = plain
+    THEN 'Conclusion: with similar cases the weighted-F1 on held-out cases is that of the baseline.'
+  ELSE 'Conclusion: similar cases explain a prediction, but held-out weighted-F1 falls below the baseline.' END
+FROM (SELECT max(weighted_f1) FILTER (model = 'TF-IDF + LogReg') AS plain,
+             max(weighted_f1) FILTER (model <> 'TF-IDF + LogReg') AS helped FROM held_out)"""
+
+SHIFTED = f"""
+WITH {CASES},
+shifted AS (
+  SELECT * REPLACE (received + INTERVAL (CASE WHEN ingest_pos % 5 = 0 THEN 40 ELSE 0 END) DAY AS received) FROM cases)"""
+
+ORACLES["attach_split_unlisted"] = f"""
+{SHIFTED}, {usable('cases')}, kept AS (SELECT * FROM usable WHERE ingest_pos % 3 <> 0), {split_of('kept')}
+SELECT u.case_id, s.split FROM usable u JOIN splits s USING (case_id)"""
+
+ORACLES["listed_texts_unlisted"] = f"""
+{SHIFTED}, {usable('cases')}, {split_of('usable')}
+SELECT s.case_id, s.split, cast(1 AS bigint) AS n, u.text
+FROM splits s JOIN usable u USING (case_id) WHERE u.ingest_pos % 3 <> 0"""
+
+ORACLES["tfidf_vocabulary_cut"] = (
+    VOCABULARY.replace("LIMIT 100000", "LIMIT 1000") + " SELECT term, df, tf, round(idf, 6) AS idf FROM vocabulary"
+)
+
+ORACLES["svd_invariants"] = f"""
+{VOCABULARY},
+size AS (
+  SELECT least(256, least((SELECT total FROM train_size), (SELECT count(*) FROM vocabulary)) - 1) AS k),
+i AS (SELECT unnest(range(k)) AS i FROM size)
+SELECT cast(a.i AS integer) AS i, cast(b.i AS integer) AS j, CASE WHEN a.i = b.i THEN 1.0::double ELSE 0 END AS value
+FROM i a JOIN i b ON b.i <= a.i
+UNION ALL SELECT i, NULL, 1 FROM i"""
+
+ORACLES["ovr_optimality"] = f"""
+{LISTED},
+train AS (SELECT issue AS label FROM splits WHERE split = 'train' AND {is_usable('issue')})
+SELECT label, count(*) AS n, cast((SELECT count(*) FROM train) AS double) AS weight_sum, true AS solved
+FROM train GROUP BY label"""
+
+GIVEN = f"""
+{VECTORS},
+texts AS (SELECT doc_id, {FLAT} AS flat FROM documents),
+cells AS (SELECT vec_id AS cell, embedding AS center FROM splits WHERE vec_id < 40),
+near AS (
+  SELECT s.vec_id, cell, row_number() OVER (PARTITION BY s.vec_id ORDER BY list_dot_product(s.embedding, center)
+    / sqrt(list_dot_product(center, center)) DESC, cell) AS place
+  FROM splits s, cells),
+pairs AS (
+  SELECT q.case_id AS query_id, q.split AS query_split, t.vec_id AS hit_pos, t.case_id AS hit_id, t.issue AS hit_issue,
+         list_dot_product(q.embedding, t.embedding) / (sqrt(list_dot_product(q.embedding, q.embedding))
+           * sqrt(list_dot_product(t.embedding, t.embedding))) AS sim
+  FROM splits q JOIN near a ON a.vec_id = q.vec_id AND a.place <= 16
+  JOIN near b ON b.cell = a.cell AND b.place = 1
+  JOIN splits t ON t.vec_id = b.vec_id AND t.split = 'train' AND NOT (q.split = 'train' AND q.case_id = t.case_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, hit_pos) AS place FROM pairs)"""
+
+ORACLES["ivf_given_cells"] = f"""
+{GIVEN}
+SELECT query_id, query_split, cast(place AS integer) AS rank, hit_id, hit_issue,
+       round(sim, 6) AS cosine_similarity, coalesce({shorten('flat', 350)}, '') AS hit_snippet
+FROM placed LEFT JOIN texts ON doc_id = hit_pos WHERE place <= 3"""
+
+COARSE = (
+    MERGED.replace("t.issue AS hit_issue", "cast(cast(t.issue AS integer) % 2 AS varchar) AS hit_issue")
+    .replace("SELECT case_id, split, issue, cast((vec_id // 10) % 10 AS varchar) AS pred_issue",
+             "SELECT case_id, split, cast(cast(issue AS integer) % 2 AS varchar) AS issue, "
+             "cast((vec_id // 10) % 2 AS varchar) AS pred_issue")
+)
+
+ORACLES["coarse_override"] = f"{COARSE} SELECT * FROM merged"
+
+ORACLES["coarse_hybrid_metrics"] = (
+    f"{COARSE}, {scores('hybrid', 'merged', 'hybrid_pred_issue')}, rates AS (SELECT split, "
+    "avg(coalesce(top3_all_agree, false)::integer) AS rate FROM merged GROUP BY 1) "
+    f"SELECT split, n, round(rate, 6) AS retrieval_override_rate, {ROUNDED} FROM hybrid JOIN rates USING (split)"
+)
+
+COMPLAINTS = """
+WITH complaints AS (
+  SELECT CASE WHEN doc_id % 11 <> 0 THEN cast(doc_id AS varchar) END AS case_id,
+         CASE WHEN doc_id % 7 <> 0 THEN strftime(DATE '2020-01-01' + cast(doc_id % 730 AS integer), '%Y-%m-%d') END AS received,
+         CASE WHEN doc_id % 13 <> 0 THEN source END AS product, lang AS issue,
+         CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN ' ' || chr(9) || ' ' ELSE text END AS text
+  FROM documents)"""
+
+ORACLES["csv_ingest"] = f"{COMPLAINTS} SELECT * FROM complaints"
+
+ORACLES["csv_usable"] = f"""
+{COMPLAINTS}
+SELECT coalesce(case_id, 'nan') AS case_id, count(*) AS n, count(received) AS dated
+FROM complaints WHERE {is_usable('text')} AND {is_usable('issue')} GROUP BY 1"""
+
+ORACLES["source_columns"] = """
+SELECT * FROM (VALUES (0, 'doc_id'), (1, 'lang'), (2, 'source'), (3, 'n_chars')) AS t(idx, name)"""
+
+ORACLES["dev_subset"] = """
+SELECT cast(doc_id AS varchar) AS case_id, source AS product, text FROM documents WHERE doc_id < 100"""
+
+ORACLES["splits_round_trip"] = ORACLES["chronological_split"]
+
+ORACLES["predictions_round_trip"] = """
+SELECT cast(doc_id AS varchar) AS case_id, 'val' AS split, lang AS issue, source AS pred_issue, text FROM documents"""

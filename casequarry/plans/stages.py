@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casequarry.operators import bm25, compare, eda, evidence, hybrid, metrics, splits
 from casequarry.operators.bm25 import Bm25Config
@@ -49,9 +50,10 @@ def _cases(spark: SparkSession, cfg: StageConfig) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, cfg: StageConfig) -> DataFrame:
-    """Rows with usable text and label, and their split."""
+    """Rows with usable text and label, and their split; written once, a folder per split."""
     rows = usable_cases(_cases(spark, cfg), "text", "issue")
-    return splits.attach_split(rows, tables.read_splits(spark, cfg.at("splits")))
+    attached = splits.attach_split(rows, tables.read_splits(spark, cfg.at("splits")))
+    return materialize(attached, "labelled", partition_by="split")
 
 
 def _result(df: DataFrame, cfg: StageConfig, name: str) -> None:
@@ -71,9 +73,12 @@ def explore(spark: SparkSession, cfg: StageConfig) -> None:
     usable = usable_cases(_cases(spark, cfg))
     tables.write_table(eda.profile(usable), cfg.at("profile"))
     counts = tables.read_table(spark, cfg.at("profile"))
-    _result(eda.summary(counts), cfg, "eda_summary")
+    summary = eda.summary(counts)
+    _result(summary, cfg, "eda_summary")
+    total = summary.first()["rows_loaded_after_skip"]
     for facet, name in (("product", "top_products"), ("issue", "top_issues")):
-        _result(eda.top_labels(counts, facet), cfg, name)
+        top = eda.top_labels(counts, facet)
+        _result(eda.label_share(top, F.lit(total)), cfg, name)
     _result(eda.months_of(counts), cfg, "month_counts")
     _result(eda.histogram_of(counts), cfg, "word_length_histogram")
 
@@ -120,21 +125,28 @@ def baseline(spark: SparkSession, cfg: StageConfig) -> None:
 
 
 def _augmented(spark: SparkSession, cfg: StageConfig) -> dict[str, DataFrame]:
-    """Evidence, then the augmented rows; reused while source and settings are the same."""
-
-    def build() -> dict[str, DataFrame]:
-        rows = _labelled(spark, cfg)
-        retriever = evidence.fit_retriever(rows, cfg.retriever)
-        found = materialize(
-            evidence.collect_evidence(
-                retriever.index, retriever.vectors, rows, cfg.retriever.snippet_chars
-            ),
-            "evidence",
+    """Evidence, then the augmented rows; reused while cases, splits and settings are the same."""
+
+    labelled: list[DataFrame] = []
+
+    def rows() -> DataFrame:
+        if not labelled:
+            labelled.append(_labelled(spark, cfg))
+        return labelled[0]
+
+    def found(_: dict[str, DataFrame]) -> DataFrame:
+        retriever = evidence.fit_retriever(rows(), cfg.retriever)
+        return evidence.collect_evidence(
+            retriever.index, retriever.vectors, rows(), cfg.retriever.snippet_chars
         )
-        return {"evidence": found, "augmented": evidence.augment(rows, found)}
 
+    build = {
+        "evidence": found,
+        "augmented": lambda written: evidence.augment(rows(), written["evidence"]),
+    }
+    content = [tables.content_of(spark, cfg.at(name)) for name in ("cases", "splits")]
     return tables.load_or_build(
-        spark, cfg.at("rac_checkpoint"), build, cfg.source, cfg.max_rows, cfg.fractions, cfg.retriever
+        spark, cfg.at("rac_checkpoint"), build, cfg.source, cfg.max_rows, cfg.retriever, *content
     )
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casequarry.functions.text import missing_to_null, parse_day
 from casequarry.operators.clean import cap_rows
@@ -12,23 +17,62 @@ from casequarry.schema import CASES, SOURCE_COLUMNS
 from casequarry.storage import materialize
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text. Quoted line breaks are kept, short lines padded, long ones cut.
+def headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """Every distinct header of the source files with the files that have it, in file order.
 
-    A quoted line break forbids splitting a file, so a task reads a whole file: give many files.
+    The first line of a file is found by its place, one row per file.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("_metadata.file_block_start").alias("start"),
     )
+    first = lines.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "row").alias("line"))
+    found: dict[tuple, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        names = next(csv.reader([row["line"].removeprefix("\ufeff").rstrip("\r")]), [])
+        found.setdefault(tuple(names), []).append(unquote(row["file"]))
+    return [(list(names), files) for names, files in found.items()]
+
+
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, by name. Quoted line breaks are kept, short lines padded, long ones cut.
+
+    Files may have their columns in different orders, and a column that a file lacks is null there.
+    Of columns with the same name the first is read. A quoted line break forbids splitting a file, so
+    a task reads a whole file: give many files.
+    """
+
+    def read(names: list[str], files: list[str]) -> DataFrame:
+        place: dict[str, int] = {}
+        for i, name in enumerate(names):
+            place.setdefault(name, i)
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .csv(files)
+        )
+        return rows.select(
+            *[F.col(f"c{i}").alias(name) for name, i in place.items()],
+            F.col("_metadata.file_path").alias("__file"),
+            F.monotonically_increasing_id().alias("__row"),
+        )
+
+    found = headers(spark, path)
+    if not found:
+        raise ValueError(f"no lines in {path}")
+    parts = [read(names, files) for names, files in found]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def source_columns(spark: SparkSession, path: str) -> DataFrame:
     """Column list of the source as ``(idx, name)``."""
-    names = read_source(spark, path).columns
+    names = read_source(spark, path).drop("__file", "__row").columns
     return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
 
 
@@ -45,8 +89,8 @@ def ingest(spark: SparkSession, path: str) -> DataFrame:
     parsed = materialize(
         source.select(
             *[missing_to_null(F.col(f"`{old}`")).alias(new) for old, new in SOURCE_COLUMNS.items()],
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("row"),
+            F.col("__file").alias("file"),
+            F.col("__row").alias("row"),
         ),
         "parsed-source",
     )

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casequarry.operators.bm25 import nested_hits
@@ -66,22 +67,38 @@ def fingerprint(*parts: Any) -> str:
     return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
 
 
+def content_of(spark: SparkSession, path: str) -> tuple:
+    """Number of rows and a sum over names, lengths and times of the files of a Parquet table."""
+    files = spark.read.parquet(path).select(
+        F.xxhash64(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+        ).alias("file")
+    )
+    per_file = files.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum(F.xxhash64("file", "n").cast("decimal(38,0)")).cast("string")
+    return tuple(per_file.agg(F.sum("n"), total).first())
+
+
 def load_or_build(
-    spark: SparkSession, path: str, build: Callable[[], dict[str, DataFrame]], *parts: Any
+    spark: SparkSession,
+    path: str,
+    build: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
+    *parts: Any,
 ) -> dict[str, DataFrame]:
     """Tables built under the same settings are read again; otherwise they are built and written.
 
-    Tables are written in the order given. A marker follows the last one, so an interrupted run
-    is not taken for a finished one.
+    Tables are built and written in the order given; each builder gets those before it as they
+    were written. A marker follows the last one, so an interrupted run is not taken for a finished
+    one. ``parts`` should tell the content of the inputs as well, see :func:`content_of`.
     """
     base = f"{path}/{fingerprint(*parts)}"
     try:
         names = [row["name"] for row in spark.read.schema("name string").json(f"{base}/complete").collect()]
     except AnalysisException:
-        tables = build()
-        names = list(tables)
-        for name, df in tables.items():
-            write_table(df, f"{base}/{name}")
+        names, written = list(build), {}
+        for name, make in build.items():
+            write_table(make(written), f"{base}/{name}")
+            written[name] = spark.read.parquet(f"{base}/{name}")
         spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode(
             "overwrite"
         ).json(f"{base}/complete")

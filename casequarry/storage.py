@@ -2,38 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOT = "casequarry.local.checkpoint.dir"
-
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``, else the warehouse; executors reach both."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = spark.conf.get(_LOCAL_ROOT, None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="casequarry-")
-        spark.conf.set(_LOCAL_ROOT, root)
-    return root
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
     Cuts the lineage, makes non-deterministic columns stable, and gives the planner the true
-    size of the table, so that it broadcasts only what is below its threshold.
+    size of the table, so that it broadcasts only what is below its threshold. A filter on
+    ``partition_by``, a column of few values, skips the files of the others.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/casequarry/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -61,13 +61,26 @@ def test_comparison(spark):
     rates = {r["model"]: r["retrieval_override_rate"] for r in both.collect()}
     assert rates == {compare.BASELINE: None, compare.AUGMENTED: None, compare.HYBRID: 0.25}
     assert compare.best_model(both).first()["model"] == compare.HYBRID
-    assert [r["model"] for r in compare.ranked_by_f1(both).collect()] == [
-        compare.AUGMENTED,
-        compare.BASELINE,
-        compare.HYBRID,
-    ]
     lines = [r["value"] for r in compare.summary_lines(both).collect()]
     assert len(lines) == 6
     assert lines[1].startswith("- TF-IDF + Logistic Regression baseline: accuracy=0.500, macro-F1=0.500")
-    assert lines[4] == "Best test weighted-F1 in the current run: Hybrid retrieval (0.612)."
-    assert lines[5].startswith("Interpretation: Hybrid retrieval is strongest")
+    assert lines[4] == "Best test weighted-F1 in the current run: Hybrid retrieval (0.613)."
+    assert lines[5] == compare.CONCLUSIONS["above"]
+    for score, word in ((0.5, "equal"), (0.4, "below")):
+        tied = compare.union_metrics(
+            {
+                compare.BASELINE: table([("test", 0.5)]),
+                compare.AUGMENTED: table([("test", 0.3)]),
+                compare.HYBRID: table([("test", score)], 0.0),
+            }
+        )
+        last = [r["value"] for r in compare.summary_lines(tied).collect()][-1]
+        assert last == compare.CONCLUSIONS[word]
+
+
+def test_fixed_decimals_follow_the_binary_value(spark):
+    from casequarry.functions.text import fixed_decimals
+
+    rows = spark.createDataFrame([(x,) for x in (0.1125, 0.0005, 0.5015, 0.5, None)], "x double")
+    shown = [r[0] for r in rows.select(fixed_decimals(rows["x"], 3)).collect()]
+    assert shown == ["0.113", "0.001", "0.501", "0.500", None]

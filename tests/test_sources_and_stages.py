@@ -73,13 +73,40 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == rows
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    (folder / "1.csv").write_text(
+        "Complaint ID,Date received,Product,Issue,Consumer complaint narrative\n1,2024-01-02,p,i,one\n"
+    )
+    (folder / "2.csv").write_text(
+        'Consumer complaint narrative,Issue,More,Product,Date received,Complaint ID\n"two\nlines",j,x,q,2024-03-04,2\n'
+    )
+    found = case_source.ingest(spark, str(folder)).orderBy("ingest_pos").collect()
+    assert [(r["case_id"], str(r["received"])[:10], r["product"], r["issue"], r["text"]) for r in found] == [
+        ("1", "2024-01-02", "p", "i", "one"),
+        ("2", "2024-03-04", "q", "j", "two\nlines"),
+    ]
+    assert [r["ingest_pos"] for r in found] == [0, 1]
+
+
+def test_content_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    before = tables.content_of(spark, path)
+    assert before == tables.content_of(spark, path) and before[0] == 3
+    spark.range(9).write.mode("overwrite").parquet(path)
+    assert tables.content_of(spark, path) != before
+
+
 def test_load_or_build(spark, tmp_path):
     calls = []
 
-    def build():
+    def first(_):
         calls.append(1)
-        return {"a": spark.range(3), "b": spark.range(2)}
+        return spark.range(3)
 
+    build = {"a": first, "b": lambda written: written["a"].where("id < 2")}
     path = str(tmp_path / "ckpt")
     for _ in range(2):
         got = tables.load_or_build(spark, path, build, "settings", 1)
