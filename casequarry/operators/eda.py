@@ -229,6 +229,7 @@ def render(facts: DataFrame) -> DataFrame:
     def date(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("NA"))
 
+    # The wording of the report.
     lines = [
         F.format_string("Usable narratives (after robust parsing + filtering): N = %d", number("rows_loaded_after_skip")),
         F.format_string("Time coverage: %s to %s", date("date_min"), date("date_max")),
