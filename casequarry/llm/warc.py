@@ -92,7 +92,7 @@ def _record(page_id, url, payload: bytes, digest: str, kind: str, refers_to) ->
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _bundle(batches):
+def bundle(batches, rows_per_file: int = ROWS_PER_FILE, frame_bytes: int = FRAME_BYTES):
     """Rows of the files of one task: frames, and a seek table as the last row of each file."""
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     waiting, size, entries = [], 0, []
@@ -116,10 +116,10 @@ def _bundle(batches):
         for row in zip(*(batch.column(c).to_pylist() for c in COLUMNS)):
             waiting.append(_record(*row))
             size += len(waiting[-1])
-            if size >= FRAME_BYTES:
+            if size >= frame_bytes:
                 size = 0
                 yield rows(frame())
-                if len(entries) == ROWS_PER_FILE - 1:
+                if len(entries) == rows_per_file - 1:
                     yield rows(table())
     if waiting:
         yield rows(frame())
@@ -127,14 +127,18 @@ def _bundle(batches):
         yield rows(table())
 
 
-def write(pages: DataFrame, path: str) -> None:
+def write(pages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write one record per page under ``path``."""
-    frames = records(pages).select(*COLUMNS).mapInArrow(_bundle, "frame binary")
+
+    def work(batches):
+        yield from bundle(batches, rows_per_file)
+
+    frames = records(pages).select(*COLUMNS).mapInArrow(work, "frame binary")
     (
         frames.select(F.col("frame").cast("string"))
         .write.option("encoding", "ISO-8859-1")
         .option("lineSep", _SEEKABLE.decode("latin-1"))
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .text(path)
     )
 
@@ -218,8 +222,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(work, RECORDS)
+    # A task without rows may leave an empty file.
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0)
+    return files.select("path", "content").mapInArrow(work, RECORDS)
 
 
 def archive(pages: DataFrame) -> DataFrame:

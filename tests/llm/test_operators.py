@@ -402,11 +402,10 @@ def test_warc_round_trip(spark):
     assert warc.archive(table.limit(0)).count() == 0
 
 
-def test_index_finds_records(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(warc, "ROWS_PER_FILE", 4)
+def test_index_finds_records(spark, tmp_path):
     rows = [(i, f"http://{i}", f"page {i} " * 40_000) for i in range(9)]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
-    warc.write(table, str(tmp_path / "archive"))
+    warc.write(table, str(tmp_path / "archive"), rows_per_file=4)
     index = warc.read(spark, str(tmp_path / "archive")).collect()
     assert len({r["path"] for r in index}) == 3
     for r in index:

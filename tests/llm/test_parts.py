@@ -138,11 +138,8 @@ def test_frames_open_on_their_own():
         "record_type": ["response", "response", "revisit"],
         "refers_to": [None, None, 9],
     }
-    old, warc.FRAME_BYTES = warc.FRAME_BYTES, 1
-    try:
-        parts = [b.column(0)[0].as_py() for b in warc._bundle([pa.RecordBatch.from_pydict(rows)])]
-    finally:
-        warc.FRAME_BYTES = old
+    batches = warc.bundle([pa.RecordBatch.from_pydict(rows)], frame_bytes=1)
+    parts = [b.column(0)[0].as_py() for b in batches]
     content = b"".join(p + warc._SEEKABLE for p in parts)
     table = warc.seek_table(content)
     assert len(table) == 3
