@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUPS = 256
+GROUPS = 512
 LEAF = 16
 FANOUT = 8
 

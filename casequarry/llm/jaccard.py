@@ -36,7 +36,7 @@ from casequarry.storage import materialize, shared_root
 
 SHINGLE = 5
 PERCENT = 75
-ROUNDS = 2
+ROUNDS = 5
 # Slots in which shingle frequencies are counted; they only choose the common order.
 SLOT_BITS = 20
 SLOT_BLOCKS = 16
@@ -432,13 +432,32 @@ def _led(marked: DataFrame, number: int) -> DataFrame:
     return met.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
 
 
+def _met_before(keys: pa.Array, low: int, high: int, key: int, i: np.ndarray, j: np.ndarray):
+    """Which pairs of rows from ``low`` to ``high`` also share a key below ``key``."""
+    own = keys.slice(low, high - low)
+    flat = own.flatten().to_numpy()
+    row = np.repeat(np.arange(len(own)), np.asarray(own.value_lengths()))
+    row, flat = row[flat < key], flat[flat < key]
+    if not len(flat):
+        return np.zeros(len(i), bool)
+    known, column = np.unique(flat, return_inverse=True)
+    held = np.zeros((len(own), len(known)), bool)
+    held[row, column] = True
+    held = np.packbits(held, axis=1)
+    met = np.zeros(len(i), bool)
+    for start in range(0, len(i), 100_000):
+        part = slice(start, start + 100_000)
+        met[part] = (held[i[part] - low] & held[j[part] - low]).any(axis=1)
+    return met
+
+
 def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     """Pairs of different components that share a key and survive the joined R-trees.
 
     Of the components of a key all but the largest are minor, and only their members are compared
     with the others, so a large group of linked copies is not compared with itself. Members and
-    minor ones are cut into blocks, and a group is a block of each. Returns ``(a, b, spot)``; ``spot``
-    is one of the groups that found the pair.
+    minor ones are cut into blocks, and a group is a block of each. A pair that shares several keys is
+    looked at under the smallest. Returns ``(a, b, spot)``; ``spot`` is a group that found the pair.
     """
     tally = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = tally.groupBy("key").agg(
@@ -469,7 +488,9 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         return held.select("key", "class", "label", spot, F.lit(asks).alias("asks"))
 
     members = placed(rows, False).unionByName(placed(rows.where("minor"), True))
-    members = members.join(sets.select("class", "n", "vector"), "class")
+    keys = marked.groupBy("class").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    described = sets.select("class", "n", "vector").join(keys, "class")
+    members = members.join(described, "class")
 
     def work(table: pa.Table) -> pa.Table:
         spot = table["spot"].to_numpy()
@@ -478,6 +499,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         begin = tokens.distinct(spot)
         cls, label = table["class"].to_numpy()[order], table["label"].to_numpy()[order]
         asks, sizes = table["asks"].to_numpy()[order], table["n"].to_numpy()[order]
+        key, keys = table["key"].to_numpy()[order], table["keys"].combine_chunks().take(pa.array(order))
         vectors = _vectors(table["vector"])[order]
         out: tuple[list, list, list] = ([], [], [])
         for low, high in zip(begin, np.concatenate([begin[1:], [len(order)]])):
@@ -490,6 +512,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
             )
             i, j = left[i], right[j]
             apart = label[i] != label[j]
+            apart[apart] = ~_met_before(keys, low, high, key[low], i[apart], j[apart])
             for column, values in zip(out, (cls[i[apart]], cls[j[apart]], spot[i[apart]])):
                 column.append(values)
         empty = np.zeros(0, np.int64)
