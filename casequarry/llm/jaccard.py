@@ -49,7 +49,7 @@ BUCKET = 750_000
 HELD = 1 << 19
 GROUP = 1024
 # Rows of R-trees and pairs to verify that a task holds, on average.
-TREE_ROWS, PAIRS = 12_000, 2_000
+TREE_ROWS, PAIRS = 6_000, 1_000
 FILTER_BITS = 24
 
 _SALT = np.uint64(0x2545F4914F6CDD1D)

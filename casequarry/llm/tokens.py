@@ -174,7 +174,7 @@ def counted(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.n
     return values[begin], sums
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20):
     """Parts of a batch with about ``limit`` bytes of text, one row at least."""
     at, _ = _text_bytes(batch.column(column))
     low = 0
