@@ -5,8 +5,10 @@ are kept sorted and cut into cells by their first bits; a task holds one cell, o
 parts of a cell that is too large. A query descends each tree along its own string and along the
 strings that differ where its projections are closest to zero. In the sorted array a prefix is a
 range; a range with too few vectors is ascended, one bit at a time. All trees are searched
-in step: the prefix length of the descent follows from the number of vectors and is the same in all.
-Every vector met is compared exactly, in double precision, on the original components.
+in step, with one prefix length. It starts from the number of vectors and is ascended until the
+descents of a sample of the queries meet ``RECALL`` of their true neighbours, which one pass over the
+vectors finds; so the search widens with the table, in the end to all vectors. Every vector met is
+compared exactly, in double precision, on the original components.
 
 Equal vectors are one class with its smallest ids, so copies cost nothing and tie by id.
 
@@ -33,13 +35,16 @@ PROBES = 32
 # Vectors that share the full prefix of a descent, on average, and the least before ascending.
 LEAF = 12
 LEAST = 4
+# Queries whose true neighbours are found, and the share of these that the descents have to meet.
+SAMPLE = 256
+RECALL = 0.95
 # Vectors of a cell, and the largest number of cells of a tree (their sizes travel to the tasks).
 CELL = 4096
 MOST_CELL_BITS = 14
 
 
 def depths(n: int) -> tuple[int, int]:
-    """Bits of a cell and of the prefix of a descent for ``n`` vectors."""
+    """Bits of a cell and of the longest prefix of a descent for ``n`` vectors."""
     prefix = min(BITS, max(1, round(math.log2(max(n, 2) / LEAF))))
     cell = min(MOST_CELL_BITS, max(0, math.ceil(math.log2(max(n, 1) / CELL))))
     return min(cell, prefix), prefix
@@ -157,6 +162,102 @@ def _index(table: DataFrame, bits: int) -> DataFrame:
     return table.select("class_id", "embedding").mapInArrow(work, schema)
 
 
+def _prefixes(string: int, margins: np.ndarray, prefix: int) -> list[int]:
+    """The prefixes that a query with these margins visits in a tree."""
+    own = string >> (BITS - prefix)
+    found = []
+    for flips in _flips(margins[:prefix], PROBES):
+        other = own
+        for bit in flips:
+            other ^= 1 << (prefix - 1 - bit)
+        found.append(other)
+    return found
+
+
+def _true_neighbours(table: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> list:
+    """Rows ``(at, embedding)``: the ``k`` nearest other classes of ``queries``, by comparing all."""
+    dimension = queries.shape[1]
+    units = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
+
+    def work(batches):
+        best = np.full((len(ids), k), -np.inf)
+        at = np.zeros((len(ids), k), np.int64)
+        rows = np.zeros((len(ids), k, dimension), np.float32)
+        each = np.arange(len(ids))[:, None]
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2048):
+                part = batch.slice(low, 2048)
+                for numbers, vectors in _by_dimension(part):
+                    if vectors.shape[1] != dimension:
+                        continue
+                    classes = part.column("class_id").to_numpy()[numbers]
+                    norms = np.sqrt((vectors * vectors).sum(axis=1))
+                    score = (units @ vectors.T) / norms
+                    score[ids[:, None] == classes[None, :]] = -np.inf
+                    top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    both = np.concatenate([best, score[each, top]], axis=1)
+                    order = np.argsort(-both, axis=1, kind="stable")[:, :k]
+                    at = np.concatenate([at, classes[top]], axis=1)[each, order]
+                    new = vectors[top].astype(np.float32)
+                    rows = np.concatenate([rows, new], axis=1)[each, order]
+                    best = both[each, order]
+        query, place = np.nonzero(best > -np.inf)
+        flat = pa.array(rows[query, place].ravel(), pa.float32())
+        ends = pa.array(np.arange(len(query) + 1) * dimension, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(query, pa.int32()),
+                pa.array(at[query, place]),
+                pa.array(best[query, place]),
+                pa.ListArray.from_arrays(ends, flat),
+            ],
+            names=["at", "class_id", "score", "embedding"],
+        )
+
+    schema = "at int, class_id long, score double, embedding array<float>"
+    found = table.select("class_id", "embedding").mapInArrow(work, schema)
+    nearest = Window.partitionBy("at").orderBy(F.col("score").desc(), "class_id")
+    found = found.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k)
+    return found.select("at", "embedding").collect()
+
+
+def _met(queries: np.ndarray, at: np.ndarray, near: np.ndarray, prefix: int) -> float:
+    """Share of the neighbours ``near`` of ``queries[at]`` that descents to ``prefix`` meet."""
+    projections = _projections(queries)
+    strings, margins = _strings(projections), np.abs(projections)
+    met = np.zeros(len(at), bool)
+    theirs = _strings(_projections(near)) >> (BITS - prefix)
+    for i in range(len(queries)):
+        rows = np.flatnonzero(at == i)
+        for tree in range(TREES):
+            visited = _prefixes(int(strings[i, tree]), margins[i, tree], prefix)
+            met[rows] |= np.isin(theirs[rows, tree], visited)
+    return float(met.mean())
+
+
+def _ascended(table: DataFrame, prefix: int, k: int) -> int:
+    """The longest prefix, ``prefix`` at most, whose descents meet enough of the true neighbours.
+
+    Descents to so few bits that they visit all prefixes meet everything and need no sample.
+    """
+    if 1 << prefix <= PROBES:
+        return prefix
+    asked = table.where("asked").select("class_id", "embedding")
+    sample = asked.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).collect()
+    for dimension in sorted({len(row["embedding"]) for row in sample}):
+        rows = [row for row in sample if len(row["embedding"]) == dimension]
+        ids = np.array([row["class_id"] for row in rows])
+        queries = np.array([row["embedding"] for row in rows], np.float64)
+        pairs = _true_neighbours(table, ids, queries, k)
+        if not pairs:
+            continue
+        at = np.array([pair["at"] for pair in pairs])
+        near = np.array([pair["embedding"] for pair in pairs], np.float64)
+        while 1 << prefix > PROBES and _met(queries, at, near, prefix) < RECALL:
+            prefix -= 1
+    return prefix
+
+
 def _visits(table: DataFrame, bits: int, prefix: int) -> DataFrame:
     """One row per query and cell: ``(dimension, cell, class_id, embedding, prefixes)``."""
 
@@ -170,12 +271,9 @@ def _visits(table: DataFrame, bits: int, prefix: int) -> DataFrame:
                     out = {"cell": [], "row": [], "prefixes": []}
                     for i, row in enumerate(rows.tolist()):
                         for tree in range(TREES):
-                            own = int(strings[i, tree]) >> (BITS - prefix)
+                            margins = np.abs(projections[i, tree])
                             visited: dict[int, list[int]] = {}
-                            for flips in _flips(np.abs(projections[i, tree, :prefix]), PROBES):
-                                other = own
-                                for bit in flips:
-                                    other ^= 1 << (prefix - 1 - bit)
+                            for other in _prefixes(int(strings[i, tree]), margins, prefix):
                                 visited.setdefault(other >> (prefix - bits), []).append(other)
                             for cell, prefixes in visited.items():
                                 out["cell"].append((tree << MOST_CELL_BITS) | cell)
@@ -255,6 +353,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     table = materialize(classes(vectors, is_query, k), "vector-classes")
     n = table.count()
     bits, prefix = depths(n)
+    prefix = _ascended(table, prefix, k)
+    bits = min(bits, prefix)
     index = _index(table, bits)
     visits = _visits(table.where("asked"), bits, prefix)
     # At most 2 ** MOST_CELL_BITS cells of each tree, of which only large ones are listed.

@@ -9,6 +9,8 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -381,6 +383,24 @@ def test_forest_in_many_cells(spark, monkeypatch):
     assert lsh_forest.search(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_forest_widens_for_vectors_without_near_ones(spark, tmp_path):
+    vectors = np.random.default_rng(7).standard_normal((24_000, 256)).astype(np.float32)
+    flat = pa.array(vectors.ravel())
+    ends = pa.array(np.arange(len(vectors) + 1) * 256, pa.int32())
+    columns = {"vec_id": np.arange(len(vectors)), "embedding": pa.ListArray.from_arrays(ends, flat)}
+    pq.write_table(pa.table(columns), tmp_path / "vectors.parquet")
+    table = spark.read.parquet(str(tmp_path / "vectors.parquet"))
+    found = lsh_forest.search(table, F.col("vec_id") % 800 == 0).collect()
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for query in range(0, len(vectors), 800):
+        score = units @ units[query]
+        score[query] = -2
+        want = set(np.argsort(-score)[:5].tolist())
+        hits += len({r["vec_id"] for r in found if r["query_id"] == query} & want)
+    assert hits >= 0.9 * 5 * 30
+
+
 def test_warc_round_trip(spark):
     long = "<p>ä</p>" * 300
     rows = [
