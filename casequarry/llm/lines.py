@@ -8,6 +8,10 @@ a host has few such lines: at most the mean number of lines of its pages divided
 Defined results: rows without host are one host; a null text stays null and has no lines, but its
 row is a page; blank lines stay; repeated rows are pages of their own; a line that a page repeats
 counts once for the page and is dropped everywhere on it.
+
+``RATIO`` and ``LEAST_PAGES`` are those of the SQL of ``op5_line_dedup``. The pipeline uses the smaller
+``SHARED_RATIO`` and, before it, ``drop_passages``: a line of over ``PASSAGE_WORDS`` words that stands in
+several texts of a host stays in one of them only.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from casequarry.storage import materialize
 
 RATIO = 0.05
 LEAST_PAGES = 5
+SHARED_RATIO = 0.005
+PASSAGE_WORDS = 50
 _AROUND = " \t\r\x0b\x0c"
 
 
@@ -64,6 +70,42 @@ def boilerplate(
     return over.groupBy("host_key").agg(F.sort_array(F.collect_list("line")).alias("dropped"))
 
 
+def drop_passages(
+    docs: DataFrame, host: str = "source", text: str = "text", words: int = PASSAGE_WORDS
+) -> DataFrame:
+    """``docs`` where a line of over ``words`` words stays in one of the texts of its host.
+
+    That is the text with the smallest hash, so nothing is lost with the repeats, and equal texts
+    keep the same lines. The lists are of single texts, which have few such lines.
+    """
+    is_long = lambda line: F.regexp_count(line, F.lit(r"\S+")) > words
+    passages = F.transform(F.filter(_lines(F.col(text)), is_long), _key)
+    page = F.xxhash64(F.col(text)).alias("page")
+    parts = docs.select(
+        _host_key(F.col(host)).alias("host_key"), page, F.explode(F.array_distinct(passages)).alias("line")
+    )
+    parts = materialize(parts.distinct(), "passages")
+    repeated = (
+        parts.groupBy("host_key", "line")
+        .agg(F.min("page").alias("first"), F.max("page").alias("last"))
+        .where(F.col("first") < F.col("last"))
+    )
+    gone = (
+        parts.join(repeated, ["host_key", "line"])
+        .where(F.col("page") != F.col("first"))
+        .groupBy("host_key", "page")
+        .agg(F.collect_list("line").alias("gone"))
+    )
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), _host_key(F.col(host)).alias("host_key"), page
+    ).join(materialize(gone, "repeated-passages"), ["host_key", "page"], "left")
+    kept = F.filter(
+        _lines(F.col("row")[text]), lambda line: ~F.array_contains(F.col("gone"), _key(line))
+    )
+    new = F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*((new if c == text else F.col("row")[c]).alias(c) for c in docs.columns))
+
+
 def drop_boilerplate(
     docs: DataFrame,
     host: str = "source",

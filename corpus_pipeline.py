@@ -1,7 +1,7 @@
 """From documents to a training mix: five stages, each written as Parquet and read by the next.
 
 language_id    documents without a learned language go
-line_dedup     lines on too large a share of the pages of their source go
+line_dedup     repeats of long lines and lines on too large a share of the pages of their source go
 ngram_jaccard  one document of each group of near duplicates stays
 decontaminate  documents with too much of a benchmark go
 mix_sources    words are taken from each source up to its target
@@ -31,7 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A page all of whose lines are shared is a copy and left to the next stage."""
-    clean = lines.drop_boilerplate(docs, spare_whole=True, count=False)
+    clean = lines.drop_passages(docs)
+    clean = lines.drop_boilerplate(clean, ratio=lines.SHARED_RATIO, spare_whole=True, count=False)
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean

@@ -14,6 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from casequarry.llm import (
     components,
     decontaminate,
@@ -267,6 +268,31 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(table.limit(0)).count() == 0
 
 
+def test_pipeline_drops_planted_lines_and_keeps_clean_ones(spark):
+    rng = random.Random(12)
+    passage, menu = prose(rng, 60), prose(rng, 6)
+    clean = {i: "\n".join(prose(rng, n) for n in (8, 70, 30)) for i in range(400)}
+    rows = []
+    for i, text in clean.items():
+        planted = ([passage] if i in (3, 9, 77) else []) + ([menu] if i % 60 == 7 else [])
+        rows.append((i, "\n".join([text, *planted]), "en", "h", 0))
+    # A near copy of a page: what it repeats goes, and the page itself stays whole.
+    near = clean[20].split("\n")
+    rows.append((500, "\n".join([near[0], near[1], "changed"]), "en", "h", 0))
+    rows.append((600, passage, "en", "g", 0))
+    table = spark.createDataFrame(rows, DOCS)
+    found = {r["doc_id"]: r for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    assert sorted(found) == sorted(r[0] for r in rows)
+    texts = {i: r["text"].split("\n") for i, r in found.items()}
+    assert sum(passage in texts[i] for i in clean) == 1 and texts[600] == [passage]
+    assert not any(menu in lines_ for lines_ in texts.values())
+    assert (near[1] in texts[20]) != (near[1] in texts[500])
+    for i, text in clean.items():
+        rest = [line for line in texts[i] if line not in (passage, menu)]
+        assert i == 20 or "\n".join(rest) == text
+    assert all(r["n_chars"] == len(r["text"]) for r in found.values())
+
+
 def _targets(rows):
     sizes = Counter()
     for _, text, _, source, _ in rows:
