@@ -50,19 +50,26 @@ def boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``(host_key, dropped)``: the hashes of the boilerplate lines of every host that has some.
 
     Pages are counted by host and by line of a host, both map-side first, so a host with a third of
-    all pages is no larger than the others where it arrives.
+    all pages is no larger than the others where it arrives. With ``copies_once`` equal texts of a
+    host are one page.
     """
     pages = docs.select(_host_key(F.col(host)).alias("host_key"), F.col(text).alias("text"))
-    totals = pages.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
     filled = F.filter(_lines(F.col("text")), lambda line: ~_is_blank(line))
     distinct = F.array_distinct(F.transform(filled, _key))
+    if copies_once:
+        page = F.xxhash64("text").alias("page")
+        lines = pages.select("host_key", page, F.explode(distinct).alias("line")).distinct()
+        pages = pages.select("host_key", page).distinct()
+    else:
+        lines = pages.select("host_key", F.explode(distinct).alias("line"))
+    totals = pages.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
     counted = (
-        pages.select("host_key", F.explode(distinct).alias("line"))
-        .groupBy("host_key", "line")
+        lines.groupBy("host_key", "line")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= least_pages)
     )
@@ -114,13 +121,15 @@ def drop_boilerplate(
     least_pages: int = LEAST_PAGES,
     spare_whole: bool = False,
     count: bool = True,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``docs`` with the lines gone from ``text``; with ``count`` also ``n_lines`` and ``n_dropped``.
 
     ``spare_whole`` leaves a page alone all of whose lines would go: that is no page around
     boilerplate but a copy of others, and near-duplicate removal decides on it.
     """
-    found = materialize(boilerplate(docs, host, text, ratio, least_pages), "boilerplate")
+    over = boilerplate(docs, host, text, ratio, least_pages, copies_once)
+    found = materialize(over, "boilerplate")
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         _host_key(F.col(host)).alias("host_key"),

@@ -30,9 +30,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A page all of whose lines are shared is a copy and left to the next stage."""
+    """Copies of a page count once and are left to the next stage; an emptied page stays empty."""
     clean = lines.drop_passages(docs)
-    clean = lines.drop_boilerplate(clean, ratio=lines.SHARED_RATIO, spare_whole=True, count=False)
+    clean = lines.drop_boilerplate(clean, ratio=lines.SHARED_RATIO, count=False, copies_once=True)
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean

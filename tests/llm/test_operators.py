@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 from collections import Counter
@@ -293,6 +294,19 @@ def test_pipeline_drops_planted_lines_and_keeps_clean_ones(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
 
 
+def test_pipeline_empties_pages_of_shared_lines_but_keeps_copies(spark):
+    rng = random.Random(13)
+    shared = [prose(rng, 6) for _ in range(6)]
+    combinations = ["\n".join(x) for x in itertools.combinations(shared, 3)]
+    copied = prose(rng, 9)
+    texts = combinations + [copied] * 9 + [prose(rng, 20) for _ in range(300)]
+    table = spark.createDataFrame([(i, t, "en", "h", 0) for i, t in enumerate(texts)], DOCS)
+    found = {r["doc_id"]: r for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    want = [""] * len(combinations) + texts[len(combinations):]
+    assert [found[i]["text"] for i in range(len(texts))] == want
+    assert all(r["n_chars"] == len(r["text"]) for r in found.values())
+
+
 def _targets(rows):
     sizes = Counter()
     for _, text, _, source, _ in rows:
