@@ -262,7 +262,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Data
 def apply(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The documents of the mix with ``size, source_size, target, taken`` (none that takes nothing).
 
-    Rows that are one unit take equal whole shares of its words.
+    Rows that are one unit share its words as in ``mix``: those left over go to its first texts.
     """
     new = ("size", "source_size", "target", "taken")
     rows = docs.select(
@@ -271,16 +271,20 @@ def apply(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Da
         _source_key(F.col("source")).alias("key"),
         word_count(F.col("text")).alias("size"),
     )
-    found = plan(docs, weights, share).withColumnRenamed("doc_id", "id")
+    found = materialize(plan(docs, weights, share).withColumnRenamed("doc_id", "id"), "mix-plan")
     a, b = rows.alias("a"), found.alias("b")
     same = (
         F.col("a.id").eqNullSafe(F.col("b.id"))
         & (F.col("a.key") == F.col("b.key"))
         & (F.col("a.size") == F.col("b.size"))
     )
-    taken = F.floor(F.col("words") / F.col("rows")).cast("long")
-    return (
-        a.join(b, same)
-        .select("a.row.*", "a.size", "source_size", "target", taken.alias("taken"))
-        .where(F.col("taken") > 0)
+    number = F.row_number().over(
+        Window.partitionBy("a.id", "a.key", "a.size").orderBy(F.xxhash64("a.row.text"))
     )
+    each = F.floor(F.col("words") / F.col("rows"))
+    more = F.col("words") - each * F.col("rows")
+    alone = a.join(b.where("rows = 1"), same).withColumn("taken", F.col("words"))
+    several = a.join(b.where("rows > 1"), same).withColumn("number", number)
+    several = several.withColumn("taken", each + F.when(F.col("number") <= more, 1).otherwise(0))
+    columns = ("a.row.*", "a.size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return alone.select(*columns).union(several.select(*columns)).where(F.col("taken") > 0)

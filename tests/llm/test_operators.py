@@ -252,6 +252,20 @@ def _lines(rows, ratio, least):
     return Counter(out)
 
 
+def test_mix_gives_rows_without_id_all_words(spark):
+    rng = random.Random(4)
+    rows = [(None, prose(rng, 1), "en", f"s{i % 2}", 0) for i in range(40)]
+    rows += [(7, "of its own", "en", "s0", 0), (None, "", "en", "s0", 0)]
+    table = spark.createDataFrame(rows, DOCS)
+    for share in (0.3, 0.8, 1.7):
+        want, found = Counter(), Counter()
+        for r in mixing.mix(table, share=share).where("taken > 0").collect():
+            want[r["source"], r["doc_id"], r["taken"]] += 1
+        for r in mixing.apply(table, share=share).collect():
+            found[r["source"], r["doc_id"], r["taken"]] += 1
+        assert found == want
+
+
 def test_line_dedup(spark):
     rng = random.Random(6)
     rows = []
