@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -17,7 +18,7 @@ pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="sample tables are a
 def plain(value):
     if hasattr(value, "item"):
         value = value.item()
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     return round(value, 5) if isinstance(value, float) else value
 
