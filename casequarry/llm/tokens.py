@@ -140,7 +140,7 @@ def windows(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(found.hashes)
     left = np.repeat(found.offsets[1:], found.counts()) - np.arange(n)
     total = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         factor = np.uint64(pow(int(_BASE), 3 * k + 1, 2**64))
         total[: n - k] += found.hashes[k:] * factor
     return mix(total), left >= size
