@@ -86,3 +86,45 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN response <> page_id THEN response END AS refers_to
 FROM digests LEFT JOIN responses USING (payload_digest)
 """
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Every round as its own step: nearest centroids, then rounded-down means."""
+    steps = [
+        """kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64
+), centroids0 AS MATERIALIZED (
+    SELECT c, x FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, x FROM kept)
+    WHERE c < 16
+)"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""near{n} AS MATERIALIZED (
+    SELECT vec_id, min({{'distance': distance, 'c': c}}) AS best, any_value(x) AS x
+    FROM (SELECT vec_id, k.x, c,
+                 CAST(list_sum(list_transform(list_zip(k.x, t.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+                      AS BIGINT) AS distance
+          FROM kept k, centroids{n} t)
+    GROUP BY vec_id
+)""")
+        if n < rounds:
+            steps.append(f"""centroids{n + 1} AS MATERIALIZED (
+    SELECT c, coalesce(m.x, t.x) AS x FROM centroids{n} t LEFT JOIN (
+        SELECT c, list((s - ((s % n + n) % n)) // n ORDER BY place) AS x
+        FROM (SELECT best.c AS c, place, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+              FROM (SELECT best, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM near{n})
+              GROUP BY 1, 2)
+        GROUP BY c) m USING (c)
+)""")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.distance AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(t.x, ',')) AS centroid_sha256
+FROM near{rounds} JOIN centroids{rounds} t ON t.c = best.c"""
+
+
+ORACLES["op12_centroid_clusters"] = _clusters_sql()

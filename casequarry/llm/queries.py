@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import (
+    centroids,
     decontaminate,
     jaccard,
     langid,
@@ -104,3 +105,8 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.mark(docs, benchmark, keep=["doc_id"]).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
+
+
+@query
+def op12_centroid_clusters(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
