@@ -128,3 +128,43 @@ FROM near{rounds} JOIN centroids{rounds} t ON t.c = best.c"""
 
 
 ORACLES["op12_centroid_clusters"] = _clusters_sql()
+
+_TERMS = (
+    "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLES["op11_ranked_search"] = f"""
+WITH words AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           list_transform({_TERMS.format("text")}, lambda t: {_LOWER.format("t")}) AS w
+    FROM documents WHERE text IS NOT NULL
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM words WHERE len(w) > 0
+), item_words AS (
+    SELECT row_number() OVER () AS item, item_id,
+           list_transform({_TERMS.format("text")}, lambda t: {_LOWER.format("t")}) AS w
+    FROM benchmark WHERE text IS NOT NULL
+), item_terms AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest(w) AS term FROM item_words) GROUP BY ALL
+), counts AS (
+    SELECT doc, doc_id, n, term, count(*) AS tf
+    FROM (SELECT doc, doc_id, len(w) AS n, unnest(w) AS term FROM words)
+    WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+    FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), impacts AS (
+    SELECT doc, doc_id, term,
+           (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)) AS impact
+    FROM counts, totals
+), scores AS (
+    SELECT item, item_id, doc, doc_id, CAST(sum(times * weight * impact) AS BIGINT) AS score
+    FROM item_terms JOIN weights USING (term) JOIN impacts USING (term)
+    GROUP BY item, item_id, doc, doc_id
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place
+      FROM scores WHERE score > 0)
+WHERE place <= 10
+"""

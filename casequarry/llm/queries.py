@@ -18,6 +18,7 @@ from casequarry.llm import (
     ngram_lm,
     pii,
     quality,
+    ranked_search,
     warc,
 )
 from casequarry.llm.frames import fold, table
@@ -107,6 +108,13 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+@query
+def op11_ranked_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return ranked_search.search(ranked_search.build(docs), items)
+
+
 @query
 def op12_centroid_clusters(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
