@@ -19,6 +19,7 @@ from casequarry.llm import (
     pii,
     quality,
     ranked_search,
+    template,
     warc,
 )
 from casequarry.llm.frames import fold, table
@@ -118,3 +119,8 @@ def op11_ranked_search(spark, sf_dir):
 @query
 def op12_centroid_clusters(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op13_html_extraction(spark, sf_dir):
+    return template.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
