@@ -40,6 +40,8 @@ OUTSIDE = frozenset(
     "video map".split()
 )
 ARTICLE = frozenset(["article", "main"])
+# Elements that are places in a page, not forms of text.
+PLACES = frozenset("div section article main table center header".split())
 ROLES_OUTSIDE = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split()
 )
@@ -124,18 +126,25 @@ def _judge(name: str, attributes: dict[str, str], in_article: bool) -> str:
     return "name" if outside else ""
 
 
-def _label(name: str, attributes: dict[str, str]) -> str:
-    """Element with its classes and id, without numbers that change from page to page."""
-    classes = sorted({c for c in attributes.get("class", "").split() if not re.search(r"\d", c)})
-    own = attributes.get("id", "")
-    return name + "".join(f".{c}" for c in classes) + (f"#{own}" if own and not re.search(r"\d", own) else "")
+def _label(name: str, attributes: dict[str, str], earlier: dict[str, int]) -> str:
+    """Element with its classes and id, without numbers that change from page to page.
+
+    Unnamed elements of one parent are told apart by their order; ``earlier`` counts them.
+    """
+    classes = sorted({re.sub(r"\d+", "", c) for c in attributes.get("class", "").split()} - {""})
+    own = re.sub(r"\d+", "", attributes.get("id", ""))
+    if classes or own or name not in PLACES:
+        return name + "".join(f".{c}" for c in classes) + (f"#{own}" if own else "")
+    earlier[name] = earlier.get(name, 0) + 1
+    return name if earlier[name] == 1 else f"{name}.{earlier[name]}"
 
 
 def parse(source: str) -> Page:
     """Blocks and tokens of a page; comments, raw elements and the head have no text."""
     page = Page()
-    # Open block elements: name, label, why outside, in an article.
-    stack: list[tuple[str, str, str, bool]] = []
+    # Open block elements: name, unnamed elements in it, why outside, in an article.
+    stack: list[tuple[str, dict, str, bool]] = []
+    roots: dict[str, int] = {}
     path: tuple[str, ...] = ()
     block: Block | None = None
     links = 0
@@ -246,8 +255,8 @@ def parse(source: str) -> Page:
         if name in ENDS:
             end(*ENDS[name])
         links = 0 if name not in INLINE else links
-        label = _label(name, attributes)
-        stack.append((name, label, why, not why and (in_article or name in ARTICLE)))
+        label = _label(name, attributes, stack[-1][1] if stack else roots)
+        stack.append((name, {}, why, not why and (in_article or name in ARTICLE)))
         path = (*path, label)
         page.tokens.append((path, "<", ""))
         block = None

@@ -66,7 +66,7 @@ TEMPLATE_TYPE = T.StructType(
 
 # Parts of a path that are the form of a text, not a place.
 _FORM = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "blockquote", "pre", "dl", "dt", "dd",
-         "table", "thead", "tbody", "tr", "td", "th", "figure", "figcaption", "b", "i", "span")
+         "thead", "tbody", "tr", "td", "th", "figure", "figcaption", "b", "i", "span")
 
 
 def _hash(*parts: str) -> int:
