@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 # Elements by their role in HTML.
@@ -61,7 +62,9 @@ CONTENT = frozenset("content article main post entry story body page wrapper con
 
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _TAG_STOP = re.compile(r"[>\"']")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>\"']*)>")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>]|$)", re.I) for name in RAW}
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -126,17 +129,18 @@ def _judge(name: str, attributes: dict[str, str], in_article: bool) -> str:
     return "name" if outside else ""
 
 
-def _label(name: str, attributes: dict[str, str], earlier: dict[str, int]) -> str:
-    """Element with its classes and id, without numbers that change from page to page.
+@lru_cache(1 << 12)
+def _element(name: str, source: str, in_article: bool) -> tuple[str, str, bool]:
+    """Why an element is outside, its label, and whether it is unnamed and told apart by order.
 
-    Unnamed elements of one parent are told apart by their order; ``earlier`` counts them.
+    The label has classes and id, without numbers that change from page to page.
     """
+    attributes = _attributes(source) if source else {}
+    why = _judge(name, attributes, in_article)
     classes = sorted({re.sub(r"\d+", "", c) for c in attributes.get("class", "").split()} - {""})
     own = re.sub(r"\d+", "", attributes.get("id", ""))
-    if classes or own or name not in PLACES:
-        return name + "".join(f".{c}" for c in classes) + (f"#{own}" if own else "")
-    earlier[name] = earlier.get(name, 0) + 1
-    return name if earlier[name] == 1 else f"{name}.{earlier[name]}"
+    label = name + "".join(f".{c}" for c in classes) + (f"#{own}" if own else "")
+    return why, label, label == name and name in PLACES
 
 
 def parse(source: str) -> Page:
@@ -148,6 +152,7 @@ def parse(source: str) -> Page:
     path: tuple[str, ...] = ()
     block: Block | None = None
     links = 0
+    in_head = False
     no_quote = set()
     at, size = 0, len(source)
 
@@ -156,10 +161,11 @@ def parse(source: str) -> Page:
 
     def close(count: int) -> None:
         """Close the innermost ``count`` elements."""
-        nonlocal path, block
+        nonlocal path, block, in_head
         for _ in range(count):
             page.tokens.append((path, ">", ""))
-            stack.pop()
+            if stack.pop()[0] == "head":
+                in_head = False
             path = path[:-1]
         block = None
 
@@ -176,17 +182,19 @@ def parse(source: str) -> Page:
 
     def text(piece: str) -> None:
         nonlocal block
-        if not piece or (stack and any(s[0] == "head" for s in stack[:3])):
+        if not piece or in_head:
             return
-        piece = html.unescape(piece)
+        if "&" in piece:
+            piece = html.unescape(piece)
         if block is None:
             if not piece.strip():
                 return
             block = Block(path, outside(), bool(stack) and stack[-1][3])
             page.blocks.append(block)
         block.runs.append((piece, links > 0))
-        if piece.strip():
-            page.tokens.append((path, "t", squeeze(piece)))
+        told = squeeze(piece)
+        if told:
+            page.tokens.append((path, "t", told))
 
     while at < size:
         start = source.find("<", at)
@@ -203,29 +211,34 @@ def parse(source: str) -> Page:
             stop = source.find("-->", start + 4)
             at = size if stop < 0 else stop + 3
             continue
-        # The end of the tag, outside of quotes; an unclosed quote is an ordinary character.
-        stop = start + 1
-        while True:
-            match = _TAG_STOP.search(source, stop)
+        match = _TAG.match(source, start)
+        if match is not None:
+            closing, name, inner = bool(match[1]), match[2].lower(), match[3]
+            at = match.end()
+        else:
+            # The end of the tag, outside of quotes; an unclosed quote is an ordinary character.
+            stop = start + 1
+            while True:
+                match = _TAG_STOP.search(source, stop)
+                if match is None:
+                    stop = size
+                    break
+                stop = match.end()
+                if match[0] == ">":
+                    break
+                if match[0] not in no_quote:
+                    other = source.find(match[0], stop)
+                    if other < 0:
+                        no_quote.add(match[0])
+                    else:
+                        stop = other + 1
+            inner = source[start + 1 : stop - 1]
+            at = stop
+            closing = inner.startswith("/")
+            match = _NAME.match(inner, 1 if closing else 0)
             if match is None:
-                stop = size
-                break
-            stop = match.end()
-            if match[0] == ">":
-                break
-            if match[0] not in no_quote:
-                other = source.find(match[0], stop)
-                if other < 0:
-                    no_quote.add(match[0])
-                else:
-                    stop = other + 1
-        inner = source[start + 1 : stop - 1]
-        at = stop
-        closing = inner.startswith("/")
-        match = _NAME.match(inner, 1 if closing else 0)
-        if match is None:
-            continue
-        name = match[0].lower()
+                continue
+            name, inner = match[0].lower(), inner[match.end() :]
         if closing:
             if name == "a":
                 links = max(0, links - 1)
@@ -236,16 +249,16 @@ def parse(source: str) -> Page:
                 block = None
             continue
         if name in RAW:
-            stop = re.compile(f"</{name}(?=[\\s/>]|$)", re.I).search(source, at)
+            stop = _RAW_END[name].search(source, at)
             at = size if stop is None else stop.start()
             continue
-        attributes = _attributes(inner[match.end() :])
         if name == "br":
             text(" ")
         if name == "a":
             links = 1  # links do not nest
         in_article = bool(stack) and stack[-1][3]
-        why = outside() or _judge(name, attributes, in_article)
+        why, label, unnamed = _element(name, inner, in_article)
+        why = outside() or why
         if name in VOID or (name in INLINE and why == outside()):
             if name not in INLINE:
                 block = None
@@ -255,7 +268,11 @@ def parse(source: str) -> Page:
         if name in ENDS:
             end(*ENDS[name])
         links = 0 if name not in INLINE else links
-        label = _label(name, attributes, stack[-1][1] if stack else roots)
+        if unnamed:
+            earlier = stack[-1][1] if stack else roots
+            earlier[name] = number = earlier.get(name, 0) + 1
+            label = name if number == 1 else f"{name}.{number}"
+        in_head = in_head or name == "head"
         stack.append((name, {}, why, not why and (in_article or name in ARTICLE)))
         path = (*path, label)
         page.tokens.append((path, "<", ""))

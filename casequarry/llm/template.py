@@ -73,6 +73,11 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts)) - (1 << 63)
 
 
+@lru_cache(1 << 14)
+def _tag_token(path: tuple[str, ...], kind: str) -> int:
+    return _hash(_named(path), kind)
+
+
 @lru_cache(1 << 14)
 def _named(path: tuple[str, ...]) -> str:
     return "\n".join(path)
@@ -98,7 +103,7 @@ def _tokens(page: Page) -> dict:
             key, told = (RUN, _run_token(path, text)), ""
         else:
             told = _named(path)
-            key = (TAG, _hash(told, kind))
+            key = (TAG, _tag_token(path, kind))
         before = found.get(key)
         found[key] = (told, 1 if before is None else before[1] + 1)
     return found
@@ -234,10 +239,15 @@ def in_article(path: str) -> bool:
 def _templates(stats: DataFrame) -> DataFrame:
     """``(host, elements, runs, main)`` of every host that has enough pages."""
     counted = stats.where(F.col("kind") == PAGE).select("host", F.col("pages").alias("of"))
+    # A host has one row per salt here, so that the many tokens of one host are several keys.
+    dealt = counted.where(F.col("of") >= PAGES).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
     frequent = (
-        stats.where(F.col("kind") != PAGE)
-        .join(counted.where(F.col("of") >= PAGES), "host")
-        .where(F.col("pages") >= F.greatest(F.lit(2), FREQUENT * F.col("of")))
+        stats.where((F.col("kind") != PAGE) & (F.col("pages") >= 2))
+        .withColumn("salt", F.pmod("token", F.lit(SALTS)).cast("int"))
+        .join(dealt, ["host", "salt"])
+        .where(F.col("pages") >= FREQUENT * F.col("of"))
     )
 
     @F.udf(TEMPLATE_TYPE)
