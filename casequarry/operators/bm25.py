@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casequarry.functions.text import alnum_tokens, shorten, unnest_bag, with_bag
+from casequarry.operators import postings
 from casequarry.operators.splits import listed_texts
 from casequarry.storage import materialize
 
 
+# The constants of the ranking that the workflow states.
 @dataclass(frozen=True)
 class Bm25Config:
     k1: float = 1.5
@@ -24,18 +26,29 @@ class Bm25Config:
 
 @dataclass(frozen=True)
 class Bm25Corpus:
-    """Documents ``(case_id, received, n, length, bag)`` and what was counted over them.
+    """Numbered documents ``(case_id, received, n, doc)``, their postings, and what was counted.
 
-    ``bag`` holds each distinct term with its count. ``n`` is how often the document is listed.
+    ``n`` is how often a document is listed, ``doc`` its place in train order.
     """
 
     docs: DataFrame
+    postings: DataFrame
     n_docs: int
     avg_length: float
     term_stats: DataFrame
     negative_idf: float
     config: Bm25Config
 
+    def gain(self, tf: Column, length: Column) -> Column:
+        return _gain(self.config, self.avg_length, tf, length)
+
+
+def _gain(cfg: Bm25Config, avg_length: float, tf: Column, length: Column) -> Column:
+    """What a term that stands ``tf`` times in a document adds, before its weight."""
+    tf = tf.cast("double")
+    length_norm = 1.0 - cfg.b + cfg.b * length / F.lit(avg_length)
+    return tf * (cfg.k1 + 1.0) / (tf + cfg.k1 * length_norm)
+
 
 def bags(texts: DataFrame) -> DataFrame:
     """Replace ``text`` by its token count and its bag; row-local."""
@@ -44,19 +57,21 @@ def bags(texts: DataFrame) -> DataFrame:
     return with_bag(counted, F.col("tokens")).drop("tokens")
 
 
-def term_statistics(docs: DataFrame, n_docs: int) -> DataFrame:
-    """``(term, df, raw_idf)`` over the vocabulary; counts are combined before the shuffle."""
+def term_statistics(index: DataFrame, n_docs: int) -> DataFrame:
+    """``(term, df, raw_idf)`` over the vocabulary, from the blocks of the index."""
     df = F.col("df").cast("double")
     return (
-        unnest_bag(docs, "n")
-        .groupBy("term")
-        .agg(F.sum("n").alias("df"))
+        index.groupBy("term")
+        .agg(F.sum("df").alias("df"))
         .select("term", "df", (F.log(F.lit(float(n_docs)) - df + 0.5) - F.log(df + 0.5)).alias("raw_idf"))
     )
 
 
 def build_corpus(docs: DataFrame, config: Bm25Config = Bm25Config()) -> Bm25Corpus:
-    """Count documents, lengths and terms. ``docs`` needs ``case_id, received, n, text``."""
+    """Number and index documents, and count lengths and terms.
+
+    ``docs`` needs ``case_id, received, n, text``.
+    """
     bagged = materialize(bags(docs), "bm25-docs")
     totals = bagged.agg(
         F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("length")).alias("length")
@@ -64,12 +79,16 @@ def build_corpus(docs: DataFrame, config: Bm25Config = Bm25Config()) -> Bm25Corp
     n_docs = int(totals["docs"] or 0)
     if n_docs == 0:
         raise ValueError("no documents to index")
-    stats = materialize(term_statistics(bagged, n_docs), "bm25-terms")
+    avg_length = totals["length"] / n_docs
+    placed = postings.numbered(bagged, "received", "case_id")
+    index = postings.build(placed, lambda tf, length: _gain(config, avg_length or 1.0, tf, length))
+    stats = materialize(term_statistics(index, n_docs), "bm25-terms")
     mean_idf = stats.agg(F.avg("raw_idf")).first()[0]
     return Bm25Corpus(
-        docs=bagged,
+        docs=placed.select("case_id", "received", "n", "doc"),
+        postings=index,
         n_docs=n_docs,
-        avg_length=totals["length"] / n_docs,
+        avg_length=avg_length,
         term_stats=stats,
         negative_idf=config.epsilon * (mean_idf or 0.0),
         config=config,
@@ -87,110 +106,51 @@ def idf_table(corpus: Bm25Corpus) -> DataFrame:
     )
 
 
-def score(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
-    """Score of every (query, document) pair that shares a term.
-
-    ``queries`` needs ``query_id, text``. Query terms with their idf are written first, so the
-    planner knows their size: it broadcasts a small table and joins a large one by term.
-    """
-    cfg = corpus.config
-    terms = materialize(
-        unnest_bag(bags(queries), "query_id")
-        .join(idf_table(corpus), "term")
-        .select("query_id", "term", (F.col("tf") * F.col("idf")).alias("weight")),
-        "bm25-query-terms",
-    )
-    tf = F.col("tf").cast("double")
-    length_norm = 1.0 - cfg.b + cfg.b * F.col("length") / F.lit(corpus.avg_length)
-    gain = tf * (cfg.k1 + 1.0) / (tf + cfg.k1 * length_norm)
-    return (
-        unnest_bag(corpus.docs, "case_id", "received", "n", "length")
-        .withColumn("gain", gain)
-        .select("case_id", "received", "n", "term", "gain")
-        .join(terms, "term")
-        .groupBy("query_id", "case_id", "received", "n")
-        .agg(F.sum(F.col("weight") * F.col("gain")).alias("score"))
-    )
-
-
-def _best(corpus: Bm25Corpus, scored: DataFrame) -> DataFrame:
-    """The ``topk`` best documents per query; the limit acts in each task before the shuffle."""
-    # Equal documents must tie however their sums were ordered.
-    order = Window.partitionBy("query_id").orderBy(
-        F.round("score", 9).desc(), "received", "case_id"
-    )
-    return scored.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= corpus.config.topk
-    )
-
-
-def _unmatched(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
-    """Per query the first ``topk`` documents in train order that share no term with it.
+def query_terms(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
+    """``(query_id, term, weight)`` of the terms that the corpus has.
 
-    They lie in the head of the train order, as long as the most matches of any of these queries
-    and ``topk`` more.
+    Written, so that the planner knows their size: it broadcasts a small table and joins a large
+    one by term.
     """
-    k = corpus.config.topk
-    scored = materialize(score(corpus, queries), "bm25-short-scores")
-    matched = scored.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("matched"))
-    counted = materialize(
-        queries.select("query_id")
-        .join(matched, "query_id", "left")
-        .select("query_id", F.coalesce("matched", F.lit(0)).alias("matched")),
-        "bm25-short-counts",
-    )
-    head_size = k + counted.agg(F.max("matched")).first()[0]
-    head = (
-        corpus.docs.select("case_id", "received", "n")
-        .orderBy("received", "case_id")
-        .limit(head_size)
-        .withColumn("place", F.row_number().over(Window.orderBy("received", "case_id")))
-    )
-    taken = (
-        scored.join(head.select("case_id", "received", "place"), ["case_id", "received"])
-        .groupBy("query_id")
-        .agg(F.collect_set("place").alias("taken"))
-    )
-    free = F.array_except(
-        F.sequence(F.lit(1), F.col("matched") + k),
-        F.coalesce("taken", F.array().cast("array<int>")),
-    )
-    return (
-        counted.join(taken, "query_id", "left")
-        .select("query_id", F.explode_outer(F.slice(F.sort_array(free), 1, k)).alias("place"))
-        .join(head, "place")
-        .select("query_id", "case_id", "received", "n", F.lit(0.0).alias("score"))
+    terms = unnest_bag(bags(queries.select("query_id", "text")), "query_id")
+    weighted = terms.join(idf_table(corpus), "term").select(
+        "query_id", "term", (F.col("tf") * F.col("idf")).alias("weight")
     )
+    return materialize(weighted, "bm25-query-terms")
 
 
 def topk(corpus: Bm25Corpus, queries: DataFrame) -> DataFrame:
     """``(query_id, rank, hit_id, bm25_score)``: highest scores first, ties in train order.
 
-    A document listed several times fills several ranks. A query with fewer than ``topk``
-    positive scores is filled up with documents that score zero; these also stand before negative
-    scores. Only such queries are scored a second time.
+    ``queries`` needs ``query_id, text``. A document listed several times fills several ranks. A query
+    with fewer than ``topk`` positive scores is filled up with documents that score zero; these also
+    stand before negative scores.
     """
     k = corpus.config.topk
-    best = materialize(_best(corpus, score(corpus, queries)), "bm25-best").drop("place")
+    weights = query_terms(corpus, queries)
+    best = materialize(postings.topk(corpus.postings, weights, corpus.gain, k), "bm25-best")
+    listed = corpus.docs.join(best, "doc")
     positive = (
-        best.where(F.col("score") > 0).groupBy("query_id").agg(F.sum("n").alias("positive"))
+        listed.where(F.col("score") > 0).groupBy("query_id").agg(F.sum("n").alias("positive"))
     )
     short = materialize(
-        queries.join(positive, "query_id", "left")
+        queries.select("query_id")
+        .join(positive, "query_id", "left")
         .where(F.coalesce("positive", F.lit(0)) < k)
         .drop("positive"),
         "bm25-short-queries",
     )
     if not short.isEmpty():
-        best = _best(corpus, best.unionByName(_unmatched(corpus, short))).drop("place")
-    order = Window.partitionBy("query_id").orderBy(
-        F.round("score", 9).desc(), "received", "case_id", "copy"
-    )
-    listed = best.withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")))
-    )
+        free = materialize(
+            postings.free_positions(corpus.postings, weights, short, k), "bm25-free-positions"
+        )
+        best = best.unionByName(free.withColumn("score", F.lit(0.0)))
+        listed = corpus.docs.join(best, "doc")
+    order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "doc", "copy")
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")))
     return (
-        listed.withColumn("rank", F.row_number().over(order))
+        listed.withColumn("copy", copies)
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", F.col("case_id").alias("hit_id"), F.col("score").alias("bm25_score"))
     )

@@ -375,6 +375,14 @@ def bm25_topk(spark, sf_dir):
     return _rounded(hits, "bm25_score")
 
 
+@query
+def bm25_questions(spark, sf_dir):
+    """Many questions at once against the stored postings."""
+    config = bm25.Bm25Config(num_queries=200)
+    hits = bm25.retrieve(samples.cases(spark, sf_dir), _splits(spark, sf_dir), config)
+    return _rounded(hits.drop("query_snippet", "hit_snippet"), "bm25_score")
+
+
 @query
 def bm25_nested_hits(spark, sf_dir):
     hits = _stage_table(

@@ -190,7 +190,7 @@ terms AS (
 
 ORACLES["bm25_corpus_stats"] = f"{BM25} SELECT term, df, round(idf, 6) AS idf FROM terms"
 
-BM25_HITS = f"""
+BM25_MATCHED = f"""
 {BM25},
 asked AS (SELECT case_id AS query_id, text FROM splits WHERE split = 'test' ORDER BY received, case_id LIMIT 2),
 query_terms AS (
@@ -200,7 +200,10 @@ matched AS (
   SELECT query_id, case_id, sum(qtf * idf * tf * 2.5 /
          (tf + 1.5 * (0.25 + 0.75 * len(tokens) / mean_length))) AS score
   FROM query_terms JOIN terms USING (term) JOIN postings USING (term) JOIN docs USING (case_id), sizes
-  GROUP BY 1, 2),
+  GROUP BY 1, 2)"""
+
+BM25_HITS = f"""
+{BM25_MATCHED},
 scored AS (
   SELECT a.query_id, a.text AS query_text, d.case_id AS hit_id, d.received, d.text AS hit_text, coalesce(m.score, 0.0) AS score
   FROM asked a CROSS JOIN docs d LEFT JOIN matched m ON m.query_id = a.query_id AND m.case_id = d.case_id),
@@ -217,6 +220,23 @@ ORACLES["bm25_topk"] = f"""
 SELECT query_id, {shorten('query_flat', 220)} AS query_snippet, rank, hit_id, bm25_score,
        {shorten('hit_flat', 220)} AS hit_snippet FROM hits"""
 
+# 200 questions, with the lengths instead of the tokens of a document in the large join.
+BM25_QUESTIONS = (
+    BM25_MATCHED.replace("LIMIT 2)", "LIMIT 200)")
+    .replace("JOIN docs USING (case_id)", "JOIN (SELECT case_id, len(tokens) AS n FROM docs) USING (case_id)")
+    .replace("0.75 * len(tokens)", "0.75 * n")
+)
+
+ORACLES["bm25_questions"] = f"""
+{BM25_QUESTIONS},
+placed AS (
+  SELECT a.case_id AS query_id, d.case_id AS hit_id, coalesce(m.score, 0.0) AS score,
+         row_number() OVER (PARTITION BY a.case_id ORDER BY round(coalesce(m.score, 0.0), 9) DESC, received, d.case_id) AS place
+  FROM (SELECT query_id AS case_id FROM asked) a CROSS JOIN (SELECT case_id, received FROM docs) d
+  LEFT JOIN matched m ON m.query_id = a.case_id AND m.case_id = d.case_id)
+SELECT query_id, cast(place AS integer) AS rank, hit_id, round(score, 6) AS bm25_score
+FROM placed WHERE place <= 5"""
+
 ORACLES["bm25_nested_hits"] = f"""
 {BM25_HITS}
 SELECT query_id, {shorten('query_flat', 220)} AS query_snippet, string_agg(hit_id, ',' ORDER BY rank) AS hit_ids

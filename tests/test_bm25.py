@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from casequarry.operators import bm25
+from casequarry.operators import bm25, postings
 from casequarry.operators.splits import split_cases
 from casequarry.storage import materialize
 
@@ -70,6 +70,75 @@ def test_zero_outranks_negative_scores(spark):
     check(spark, docs, ["fee a", "fee"], k=5)
 
 
+def test_free_positions_behind_many_matches(spark, monkeypatch):
+    """All documents but three hold the word; the free ones lie in several ranges."""
+    monkeypatch.setattr(postings, "RANGE", 8)
+    monkeypatch.setattr(postings, "BLOCK", 4)
+    docs = ["other"] * 60
+    for i in range(60):
+        if i not in (5, 31, 58):
+            docs[i] = "word other"
+    index, weights, asked = index_of(spark, docs, {"q": "word", "all": "other", "none": "absent"})
+    free = postings.free_positions(index, weights, asked, 4).orderBy("query_id", "doc").collect()
+    found = {q: [r["doc"] for r in free if r["query_id"] == q and r["doc"] < 60] for q in ("q", "all", "none")}
+    assert found == {"q": [5, 31, 58], "all": [], "none": [0, 1, 2, 3]}
+    plan = postings.free_positions(index, weights, asked, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def index_of(spark, docs, questions):
+    corpus = bm25.build_corpus(corpus_frame(spark, docs))
+    asked = spark.createDataFrame(list(questions.items()), "query_id string, text string")
+    return corpus.postings, bm25.query_terms(corpus, asked), asked
+
+
+def test_search_in_small_blocks_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK", 4)
+    monkeypatch.setattr(postings, "SEEDS", 2)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(80)]
+    docs = [" ".join(rng.choices(words, range(80, 0, -1), k=rng.randrange(1, 30))) for _ in range(150)]
+    docs[90] = docs[91] = docs[10]
+    check(spark, docs, [" ".join(rng.choices(words, k=rng.randrange(1, 12))) for _ in range(25)] + [docs[10]])
+
+
+def rows_read(scan):
+    """Rows that the scan of a plan without shuffles gave."""
+    execution = scan._jdf.queryExecution()
+    assert execution.executedPlan().execute().count() >= 0
+    leaves = execution.executedPlan().collectLeaves()
+    assert leaves.size() == 1
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_only_folders_of_the_query_are_read(spark):
+    docs = [f"word{i} word{i + 1} common" for i in range(400)]
+    index, weights, _ = index_of(spark, docs, {"q": "word17 word300"})
+    read = rows_read(postings.touched(index, weights).select("term", "block", "best"))
+    own = {r["bucket"] for r in weights.select(postings.bucket_of(weights["term"]).alias("bucket")).collect()}
+    inside = index.where(index["bucket"].isin(list(own))).count()
+    assert len(own) <= 2 and read == inside < index.count() / 4
+
+
+def test_blocks_that_cannot_reach_the_threshold_are_not_scored(spark, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK", 8)
+    monkeypatch.setattr(postings, "SEEDS", 1)
+    docs = [f"common text{i} of many words here" for i in range(400)]
+    for i in range(80, 86):
+        docs[i] = "rare common"
+    index, weights, asked = index_of(spark, docs, {"q": "rare common"})
+    scored = []
+    original = postings.scores
+
+    def seen(index, weights, blocks, gain):
+        scored.append(blocks.count())
+        return original(index, weights, blocks, gain)
+
+    monkeypatch.setattr(postings, "scores", seen)
+    check(spark, docs, ["rare common"])
+    assert scored == [1, 0]  # of 50 blocks
+
+
 def test_fewer_documents_than_asked_for(spark):
     check(spark, ["one", "two"], ["two"], k=5)
 
