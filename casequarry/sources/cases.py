@@ -8,12 +8,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from casequarry.functions.text import missing_to_null, parse_day
 from casequarry.operators.clean import cap_rows
 from casequarry.operators.ordering import part_offsets
 from casequarry.schema import CASES, SOURCE_COLUMNS
+from casequarry.sources.quoted_records import records
 from casequarry.storage import materialize
 
 
@@ -40,27 +40,25 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, by name. Quoted line breaks are kept, short lines padded, long ones cut.
 
     Files may have their columns in different orders, and a column that a file lacks is null there.
-    Of columns with the same name the first is read. A quoted line break forbids splitting a file, so
-    a task reads a whole file: give many files.
+    Of columns with the same name the first is read. Records are cut by ``quoted_records``, so a large
+    file is read by many tasks although its cells hold line breaks.
     """
 
     def read(names: list[str], files: list[str]) -> DataFrame:
         place: dict[str, int] = {}
         for i, name in enumerate(names):
             place.setdefault(name, i)
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        rows = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("multiLine", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .csv(files)
-        )
-        return rows.select(
-            *[F.col(f"c{i}").alias(name) for name, i in place.items()],
-            F.col("_metadata.file_path").alias("__file"),
-            F.monotonically_increasing_id().alias("__row"),
+        schema = ", ".join(f"c{i} string" for i in range(len(names)))
+        options = {"quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
+        cells = F.from_csv("record", schema, options)
+        return (
+            records(spark, files)
+            .withColumn("cells", cells)
+            .select(
+                *[F.col(f"cells.c{i}").alias(name) for name, i in place.items()],
+                F.struct("file", "start").alias("__split"),
+                F.col("row").alias("__row"),
+            )
         )
 
     found = headers(spark, path)
@@ -72,7 +70,10 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
 
 def source_columns(spark: SparkSession, path: str) -> DataFrame:
     """Column list of the source as ``(idx, name)``."""
-    names = read_source(spark, path).drop("__file", "__row").columns
+    found = headers(spark, path)
+    if not found:
+        raise ValueError(f"no lines in {path}")
+    names = dict.fromkeys(name for header, _ in found for name in header)
     return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
 
 
@@ -80,7 +81,7 @@ def ingest(spark: SparkSession, path: str) -> DataFrame:
     """Canonical cases with a dense ``ingest_pos`` in file order.
 
     Later stages read columns, so the CSV is parsed once. Positions need only the row counts of
-    the files; no row is moved for them.
+    the splits; no row is moved for them.
     """
     source = read_source(spark, path)
     absent = [name for name in SOURCE_COLUMNS if name not in source.columns]
@@ -89,19 +90,19 @@ def ingest(spark: SparkSession, path: str) -> DataFrame:
     parsed = materialize(
         source.select(
             *[missing_to_null(F.col(f"`{old}`")).alias(new) for old, new in SOURCE_COLUMNS.items()],
-            F.col("__file").alias("file"),
+            F.col("__split").alias("split"),
             F.col("__row").alias("row"),
         ),
         "parsed-source",
     )
-    offsets = part_offsets(parsed, F.col("file"), F.lit(1), first=F.min("row"))
-    placed = parsed.join(offsets, parsed["file"] == offsets["part"]).select(
+    offsets = part_offsets(parsed, F.col("split"), F.lit(1))
+    placed = parsed.join(offsets, parsed["split"] == offsets["part"]).select(
         "case_id",
         parse_day(F.col("received")).alias("received"),
         "product",
         "issue",
         "text",
-        (F.col("offset") + F.col("row") - F.col("first")).alias("ingest_pos"),
+        (F.col("offset") + F.col("row")).alias("ingest_pos"),
     )
     return placed.select(*[F.col(f.name).cast(f.dataType) for f in CASES.fields])
 
