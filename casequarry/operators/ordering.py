@@ -53,6 +53,15 @@ def _threshold(rows: DataFrame, value: str, limit: int) -> tuple[int, int] | Non
     return low, above
 
 
+def nth_largest(rows: DataFrame, value: str, n: int) -> int | None:
+    """The whole ``value`` of the ``n``-th largest row, None if there are no more rows than ``n``.
+
+    Reads ``rows`` several times, so they should be written.
+    """
+    found = _threshold(rows, value, n)
+    return None if found is None else found[0]
+
+
 def largest(rows: DataFrame, value: str, tie: str, limit: int) -> DataFrame:
     """The ``limit`` rows with the largest whole ``value``; ties go to the lower ``tie``.
 
