@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from casequarry.storage import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and their number and a sum of hashes, counted as they are written."""
+    state = Observation()
+    edges = edges.observe(
+        state,
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")).alias("hashes"),
+    )
+    written = materialize(edges, "component-edges")
+    return written, (state.get["n"], state.get["hashes"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -48,13 +53,10 @@ def components(edges: DataFrame) -> DataFrame:
     the joins are on the node and can be split where it is skewed.
     """
     high, low = F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")
-    current = materialize(
-        edges.where(F.col("a") != F.col("b")).select(high, low).distinct(), "component-edges"
-    )
-    state = _state(current)
+    current, state = _written(edges.where(F.col("a") != F.col("b")).select(high, low).distinct())
     while state[0]:
-        current = materialize(_small_star(_large_star(current)), "component-edges")
-        before, state = state, _state(current)
+        before = state
+        current, state = _written(_small_star(_large_star(current)))
         if state == before:
             break
     roots = current.select(F.col("low").alias("node"), F.col("low").alias("label")).distinct()

@@ -432,9 +432,8 @@ def _led(marked: DataFrame, number: int) -> DataFrame:
     return met.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
 
 
-def _met_before(keys: pa.Array, low: int, high: int, key: int, i: np.ndarray, j: np.ndarray):
-    """Which pairs of rows from ``low`` to ``high`` also share a key below ``key``."""
-    own = keys.slice(low, high - low)
+def _met_before(own: pa.Array, low: int, key: int, i: np.ndarray, j: np.ndarray):
+    """Which pairs of rows, whose lists of keys begin at row ``low``, also share a key below ``key``."""
     flat = own.flatten().to_numpy()
     row = np.repeat(np.arange(len(own)), np.asarray(own.value_lengths()))
     row, flat = row[flat < key], flat[flat < key]
@@ -457,14 +456,22 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     Of the components of a key all but the largest are minor, and only their members are compared
     with the others, so a large group of linked copies is not compared with itself. Members and
     minor ones are cut into blocks, and a group is a block of each. A pair that shares several keys is
-    looked at under the smallest. Returns ``(a, b, spot)``; ``spot`` is a group that found the pair.
+    looked at under the smallest. Keys go to a bin by the smallest hash of their classes, so keys with
+    much the same classes meet there and a class sends its vector to few bins, once to each. Returns ``(a, b, spot)``; ``spot`` is a group that found the pair.
     """
-    tally = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    bins = max(12, size // TREE_ROWS)
+    tally = marked.groupBy("key", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("class")).alias("home")
+    )
     largest = tally.groupBy("key").agg(
         F.max_by("label", F.struct("n", "label")).alias("major"),
         F.sum("n").alias("size"),
         F.max("n").alias("most"),
+        F.min("home").alias("home"),
     )
+    loads = largest.groupBy("home").agg(F.ceil(F.sum("size") / TREE_ROWS).alias("parts"))
+    part = F.pmod(F.xxhash64("key"), F.col("parts"))
+    largest = largest.join(loads, "home").withColumn("home", F.xxhash64("home", part))
     rows = marked.join(largest, "key").select(
         "key",
         "class",
@@ -472,6 +479,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         (F.col("label") != F.col("major")).alias("minor"),
         F.ceil(F.col("size") / GROUP).cast("int").alias("blocks"),
         F.ceil((F.col("size") - F.col("most")) / GROUP).cast("int").alias("minor_blocks"),
+        "home",
     )
 
     def one(blocks):
@@ -484,44 +492,63 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         of_all, of_minor = (every, one) if asks else (one, every)
         held = chosen.select("*", of_all(F.col("blocks")).alias("block"))
         held = held.select("*", of_minor(F.col("minor_blocks")).alias("minor_block"))
-        spot = F.xxhash64("key", "block", "minor_block").alias("spot")
-        return held.select("key", "class", "label", spot, F.lit(asks).alias("asks"))
+        spot = F.xxhash64("key", "block", "minor_block")
+        one_spot = (F.col("blocks") == 1) & (F.col("minor_blocks") == 1)
+        place = F.when(one_spot, F.col("home")).otherwise(spot)
+        return held.select(
+            "key",
+            "class",
+            "label",
+            spot.alias("spot"),
+            F.lit(asks).alias("asks"),
+            F.pmod(place, F.lit(bins)).alias("bin"),
+        )
 
-    members = placed(rows, False).unionByName(placed(rows.where("minor"), True))
+    dealt = placed(rows, False).unionByName(placed(rows.where("minor"), True))
+    dealt = materialize(dealt, "jaccard-dealt")
     keys = marked.groupBy("class").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     described = sets.select("class", "n", "vector").join(keys, "class")
-    members = members.join(described, "class")
+    homes = dealt.select(F.col("bin").alias("home"), F.col("class").alias("member")).distinct()
+    described = homes.join(described, F.col("member") == F.col("class")).select(
+        "home", "member", "n", "vector", "keys"
+    )
 
-    def work(table: pa.Table) -> pa.Table:
+    def work(table: pa.Table, held: pa.Table) -> pa.Table:
         spot = table["spot"].to_numpy()
         order = np.argsort(spot, kind="stable")
         spot = spot[order]
         begin = tokens.distinct(spot)
-        cls, label = table["class"].to_numpy()[order], table["label"].to_numpy()[order]
-        asks, sizes = table["asks"].to_numpy()[order], table["n"].to_numpy()[order]
-        key, keys = table["key"].to_numpy()[order], table["keys"].combine_chunks().take(pa.array(order))
-        vectors = _vectors(table["vector"])[order]
+        cls, label, asks, key = (
+            table[c].to_numpy()[order] for c in ("class", "label", "asks", "key")
+        )
+        known = held["member"].to_numpy()
+        by_class = np.argsort(known)
+        place = by_class[np.searchsorted(known, cls, sorter=by_class)]
+        sizes, vectors = held["n"].to_numpy(), _vectors(held["vector"])
+        keys = pa.concat_arrays(held["keys"].chunks)
         out: tuple[list, list, list] = ([], [], [])
         for low, high in zip(begin, np.concatenate([begin[1:], [len(order)]])):
             rows = np.arange(low, high)
             left, right = rows[asks[rows]], rows[~asks[rows]]
             if not len(left) or not len(right):
                 continue
-            i, j = join(
-                RTree(vectors[left], sizes[left]), RTree(vectors[right], sizes[right]), PERCENT
-            )
+            trees = (RTree(vectors[place[x]], sizes[place[x]]) for x in (left, right))
+            i, j = join(*trees, PERCENT)
             i, j = left[i], right[j]
             apart = label[i] != label[j]
-            apart[apart] = ~_met_before(keys, low, high, key[low], i[apart], j[apart])
+            own = keys.take(pa.array(place[low:high]))
+            apart[apart] = ~_met_before(own, low, key[low], i[apart], j[apart])
             for column, values in zip(out, (cls[i[apart]], cls[j[apart]], spot[i[apart]])):
                 column.append(values)
         empty = np.zeros(0, np.int64)
         a, b, where = (np.concatenate([empty, *x]) for x in out)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "spot": where})
 
-    bins = max(12, size // TREE_ROWS)
-    dealt = members.withColumn("bin", F.pmod("spot", F.lit(bins)))
-    found = dealt.groupBy("bin").applyInArrow(work, "a long, b long, spot long")
+    found = (
+        dealt.groupBy("bin")
+        .cogroup(described.groupBy("home"))
+        .applyInArrow(work, "a long, b long, spot long")
+    )
     return found.groupBy("a", "b").agg(F.min("spot").alias("spot"))
 
 
@@ -586,7 +613,7 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     if keys.isEmpty():
         return None
     sets = _bucketed(_sets(docs, text, keys.select("class").distinct()), "class", "sets")
-    links, labels = None, None
+    labels = None
     for number in range(ROUNDS + 1):
         marked = materialize(_labelled(keys, labels), "jaccard-open")
         size = marked.count()
@@ -598,12 +625,30 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
         else:
             pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
             similar = _verified_together(pairs, sets, pairs.count())
-        found = materialize(similar, "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        labels = _joined(labels, materialize(similar, "jaccard-links"))
     return labels
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` after further links; only links between different components are followed."""
+    if labels is None:
+        return materialize(components(links), "jaccard-labels")
+    known = [labels.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")) for c in "ab"]
+    ends = links.join(known[0], "a", "left").join(known[1], "b", "left")
+    ends = materialize(
+        ends.select("a", "b", *[F.coalesce(f"of_{c}", c).alias(f"of_{c}") for c in "ab"]),
+        "jaccard-ends",
+    )
+    merged = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    merged = materialize(merged, "jaccard-merged").toDF("label", "root")
+    new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    new = new.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    every = labels.unionByName(new).join(merged, "label", "left")
+    return materialize(
+        every.select("node", F.coalesce("root", "label").alias("label")), "jaccard-labels"
+    )
+
+
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, class, label, component_id)`` of every row of ``docs``.
 
