@@ -48,8 +48,8 @@ FREQUENT_TIMES, FREQUENT_LEAST = 8, 50_000
 BUCKET = 750_000
 HELD = 1 << 19
 GROUP = 1024
-# Rows of R-trees and pairs to verify that a task holds, on average.
-TREE_ROWS, PAIRS = 6_000, 1_000
+# Rows of R-trees of the keys of one class that go to one bin.
+TREE_ROWS = 6_000
 FILTER_BITS = 24
 
 _SALT = np.uint64(0x2545F4914F6CDD1D)
@@ -457,9 +457,10 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     with the others, so a large group of linked copies is not compared with itself. Members and
     minor ones are cut into blocks, and a group is a block of each. A pair that shares several keys is
     looked at under the smallest. Keys go to a bin by the smallest hash of their classes, so keys with
-    much the same classes meet there and a class sends its vector to few bins, once to each. Returns ``(a, b, spot)``; ``spot`` is a group that found the pair.
+    much the same classes meet there and a class sends its vector to few bins, once to each. Returns
+    ``(bin, classes, left, right)``: a row per bin with the pairs as places in its list of classes.
     """
-    bins = max(12, size // TREE_ROWS)
+    bins = max(48, 4 * size // TREE_ROWS)
     tally = marked.groupBy("key", "label").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("class")).alias("home")
     )
@@ -526,7 +527,7 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         place = by_class[np.searchsorted(known, cls, sorter=by_class)]
         sizes, vectors = held["n"].to_numpy(), _vectors(held["vector"])
         keys = pa.concat_arrays(held["keys"].chunks)
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list] = ([], [])
         for low, high in zip(begin, np.concatenate([begin[1:], [len(order)]])):
             rows = np.arange(low, high)
             left, right = rows[asks[rows]], rows[~asks[rows]]
@@ -538,36 +539,45 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
             apart = label[i] != label[j]
             own = keys.take(pa.array(place[low:high]))
             apart[apart] = ~_met_before(own, low, key[low], i[apart], j[apart])
-            for column, values in zip(out, (cls[i[apart]], cls[j[apart]], spot[i[apart]])):
+            for column, values in zip(out, (place[i[apart]], place[j[apart]])):
                 column.append(values)
         empty = np.zeros(0, np.int64)
-        a, b, where = (np.concatenate([empty, *x]) for x in out)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "spot": where})
+        a, b = (np.concatenate([empty, *x]) for x in out)
+        # Each pair once, as the places of its classes among those that have pairs here.
+        low, high = np.divmod(np.unique(np.minimum(a, b) * len(known) + np.maximum(a, b)), max(len(known), 1))
+        used, at = np.unique(np.concatenate([low, high]), return_inverse=True)
+        packed = [at[: len(low)].astype(np.uint32).tobytes(), at[len(low) :].astype(np.uint32).tobytes()]
+        return pa.table(
+            {
+                "bin": pa.array([table["bin"][0].as_py()], pa.int64()),
+                "classes": pa.array([known[used].tolist()], pa.list_(pa.int64())),
+                "left": pa.array(packed[:1], pa.binary()),
+                "right": pa.array(packed[1:], pa.binary()),
+            }
+        ).slice(0, min(1, len(low)))
 
-    found = (
+    return (
         dealt.groupBy("bin")
         .cogroup(described.groupBy("home"))
-        .applyInArrow(work, "a long, b long, spot long")
+        .applyInArrow(work, "bin long, classes array<bigint>, left binary, right binary")
     )
-    return found.groupBy("a", "b").agg(F.min("spot").alias("spot"))
 
 
-def _verified_together(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """Links that connect what all similar pairs of ``(a, b, spot)`` connect.
+def _verified_together(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect what all similar pairs of ``_rest`` connect.
 
-    The pairs of a spot are verified in one place, where every set is needed once, and a pair
+    The pairs of a bin are verified in one place, where every set is needed once, and a pair
     whose ends are connected already is passed over.
     """
-    bins = max(12, size // PAIRS)
-    dealt = pairs.withColumn("bin", F.pmod("spot", F.lit(bins))).drop("spot")
-    ends = F.explode(F.array("a", "b")).alias("class")
-    asked_for = dealt.select(F.col("bin").alias("home"), ends).distinct()
-    needed_sets = asked_for.join(sets.select("class", "members"), "class")
+    asked_for = pairs.select(F.col("bin").alias("home"), F.explode("classes").alias("member"))
+    needed_sets = asked_for.join(
+        sets.select("class", "members"), F.col("member") == F.col("class")
+    ).select("home", "member", "members")
 
     def work(asked: pa.Table, held: pa.Table) -> pa.Table:
         members = {
-            cls: np.frombuffer(data, np.uint64)
-            for cls, data in zip(held["class"].to_pylist(), held["members"].to_pylist())
+            cls: np.frombuffer(data.as_buffer(), np.uint64)
+            for cls, data in zip(held["member"].to_pylist(), held["members"].combine_chunks())
         }
         parent = dict.fromkeys(members)
 
@@ -580,20 +590,24 @@ def _verified_together(pairs: DataFrame, sets: DataFrame, size: int) -> DataFram
             return node
 
         out: tuple[list, list] = ([], [])
-        for a, b in sorted(zip(asked["a"].to_pylist(), asked["b"].to_pylist())):
-            top_a, top_b = root(a), root(b)
-            if top_a == top_b:
-                continue
-            both = np.sort(np.concatenate([members[a], members[b]]))
-            shared = int((both[1:] == both[:-1]).sum())
-            if 100 * shared >= PERCENT * (len(both) - shared):
-                parent[max(top_a, top_b)] = min(top_a, top_b)
-                out[0].append(a)
-                out[1].append(b)
+        for row in asked.to_pylist():
+            left, right = (np.frombuffer(row[c], np.uint32) for c in ("left", "right"))
+            classes = row["classes"]
+            for i, j in zip(left, right):
+                a, b = classes[i], classes[j]
+                top_a, top_b = root(a), root(b)
+                if top_a == top_b:
+                    continue
+                both = np.sort(np.concatenate([members[a], members[b]]))
+                shared = int((both[1:] == both[:-1]).sum())
+                if 100 * shared >= PERCENT * (len(both) - shared):
+                    parent[max(top_a, top_b)] = min(top_a, top_b)
+                    out[0].append(a)
+                    out[1].append(b)
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
     return (
-        dealt.groupBy("bin").cogroup(needed_sets.groupBy("home")).applyInArrow(work, "a long, b long")
+        pairs.groupBy("bin").cogroup(needed_sets.groupBy("home")).applyInArrow(work, "a long, b long")
     )
 
 
@@ -624,7 +638,7 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
             similar = _verified(pairs, sets)
         else:
             pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
-            similar = _verified_together(pairs, sets, pairs.count())
+            similar = _verified_together(pairs, sets)
         labels = _joined(labels, materialize(similar, "jaccard-links"))
     return labels
 
