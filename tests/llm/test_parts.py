@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from casequarry.llm import decontaminate, lsh_forest, pii, tokens, warc
+from casequarry.llm import decontaminate, jaccard, lsh_forest, pii, tokens, warc
 from casequarry.llm.count_rtree import RTree, count_vector, join
 from casequarry.llm.fm_index import FmIndex, suffix_order
 
@@ -149,3 +149,24 @@ def test_frames_open_on_their_own():
     assert headers["WARC-Target-URI"] == "http://a/b%20c" and block.endswith(b"one")
     headers, _, _ = warc.parse(warc.open_frame(content, table[2][0]), 0)
     assert headers["WARC-Refers-To"] == "<urn:x-page:9>"
+
+
+@pytest.mark.parametrize("n", range(8))
+def test_slices_of_few_words(n):
+    """A slice of fewer words than a shingle, alone and before a text that is a slice of its own."""
+    short = " ".join(f"w{i}" for i in range(n))
+    wanted = 0 if n == 0 else max(1, n - 4)
+    assert [len(s) for s in jaccard.shingle_sets(pa.array([short]))] == [wanted]
+    batch = pa.RecordBatch.from_arrays([pa.array([short, "x " * 40])], names=["text"])
+    parts = list(tokens.slices(batch, limit=60))
+    assert len(parts) == 2
+    sizes = [len(s) for part in parts for s in jaccard.shingle_sets(part.column("text"))]
+    assert sizes == [wanted, 1]
+
+
+def test_jaccard_of_an_empty_table_and_tiny_partitions(spark):
+    rows = [(1, "two words"), (2, "two words"), (3, "a"), (4, "b"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert jaccard.cluster(docs.limit(0)).collect() == []
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs.repartition(2)).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
