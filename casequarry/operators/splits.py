@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,10 +14,8 @@ from casequarry.schema import SPLITS
 from casequarry.storage import materialize
 
 
-@dataclass(frozen=True)
-class SplitFractions:
-    train: float = 0.70
-    val: float = 0.15
+# Shares of all rows, rounded down, that the earlier splits take; the last has the rest.
+SHARES = {"train": 0.70, "val": 0.15}
 
 
 def chronological_runs(rows: DataFrame) -> DataFrame:
@@ -31,7 +30,7 @@ def chronological_runs(rows: DataFrame) -> DataFrame:
         "runs",
     )
     if ranged.isEmpty():
-        raise ValueError("no rows available to split")
+        raise ValueError("no case has a usable text and a valid date, so no split can be listed")
     offsets = part_offsets(ranged, F.col("part"), F.col("n"))
     earlier = (
         Window.partitionBy("part")
@@ -47,17 +46,20 @@ def chronological_runs(rows: DataFrame) -> DataFrame:
     )
 
 
-def _bounds(total: Column, fractions: SplitFractions) -> dict[str, tuple[Column, Column]]:
-    train_end = F.floor(total * F.lit(fractions.train)).cast("long")
-    val_end = train_end + F.floor(total * F.lit(fractions.val)).cast("long")
-    return {
-        "train": (F.lit(0).cast("long"), train_end),
-        "val": (train_end, val_end),
-        "test": (val_end, total),
-    }
+def _places(total: Column, shares: Mapping[str, float]) -> list[tuple[str, Column, Column]]:
+    """Each split with its first place in chronological order and the place behind its last."""
+    *earlier, last = SPLITS
+    if set(shares) != set(earlier) or min(shares.values()) < 0 or sum(shares.values()) > 1:
+        raise ValueError(f"shares of {', '.join(earlier)} that leave a rest for {last} are needed")
+    places, low = [], F.lit(0).cast("long")
+    for name in earlier:
+        high = low + F.floor(total * F.lit(shares[name])).cast("long")
+        places.append((name, low, high))
+        low = high
+    return [*places, (last, low, total)]
 
 
-def build_splits(cases: DataFrame, fractions: SplitFractions = SplitFractions()) -> DataFrame:
+def build_splits(cases: DataFrame, shares: Mapping[str, float] = SHARES) -> DataFrame:
     """Split lists as runs ``(case_id, received, split, pos, n)``.
 
     ``pos`` is the zero-based place in the list of the split. ``n`` equal entries follow each
@@ -66,7 +68,7 @@ def build_splits(cases: DataFrame, fractions: SplitFractions = SplitFractions())
     rows = with_string_id(cases.select("case_id", "received"))
     runs = chronological_runs(rows)
     pieces = []
-    for name, (low, high) in _bounds(F.col("total"), fractions).items():
+    for name, low, high in _places(F.col("total"), shares):
         first = F.greatest(F.col("start"), low)
         last = F.least(F.col("start") + F.col("n"), high)
         pieces.append(
@@ -81,9 +83,9 @@ def build_splits(cases: DataFrame, fractions: SplitFractions = SplitFractions())
     )
 
 
-def split_cases(cases: DataFrame, fractions: SplitFractions = SplitFractions()) -> DataFrame:
+def split_cases(cases: DataFrame, shares: Mapping[str, float] = SHARES) -> DataFrame:
     """Splits over the rows with usable text and a valid date."""
-    return build_splits(dated_cases(usable_cases(cases)), fractions)
+    return build_splits(dated_cases(usable_cases(cases)), shares)
 
 
 def split_stats(splits: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from casequarry.operators.bm25 import Bm25Config
 from casequarry.operators.clean import dated_cases, select_split, usable_cases
 from casequarry.operators.evidence import RetrieverConfig
 from casequarry.operators.ovr import OvrConfig
-from casequarry.operators.splits import SplitFractions
+from casequarry.operators.splits import SHARES
 from casequarry.operators.tfidf import TfidfConfig
 from casequarry.plans import classify
 from casequarry.schema import EVIDENCE, PREDICTIONS
@@ -30,7 +31,7 @@ class StageConfig:
     max_rows: int | None = None
     subset_rows: int = 200_000
     result_format: str = "csv"
-    fractions: SplitFractions = SplitFractions()
+    shares: Mapping[str, float] = field(default_factory=lambda: dict(SHARES))
     bm25: Bm25Config = Bm25Config()
     baseline: TfidfConfig = TfidfConfig()
     retriever: RetrieverConfig = field(default_factory=RetrieverConfig)
@@ -93,7 +94,7 @@ def make_subset(spark: SparkSession, cfg: StageConfig) -> None:
 
 
 def make_split(spark: SparkSession, cfg: StageConfig) -> None:
-    listed = splits.build_splits(dated_cases(usable_cases(_cases(spark, cfg))), cfg.fractions)
+    listed = splits.build_splits(dated_cases(usable_cases(_cases(spark, cfg))), cfg.shares)
     tables.write_splits(listed, cfg.at("splits"))
     written = tables.read_splits(spark, cfg.at("splits"))
     _result(splits.split_stats(written), cfg, "split_counts")
