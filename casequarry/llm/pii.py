@@ -6,10 +6,11 @@ context words before it, and its edges; a labeler may abstain. Only the counts o
 (a few hundred at most, whatever the size of the corpus) reach the driver, where expectation
 maximisation estimates how reliable each labeler is, and a logistic span classifier is trained on
 the estimated labels. Base spans stay; candidates that the classifier accepts are added, unless they
-overlap a base span.
+overlap a base span. Time is in proportion to the text and its matches, however many one text has.
 
-Positions are code points. Defined results: a null text is empty; a text without spans has the hash
-of the empty string; repeated rows are searched each on its own.
+Positions are code points. Defined results: an empty table gives an empty one; very long texts are
+searched whole; a null text is empty; a text without spans has the hash of the empty string; repeated
+rows are searched each on its own.
 """
 
 from __future__ import annotations
@@ -39,10 +40,19 @@ WIDE = {
         r"(?:\x20?[(\[{]at[)\]}]\x20?[A-Za-z0-9-]++(?:\x20?(?:[(\[{]dot[)\]}]|\.)\x20?[A-Za-z0-9-]++)++"
         r"|\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20[A-Za-z0-9-]++)++)"
     ),
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+    # Eight groups, or fewer around one double colon.
+    "ip": (
+        r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?=(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])|[0-9A-Fa-f]{3,4}::[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:]))"
+        r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})(?![0-9A-Za-z:])"
+    ),
     "card": r"(?<![0-9])[0-9]{4}(?:[._/\u00A0\u2009][0-9]{4}){3}(?![0-9])",
+    # Three, three and four digits; pairs after a trunk zero; an area code with it; a calling code after 00.
     "phone": (
-        r"(?<![0-9+A-Za-z])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"
+        r"(?<![0-9+A-Za-z])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}"
+        r"|0[1-9](?:[\x20.-][0-9]{2}){4}"
+        r"|\(?0[1-9][0-9]{1,3}\)?[\x20/-][0-9]{3,4}[\x20-][0-9]{3,5}"
+        r"|00[1-9][0-9]{0,2}(?:[\x20-][0-9]{2,8}){2,4})(?![0-9A-Za-z])"
     ),
 }
 # Frequent top-level domains, calling codes, issuer prefixes, context words.
@@ -65,6 +75,8 @@ NEAR = 32
 # A private-use character stands around matches; one in the text is taken for another of them.
 _MARK, _OTHER = "\ue000", "\ue001"
 ROUNDS, STEPS, RATE = 60, 400, 0.5
+# Values of a text that are added up in one go; changes cost only.
+RUN = 128
 
 
 def _digits(value: Column) -> Column:
@@ -115,28 +127,102 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _last(items: Column) -> Column:
+    return F.get(items, F.size(items) - 1)
+
+
+def _running(values: Column, combine, start: int) -> Column:
+    """``combine`` over each value and all before it, ``start`` being neutral.
+
+    An array that grows by one is copied each time, so runs of ``RUN`` values are worked out on their
+    own, then the values carried into each run, and both are combined.
+    """
+    none = F.array().cast("array<int>")
+
+    def grown(items: Column, value: Column) -> Column:
+        return F.concat(items, F.array(combine(F.coalesce(_last(items), F.lit(start)), value)))
+
+    def worked_out(items: Column) -> Column:
+        def run(number: Column) -> Column:
+            stop = F.least(number * RUN + RUN, F.size(items)) - 1
+            places = F.sequence(number * RUN, stop)
+            return F.aggregate(places, none, lambda done, at: grown(done, F.get(items, at)))
+
+        def carried(runs: Column) -> Column:
+            begin = F.array(F.lit(start))
+            return F.aggregate(runs, begin, lambda done, own: grown(done, _last(own)))
+
+        def combined(runs: Column) -> Column:
+            return _let(
+                carried(runs),
+                lambda before: F.flatten(
+                    F.transform(runs, lambda own, at: F.transform(own, lambda v: combine(F.get(before, at), v)))
+                ),
+            )
+
+        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / RUN).cast("int"))
+        return F.when(F.size(items) > 0, _let(F.transform(numbers, run), combined)).otherwise(none)
+
+    return _let(values, worked_out)
+
+
 def _located(parts: Column) -> Column:
     """``(start, end, value, before, after)`` of every match."""
+    kind = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+
+    def of_all(ends: Column) -> Column:
+        def match(number: Column) -> Column:
+            return F.struct(
+                F.get(ends, 2 * number - 2).alias("start"),
+                F.get(ends, 2 * number - 1).alias("end"),
+                F.get(parts, 2 * number - 1).alias("value"),
+                F.right(F.get(parts, 2 * number - 2), F.lit(NEAR)).alias("before"),
+                F.left(F.get(parts, 2 * number), F.lit(1)).alias("after"),
+            )
+
+        return F.transform(F.sequence(F.lit(1), F.floor(F.size(parts) / 2).cast("int")), match)
+
+    ends = _running(F.transform(parts, F.length), lambda a, b: a + b, 0)
+    return F.when(F.size(parts) > 1, _let(ends, of_all)).otherwise(F.array()).cast(kind)
+
+
+def _apart(asked: Column, base: Column) -> Column:
+    """The asked spans that overlap no base span.
+
+    Among all spans by start, one overlaps if a base span before it ends behind its start, or one after it
+    starts before its end; so two running extremes tell it for all spans at once.
+    """
+    far = 2**31 - 1
 
-    def add(state: Column, number: Column) -> Column:
-        before, value = F.get(parts, 2 * number - 2), F.get(parts, 2 * number - 1)
-        start = state["at"] + F.length(before)
-        end = start + F.length(value)
-        found = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            value.alias("value"),
-            F.right(before, F.lit(NEAR)).alias("before"),
-            F.left(F.get(parts, 2 * number), F.lit(1)).alias("after"),
+    def marked(spans: Column, is_base: bool) -> Column:
+        return F.transform(
+            spans,
+            lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"),
+                               x["kind"].alias("kind"), F.lit(is_base).alias("base")),
         )
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
 
-    kind = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-    several = F.sequence(F.lit(1), F.floor(F.size(parts) / 2).cast("int"))
-    return F.when(F.size(parts) > 1, F.aggregate(several, start, add, lambda s: s["found"])).otherwise(
-        F.array().cast(kind)
-    )
+    def of_sorted(spans: Column) -> Column:
+        ends = F.transform(spans, lambda x: F.when(x["base"], x["end"]).otherwise(F.lit(-1)))
+        starts = F.transform(spans, lambda x: F.when(x["base"], x["start"]).otherwise(F.lit(far)))
+        return _let(
+            F.struct(
+                _running(ends, F.greatest, -1).alias("ends"),
+                F.reverse(_running(F.reverse(starts), F.least, far)).alias("starts"),
+            ),
+            lambda known: F.filter(
+                spans,
+                lambda x, at: ~x["base"]
+                & (F.get(known["ends"], at) <= x["start"])
+                & (F.get(known["starts"], at) >= x["end"]),
+            ),
+        )
+
+    return _let(F.array_sort(F.concat(marked(base, True), marked(asked, False))), of_sorted)
 
 
 def _vote(condition: Column) -> Column:
@@ -190,21 +276,22 @@ def candidates(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """What was learned: the reliability of each labeler and the weights of the span classifier."""
+    """What was learned for each kind: the reliability of the labelers and the weights of its classifier."""
 
     prior: dict[str, float]
-    hits: dict[str, float]
-    false_hits: dict[str, float]
-    weights: dict[str, float]
+    hits: dict[str, dict[str, float]]
+    false_hits: dict[str, dict[str, float]]
+    weights: dict[str, dict[str, float]]
     bias: dict[str, float]
 
     def accepts(self, span: Column) -> Column:
         total = F.lit(0.0)
         for kind in KINDS:
-            total = F.when(span["kind"] == kind, F.lit(self.bias[kind])).otherwise(total)
-        for name in LABELERS:
-            vote = F.when(span[name] >= 0, 2.0 * span[name] - 1).otherwise(0.0)
-            total = total + F.lit(self.weights[name]) * vote
+            own = F.lit(self.bias[kind])
+            for name in LABELERS:
+                vote = F.when(span[name] >= 0, 2.0 * span[name] - 1).otherwise(0.0)
+                own = own + F.lit(self.weights[kind][name]) * vote
+            total = F.when(span["kind"] == kind, own).otherwise(total)
         return total >= 0
 
 
@@ -217,45 +304,47 @@ def _posterior(prior: float, hits: dict, false_hits: dict, votes: dict) -> float
     return 1 / (1 + math.exp(max(-60.0, min(60.0, no - yes))))
 
 
-def learn(patterns: list[tuple[str, dict[str, int], int]]) -> Model:
-    """Expectation maximisation, then the classifier, on ``(kind, votes, count)``.
-
-    The estimates are kept off 0 and 1 by one imagined vote of each kind, so that few matches teach
-    little; where there is none, the labelers count alike.
-    """
+def _learn_kind(own: list[tuple[dict[str, int], int]]) -> tuple[float, dict, dict, dict, float]:
+    """Prior, reliabilities, weights and bias of one kind, from its ``(votes, count)``."""
     truth = []
-    for _, votes, _ in patterns:
+    for votes, _ in own:
         cast = [v for v in votes.values() if v >= 0]
         truth.append((sum(cast) + 1) / (len(cast) + 2))
-    prior = dict.fromkeys(KINDS, 0.5)
+    prior, total = 0.5, sum(n for _, n in own)
     hits, false_hits = dict.fromkeys(LABELERS, 0.75), dict.fromkeys(LABELERS, 0.25)
     for _ in range(ROUNDS):
-        for kind in KINDS:
-            own = [(t, n) for (k, _, n), t in zip(patterns, truth) if k == kind]
-            prior[kind] = (sum(t * n for t, n in own) + 1) / (sum(n for _, n in own) + 2)
+        prior = (sum(t * n for (_, n), t in zip(own, truth)) + 1) / (total + 2)
         for name in LABELERS:
-            cast = [(v[name], t, n) for (_, v, n), t in zip(patterns, truth) if v[name] >= 0]
+            cast = [(v[name], t, n) for (v, n), t in zip(own, truth) if v[name] >= 0]
             hits[name] = (sum(v * t * n for v, t, n in cast) + 3) / (sum(t * n for _, t, n in cast) + 4)
             false_hits[name] = (sum(v * (1 - t) * n for v, t, n in cast) + 1) / (
                 sum((1 - t) * n for _, t, n in cast) + 4
             )
-        truth = [_posterior(prior[k], hits, false_hits, v) for k, v, _ in patterns]
-    weights, bias = dict.fromkeys(LABELERS, 0.0), dict.fromkeys(KINDS, 0.0)
-    total = sum(n for _, _, n in patterns) or 1
+        truth = [_posterior(prior, hits, false_hits, v) for v, _ in own]
+    weights, bias = dict.fromkeys(LABELERS, 0.0), 0.0
     for _ in range(STEPS):
-        slope, shift = dict.fromkeys(LABELERS, 0.0), dict.fromkeys(KINDS, 0.0)
-        for (kind, votes, n), t in zip(patterns, truth):
+        slope, shift = dict.fromkeys(LABELERS, 0.0), 0.0
+        for (votes, n), t in zip(own, truth):
             signs = {name: 2 * v - 1 if v >= 0 else 0 for name, v in votes.items()}
-            score = bias[kind] + sum(weights[name] * s for name, s in signs.items())
+            score = bias + sum(weights[name] * s for name, s in signs.items())
             error = (t - 1 / (1 + math.exp(max(-60.0, min(60.0, -score))))) * n / total
-            shift[kind] += error
+            shift += error
             for name, s in signs.items():
                 slope[name] += error * s
         for name in LABELERS:
             weights[name] += RATE * (slope[name] - 0.001 * weights[name])
-        for kind in KINDS:
-            bias[kind] += RATE * shift[kind]
-    return Model(prior, hits, false_hits, weights, bias)
+        bias += RATE * shift
+    return prior, hits, false_hits, weights, bias
+
+
+def learn(patterns: list[tuple[str, dict[str, int], int]]) -> Model:
+    """Expectation maximisation, then the classifier, on ``(kind, votes, count)``, for each kind alone.
+
+    A labeler that is good for cards may be bad for phones. The estimates are kept off 0 and 1 by a few
+    imagined votes, so that few matches teach little; where there is none, the labelers count alike.
+    """
+    learned = {k: _learn_kind([(v, n) for kind, v, n in patterns if kind == k]) for k in KINDS}
+    return Model(*({kind: parts[i] for kind, parts in learned.items()} for i in range(5)))
 
 
 def fit(found: DataFrame) -> Model:
@@ -274,6 +363,11 @@ def _name(kind: str):
     return lambda x: F.concat_ws(":", F.lit(kind), x["start"], x["end"])
 
 
+def _places(spans: str) -> Column:
+    return F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"),
+                                                 x["end"].alias("end")))
+
+
 def _listed(spans: Column) -> Column:
     """``kind:start:end`` by kind as listed, then start, joined by commas."""
     parts = []
@@ -292,13 +386,8 @@ def annotate(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     base = F.filter("spans", lambda x: x["base"] & x["holds"])
     rows = found.select(*keep, "spans", base.alias("__base"))
 
-    def added(x: Column) -> Column:
-        overlaps = F.exists(
-            "__base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])
-        )
-        return ~x["base"] & model.accepts(x) & ~overlaps
-
-    rows = rows.select(*keep, "__base", F.filter("spans", added).alias("__added"))
+    accepted = F.filter("spans", lambda x: ~x["base"] & model.accepts(x))
+    rows = rows.select(*keep, "__base", _apart(accepted, F.col("__base")).alias("__added"))
     counts = [
         F.size(_of_kind(F.col("__base"), kind)).cast("long").alias(f"n_{kind}") for kind in KINDS
     ]
@@ -306,5 +395,5 @@ def annotate(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         *keep,
         *counts,
         F.sha2(_listed(F.col("__base")), 256).alias("base_sha256"),
-        _listed(F.concat("__base", "__added")).alias("spans"),
+        _listed(F.concat(_places("__base"), _places("__added"))).alias("spans"),
     )

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 from collections import Counter
 
 import brute
@@ -540,3 +541,49 @@ def test_decontamination(spark, docs):
     )
     nothing = decontaminate.mark(docs, benchmark.limit(0))
     assert nothing.where("n_hit > 0").count() == 0 and nothing.count() == docs.count()
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions and overlaps of 100,000 matches in one text, beside a clean one."""
+    n = 100_000
+    text = " ".join(f"u{i}@h{i % 7}.org" if i % 3 else f"call 555-0{i % 90 + 10}-{i % 9000 + 1000}" for i in range(n))
+    table = spark.createDataFrame([(1, text), (2, "nothing at all")], "doc_id long, text string")
+    started = time.perf_counter()
+    found = {r["doc_id"]: r for r in pii.annotate(table).collect()}
+    assert time.perf_counter() - started < 30
+    base = brute.pii_spans(text)
+    assert found[1]["n_email"] == len(base) == n - (n + 2) // 3
+    assert found[1]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+    spans = [x.split(":") for x in found[1]["spans"].split(",")]
+    assert all(text[int(a) : int(b)][:4] == "555-" for kind, a, b in spans if kind == "phone")
+    assert found[2]["spans"] == ""
+
+
+def test_added_spans_keep_off_base_spans(spark):
+    """Overlaps by running extremes equal the comparison of all pairs of spans."""
+    rng = random.Random(5)
+
+    def spans(n):
+        starts = [rng.randrange(3000) for _ in range(n)]
+        return [(s, s + rng.randint(1, 25), "ip") for s in starts]
+
+    rows = [(i, spans(rng.choice([0, 1, 5, 150])), spans(rng.choice([0, 1, 40, 300]))) for i in range(40)]
+    kind = "array<struct<start:int,end:int,kind:string>>"
+    table = spark.createDataFrame(rows, f"i int, asked {kind}, base {kind}")
+    got = table.select("i", pii._apart(F.col("asked"), F.col("base")).alias("kept")).collect()
+    for r in got:
+        _, asked, base = rows[r["i"]]
+        want = [a for a in asked if not any(b[0] < a[1] and a[0] < b[1] for b in base)]
+        assert sorted((x["start"], x["end"]) for x in r["kept"]) == sorted(a[:2] for a in want)
+
+
+def test_wide_notations(spark):
+    """Candidates of each notation, and what only looks like one."""
+    texts = ["at 2001:db8::8a2e:370:7334 now", "fe80::1", "std::vector a::b", "tel 01 23 45 67 89.",
+             "(030) 1234 5678", "0049 30 123456", "2001:0db8:0000:0000:0000:8a2e:0370:7334", "1::2::3"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.candidates(table, "text", "doc_id").collect()
+    got = {r["doc_id"]: [texts[r["doc_id"]][x["start"] : x["end"]] for x in r["spans"] if not x["base"]] for r in rows}
+    assert got[0] == ["2001:db8::8a2e:370:7334"] and got[1] == ["fe80::1"] and got[2] == []
+    assert got[3] == ["01 23 45 67 89"] and got[4] == ["(030) 1234 5678"] and got[5] == ["0049 30 123456"]
+    assert got[6] == [texts[6]] and got[7] == []

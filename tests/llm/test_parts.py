@@ -124,8 +124,8 @@ def test_expectation_maximisation_finds_the_reliable_labelers():
     bad = {"pattern": 0, "check": 0, "gazetteer": 1, "context": -1, "edges": 1}
     lucky = {"pattern": -1, "check": 1, "gazetteer": 1, "context": 1, "edges": 1}
     model = pii.learn([("card", good, 900), ("card", bad, 700), ("card", lucky, 30)])
-    assert model.hits["check"] > 0.9 > 0.1 > model.false_hits["check"]
-    assert model.weights["check"] > abs(model.weights["edges"])
+    assert model.hits["card"]["check"] > 0.9 > 0.1 > model.false_hits["card"]["check"]
+    assert model.weights["card"]["check"] > abs(model.weights["card"]["edges"])
     assert pii.learn([]).bias["card"] == 0
 
 
