@@ -1,4 +1,10 @@
-"""Cosine neighbours through an inverted file of vector cells."""
+"""Cosine neighbours through an inverted file of vector cells.
+
+Cells have two levels. At most ``nlist`` coarse cells are learned from a bounded sample; each is split
+into cells of about ``cell_rows`` vectors, learned from its own sample in one task. So the number of cells
+grows with the table and a probe reads about as many vectors at any size. The centroids of the inner cells are
+a table that meets rows by coarse cell; only the coarse ones are broadcast.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -19,18 +26,23 @@ from casequarry.storage import materialize
 
 # Queries of a block that are multiplied together.
 QUERIES_AT_ONCE = 512
+# Sampled vectors per inner cell to be learned.
+INNER_SAMPLES = 64
+_BUCKETS = 1 << 30
 
 
 @dataclass(frozen=True)
 class IvfConfig:
     """``block_rows`` and ``block_queries`` bound what one task holds at a time.
 
-    Cells are learned from all distinct vectors unless ``train_samples`` bounds their number.
+    Coarse cells are learned from the distinct ones of about ``train_samples`` vectors picked by hash, from
+    all if it is None. A coarse cell is split into at most ``nlist`` cells.
     """
 
     nlist: int = 1024
     nprobe: int = 16
-    train_samples: int | None = None
+    train_samples: int | None = 262_144
+    cell_rows: int = 16_384
     topk: int = 3
     max_iter: int = 10
     seed: int = 410
@@ -40,7 +52,9 @@ class IvfConfig:
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """``centroids`` is bounded by ``nlist``; ``cells`` holds the distinct vectors by cell.
+    """``centroids`` are the coarse ones, bounded by ``nlist``; ``cells`` holds the distinct vectors by cell.
+
+    ``inner`` has ``(coarse, first_cell, centers)`` for every coarse cell, or is None if none is split.
 
     A row of ``cells`` is ``(cell, block, embedding, members, first_pos, owner)``. ``members`` are
     the positions of the rows with this vector, as many as any query can need. ``owner`` is their
@@ -51,6 +65,8 @@ class IvfIndex:
     cells: DataFrame
     blocks_per_cell: DataFrame
     config: IvfConfig
+    n_cells: int
+    inner: DataFrame | None = None
 
 
 def with_direction(vectors: DataFrame) -> DataFrame:
@@ -86,8 +102,7 @@ def fit_centroids(vectors: DataFrame, config: IvfConfig) -> np.ndarray:
     n_cells = min(config.nlist, max(1, math.isqrt(n)))
     sample = vectors
     if config.train_samples is not None and n > config.train_samples:
-        buckets = 1 << 30
-        kept = F.pmod(F.xxhash64("embedding"), F.lit(buckets)) < int(config.train_samples / n * buckets)
+        kept = F.pmod(F.xxhash64("embedding"), F.lit(_BUCKETS)) < int(config.train_samples / n * _BUCKETS)
         sample = vectors.where(kept)
     points = sample.select("embedding").distinct()
     points = points.select(array_to_vector("embedding").alias("features"))
@@ -135,12 +150,131 @@ def distinct_vectors(vectors: DataFrame, topk: int) -> DataFrame:
     )
 
 
+def _spherical_means(points: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """Unit centroids of unit vectors, from the first ``k`` of them; one without vectors stays."""
+    centers = points[:k].copy()
+    for _ in range(rounds):
+        near = _nearest(points, centers, 1)[0][:, 0]
+        order = np.argsort(near, kind="stable")
+        used, begin = np.unique(near[order], return_index=True)
+        sums = np.add.reduceat(points[order], begin)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        turned = length[:, 0] > 0
+        centers[used[turned]] = sums[turned] / length[turned]
+    return centers
+
+
+def _nearest(points: np.ndarray, centers: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and products of the nearest centroids of each point, nearest first, a few points at a time."""
+    numbers, products = [], []
+    for low in range(0, len(points), QUERIES_AT_ONCE):
+        sims = points[low : low + QUERIES_AT_ONCE] @ centers.T
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :count]
+        numbers.append(order)
+        products.append(np.take_along_axis(sims, order, axis=1))
+    return np.concatenate(numbers), np.concatenate(products)
+
+
+def _unit_rows(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    values = np.asarray(column.combine_chunks().flatten(), np.float64).reshape(n, -1)
+    return values / np.linalg.norm(values, axis=1, keepdims=True)
+
+
+def _per_coarse(rows: DataFrame) -> dict[int, int]:
+    """Rows by coarse cell; at most ``nlist`` numbers."""
+    return {r["coarse"]: r["count"] for r in rows.groupBy("coarse").count().collect()}
+
+
+def fit_inner(placed: DataFrame, centroids: np.ndarray, counts: dict[int, int], config: IvfConfig):
+    """Number of all cells, and the table of inner ones, None where no coarse cell is split.
+
+    ``placed`` are distinct vectors ``(key, embedding, coarse)``. The sample of a coarse cell has about
+    ``INNER_SAMPLES`` vectors per cell to be learned, so at most that many times ``nlist``.
+    """
+    spark = placed.sparkSession
+    wanted = [
+        min(config.nlist, max(1, -(-counts.get(c, 0) // config.cell_rows))) for c in range(len(centroids))
+    ]
+    if max(wanted) == 1:
+        return len(centroids), None
+    first = np.cumsum([0, *wanted]).tolist()
+    own = [(c, first[c], centroids[c].astype(np.float64).tobytes()) for c in range(len(centroids))]
+    unsplit = spark.createDataFrame(own, "coarse int, first_cell int, own binary")
+    shares = [
+        (c, k, min(_BUCKETS, int(INNER_SAMPLES * k / counts[c] * _BUCKETS) + 1))
+        for c, k in enumerate(wanted)
+        if k > 1
+    ]
+    shares = spark.createDataFrame(shares, "coarse int, k int, share long")
+    sample = placed.join(F.broadcast(shares), "coarse").where(
+        F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(_BUCKETS)) < F.col("share")
+    )
+    rounds = config.max_iter
+
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("key")
+        points = _unit_rows(rows["embedding"], rows.num_rows)
+        centers = _spherical_means(points, rows["k"][0].as_py(), rounds)
+        return pa.table({"coarse": rows["coarse"][:1], "centers": pa.array([centers.tobytes()], pa.binary())})
+
+    learned = sample.select("coarse", "k", "key", "embedding").groupBy("coarse").applyInArrow(
+        learn, "coarse int, centers binary"
+    )
+    # A sample may be empty by chance; the coarse cell then stays whole.
+    inner = unsplit.join(learned, "coarse", "left").select(
+        "coarse", "first_cell", F.coalesce("centers", "own").alias("centers")
+    )
+    return first[-1], materialize(inner, "ivf-inner")
+
+
+def inner_cells(
+    rows: DataFrame, inner: DataFrame, counts: dict[int, int], row_id: str, keep: list[str], count: int, at_once: int
+) -> DataFrame:
+    """``keep`` and ``near``, the ``count`` nearest inner cells of the coarse cell of each row.
+
+    ``near`` are ``(away, cell)``, ``away`` the negative cosine, nearest first. Rows of a popular coarse cell
+    are dealt out to groups of about ``at_once`` rows, each with a copy of the cell's centroids.
+    """
+    spark = rows.sparkSession
+    groups = [(c, -(-n // at_once)) for c, n in counts.items()]
+    groups = spark.createDataFrame(groups, "coarse int, salts int")
+    left = rows.join(F.broadcast(groups), "coarse").withColumn(
+        "salt", F.pmod(F.xxhash64(row_id), F.col("salts")).cast("int")
+    )
+    right = inner.join(F.broadcast(groups), "coarse").select(
+        "coarse", "first_cell", "centers", _numbers_below(F.col("salts")).alias("salt")
+    )
+    kind = T.StructType([T.StructField("away", T.DoubleType()), T.StructField("cell", T.IntegerType())])
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("near", T.ArrayType(kind))])
+
+    def search(asked: pa.Table, cells: pa.Table) -> pa.Table:
+        n, kept = asked.num_rows, asked.select(keep)
+        if not n or not cells.num_rows:
+            none = pa.array([], pa.list_(pa.struct([("away", pa.float64()), ("cell", pa.int32())])))
+            return kept.slice(0, 0).append_column("near", none)
+        points = _unit_rows(asked["embedding"], n)
+        centers = np.frombuffer(cells["centers"][0].as_buffer()).reshape(-1, points.shape[1])
+        numbers, products = _nearest(points, centers, count)
+        found = pa.StructArray.from_arrays(
+            [
+                pa.array(-products.ravel()),
+                pa.array((numbers.ravel() + cells["first_cell"][0].as_py()).astype(np.int32)),
+            ],
+            names=["away", "cell"],
+        )
+        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * numbers.shape[1])
+        return kept.append_column("near", pa.ListArray.from_arrays(offsets, found))
+
+    keys = ["coarse", "salt"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+
+
 def build_index(
     vectors: DataFrame, config: IvfConfig = IvfConfig(), centroids: np.ndarray | None = None
 ) -> IvfIndex:
     """Index ``(pos, case_id, embedding)`` rows. Large cells are cut into blocks.
 
-    The unit vectors ``centroids`` are taken as cells if given, else cells are learned.
+    The unit vectors ``centroids`` are taken as coarse cells if given, else they are learned.
     """
     spark = vectors.sparkSession
     usable = with_direction(vectors.select("pos", "case_id", "embedding"))
@@ -148,11 +282,21 @@ def build_index(
         centroids = fit_centroids(usable, config)
     placed = materialize(
         distinct_vectors(usable, config.topk).withColumn(
-            "cell", F.get(nearest_cells(centroids, 1, F.col("embedding"), spark), F.lit(0))
+            "coarse", F.get(nearest_cells(centroids, 1, F.col("embedding"), spark), F.lit(0))
         ),
         "ivf-vectors",
     )
-    # One row per cell, so at most nlist rows.
+    counts = _per_coarse(placed)
+    n_cells, inner = fit_inner(placed, centroids, counts, config)
+    if inner is None:
+        placed = placed.withColumnRenamed("coarse", "cell")
+    else:
+        keep = [c for c in placed.columns if c != "coarse"]
+        found = inner_cells(placed, inner, counts, "key", keep, 1, config.block_queries)
+        placed = materialize(
+            found.select(*keep, F.get("near", F.lit(0))["cell"].alias("cell")), "ivf-placed"
+        )
+    # One row per cell: two numbers for at most nlist * nlist of them, and usually one for cell_rows vectors.
     blocks = materialize(
         placed.groupBy("cell").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(config.block_rows)).cast("int").alias("blocks")
@@ -167,7 +311,26 @@ def build_index(
         "first_pos",
         "owner",
     )
-    return IvfIndex(centroids, cells, blocks, config)
+    return IvfIndex(centroids, cells, blocks, config, n_cells, inner)
+
+
+def _probed(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
+    """The queries with ``probes``, their ``nprobe`` nearest cells.
+
+    With split cells these are the nearest inner ones of the ``nprobe`` nearest coarse ones; the vector
+    travels to each of those, and only numbers of cells come back.
+    """
+    asked = with_direction(queries)
+    coarse = nearest_cells(index.centroids, nprobe, F.col("embedding"), queries.sparkSession)
+    if index.inner is None:
+        return asked.withColumn("probes", coarse)
+    apart = materialize(asked.select("pos", "embedding", F.explode(coarse).alias("coarse")), "ivf-coarse")
+    found = inner_cells(
+        apart, index.inner, _per_coarse(apart), "pos", ["pos"], nprobe, index.config.block_queries
+    )
+    nearest = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, nprobe)
+    probes = found.groupBy("pos").agg(F.transform(nearest, lambda x: x["cell"]).alias("probes"))
+    return asked.join(probes, "pos").select(*queries.columns, "probes")
 
 
 def _numbers_below(limit: Column) -> Column:
@@ -183,14 +346,8 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     number of rows per query. A vector that only ``own_id`` has is no candidate.
     """
     cfg = index.config
-    spark = queries.sparkSession
-    probed = materialize(
-        with_direction(queries).withColumn(
-            "probes", nearest_cells(index.centroids, nprobe, F.col("embedding"), spark)
-        ),
-        "ivf-queries",
-    )
-    # One row per cell, so at most nlist rows.
+    probed = materialize(_probed(index, queries, nprobe), "ivf-queries")
+    # One row per cell, as above.
     grid = materialize(
         probed.select(F.explode("probes").alias("cell"))
         .groupBy("cell")
@@ -302,3 +459,27 @@ def search(index: IvfIndex, queries: DataFrame, train: DataFrame, nprobe: int |
         .where(F.col("rank") <= index.config.topk)
         .withColumnRenamed("sim", "cosine_similarity")
     )
+
+
+def probes_for(
+    index: IvfIndex, queries: DataFrame, train: DataFrame, goal: float = 0.95, sample: int = 512
+) -> int:
+    """Fewest probes, by doubling from ``nprobe``, with which a sample of queries meets its true neighbours.
+
+    About ``sample`` queries picked by hash search all cells once, then ever more of their nearest ones until
+    they find ``goal`` of those hits. So the share found does not fall where near vectors are hard to find.
+    """
+    total = queries.count()
+    share = min(_BUCKETS, int(sample / max(total, 1) * _BUCKETS) + 1)
+    few = materialize(
+        queries.where(F.pmod(F.xxhash64(F.lit(3), "pos"), F.lit(_BUCKETS)) < share), "ivf-sample-queries"
+    )
+    names = ["query_pos", "hit_pos"]
+    true = materialize(search(index, few, train, index.n_cells).select(*names), "ivf-true")
+    wanted, nprobe = true.count(), index.config.nprobe
+    while nprobe < index.n_cells:
+        met = search(index, few, train, nprobe).join(true, names, "left_semi").count()
+        if met >= goal * wanted:
+            break
+        nprobe *= 2
+    return min(nprobe, index.n_cells)

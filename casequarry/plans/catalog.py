@@ -255,6 +255,42 @@ def predictions_round_trip(spark, sf_dir):
     return tables.read_predictions(spark, folder, "csv")
 
 
+def _scratch(spark, name):
+    return f"{shared_root(spark)}/casequarry/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def hits_json_round_trip(spark, sf_dir):
+    """Ranked hits as one JSON object per query, read again."""
+    folder = _scratch(spark, "hits-json")
+    tables.write_hits_json(_bm25_hits(spark, sf_dir), folder)
+    schema = "query_id string, query_snippet string, topk array<struct<rank int, hit_id string>>"
+    ranked = F.transform(F.array_sort("topk"), lambda hit: hit["hit_id"])
+    return spark.read.schema(schema).json(folder).select(
+        "query_id", "query_snippet", F.array_join(ranked, ",").alias("hit_ids")
+    )
+
+
+@query
+def report_round_trip(spark, sf_dir):
+    """The lines of the report from its text file."""
+    folder = _scratch(spark, "report")
+    tables.write_report_text(eda_report(spark, sf_dir), folder)
+    return spark.read.text(folder)
+
+
+@query
+def augmented_checkpoint(spark, sf_dir):
+    """Augmented texts built once; the second run reads what the first has written."""
+    folder = _scratch(spark, "augmented")
+
+    def again(written):
+        raise AssertionError("a complete table was built again")
+
+    tables.load_or_build(spark, folder, {"augmented": lambda written: augmented_text(spark, sf_dir)}, sf_dir)
+    return tables.load_or_build(spark, folder, {"augmented": again}, sf_dir)["augmented"]
+
+
 # Splits
 
 
@@ -383,15 +419,18 @@ def bm25_questions(spark, sf_dir):
     return _rounded(hits.drop("query_snippet", "hit_snippet"), "bm25_score")
 
 
-@query
-def bm25_nested_hits(spark, sf_dir):
-    hits = _stage_table(
+def _bm25_hits(spark, sf_dir):
+    return _stage_table(
         spark,
         sf_dir,
         "bm25-hits",
         lambda: bm25.retrieve(samples.cases(spark, sf_dir), _splits(spark, sf_dir)),
     )
-    return bm25.nested_hits(hits).select(
+
+
+@query
+def bm25_nested_hits(spark, sf_dir):
+    return bm25.nested_hits(_bm25_hits(spark, sf_dir)).select(
         "query_id", "query_snippet", F.array_join("topk.hit_id", ",").alias("hit_ids")
     )
 
@@ -464,6 +503,16 @@ def svd_invariants(spark, sf_dir):
     return found.select("i", "j", F.abs(F.round("value", 5)).alias("value"))
 
 
+@query
+def explained_variance(spark, sf_dir):
+    """Share of the variance of the train matrix that the retriever's components carry."""
+    model, matrix = _svd_input(spark, sf_dir)
+    train = clean.select_split(matrix, "train")
+    reduced = svd.fit(train, model.size, model.n_docs)
+    share = svd.explained_variance_sum(train, reduced)
+    return spark.createDataFrame([(reduced.dim, round(share, 4))], "components int, explained double")
+
+
 # Neighbours over the given vectors
 
 
@@ -500,7 +549,7 @@ def _vector_rows(spark, sf_dir):
 def _evidence(spark, sf_dir, nprobe=None):
     vectors = _split_vectors(spark, sf_dir)
     index = ivf.build_index(clean.select_split(vectors, "train"))
-    probes = len(index.centroids) if nprobe is None else nprobe
+    probes = index.n_cells if nprobe is None else nprobe
     rows = _vector_rows(spark, sf_dir)
     return evidence.collect_evidence(index, vectors, rows, nprobe=probes)
 
@@ -538,6 +587,39 @@ def ivf_search(spark, sf_dir):
     return _rounded(found, "cosine_similarity")
 
 
+def _split_index(spark, sf_dir):
+    """Coarse cells that are split into small ones, however few the vectors."""
+    train = clean.select_split(_split_vectors(spark, sf_dir), "train")
+    return ivf.build_index(train, ivf.IvfConfig(nlist=16, cell_rows=64))
+
+
+@query
+def ivf_split_cells(spark, sf_dir):
+    """All cells of both levels probed: the search is exact."""
+    index, rows = _split_index(spark, sf_dir), _vector_rows(spark, sf_dir)
+    found = evidence.collect_evidence(index, _split_vectors(spark, sf_dir), rows, nprobe=index.n_cells)
+    return _rounded(found.drop("query_pos"), "cosine_similarity")
+
+
+@query
+def ivf_recall(spark, sf_dir):
+    """Exact neighbours of each split, and whether the probes chosen on a sample meet nine tenths of them."""
+    index, vectors = _split_index(spark, sf_dir), _split_vectors(spark, sf_dir)
+    own = F.when(F.col("split") == "train", F.col("case_id"))
+    train = clean.select_split(vectors, "train").select("pos", "case_id")
+    asked = vectors.select("pos", "embedding", own.alias("own_id"))
+    found = ivf.search(index, asked, train, ivf.probes_for(index, asked, train)).select(
+        F.col("query_pos").cast("string").alias("query_id"), "hit_id", F.lit(True).alias("met")
+    )
+    exact = _exact_evidence(spark, sf_dir).select("query_split", "query_id", "hit_id")
+    per_split = exact.join(found, ["query_id", "hit_id"], "left").groupBy("query_split")
+    return per_split.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count(F.lit(1)).alias("n_exact"),
+        (F.count("met") >= 0.9 * F.count(F.lit(1))).alias("met_most"),
+    )
+
+
 @query
 def knn_votes(spark, sf_dir):
     return hybrid.aggregate_evidence(_exact_evidence(spark, sf_dir))

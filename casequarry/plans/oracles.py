@@ -304,6 +304,13 @@ ORACLES["ivf_full_probe"] = f"""
 SELECT query_id, query_split, rank, hit_id, hit_issue, round(cosine_similarity, 6) AS cosine_similarity, hit_snippet
 FROM evidence"""
 
+ORACLES["ivf_split_cells"] = ORACLES["ivf_full_probe"]
+
+ORACLES["ivf_recall"] = f"""
+{EVIDENCE}
+SELECT query_split, count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS met_most
+FROM evidence GROUP BY 1"""
+
 VOTES = f"""
 {EVIDENCE},
 ballots AS (SELECT query_id, hit_issue, count(*) AS n, min(rank) AS seen FROM evidence GROUP BY 1, 2),
@@ -534,3 +541,9 @@ ORACLES["splits_round_trip"] = ORACLES["chronological_split"]
 
 ORACLES["predictions_round_trip"] = """
 SELECT cast(doc_id AS varchar) AS case_id, 'val' AS split, lang AS issue, source AS pred_issue, text FROM documents"""
+
+ORACLES["hits_json_round_trip"] = ORACLES["bm25_nested_hits"]
+
+ORACLES["report_round_trip"] = f"SELECT value FROM ({ORACLES['eda_report']})"
+
+ORACLES["augmented_checkpoint"] = ORACLES["augmented_text"]

@@ -176,3 +176,36 @@ def test_override_keeps_rows_without_votes(spark):
     assert {r["case_id"]: r["hybrid_pred_issue"] for r in merged.collect()} == {"q": "A", "r": "B", "s": "B"}
     row = hybrid.hybrid_metrics(merged).first()
     assert (row["split"], row["n"], row["retrieval_override_rate"], row["accuracy"]) == ("test", 2, 0.5, 1.0)
+
+
+def test_split_cells(spark):
+    """Cells of both levels: exact when all are probed, few vectors a cell, copies and repeated ids as before."""
+    rows = vectors(400)
+    rows.append((900, "zero", "train", "label0", [0.0] * 8))
+    rows.append((901, "zero-query", "test", "label0", [0.0] * 8))
+    df = frame(spark, rows)
+    config = ivf.IvfConfig(nlist=6, cell_rows=10, block_rows=7, block_queries=9)
+    index = ivf.build_index(select_split(df, "train"), config)
+    assert len(index.centroids) == 6 < index.n_cells <= 36
+    sizes = [r["count"] for r in index.cells.groupBy("cell").count().collect()]
+    assert len(sizes) > 6 and sum(sizes) == index.cells.count()
+    known = df.where("split = 'train'").select("pos", "case_id")
+    hits = ivf.search(index, asked(df), known, index.n_cells).collect()
+    got = {(r["query_pos"], r["rank"]): (r["hit_id"], r["hit_pos"]) for r in hits}
+    want = brute_force(rows, 3)
+    assert got == {key: hit[:2] for key, hit in want.items()}
+    probed = ivf.search(index, asked(df), known, 12).collect()
+    met = {(r["query_pos"], r["hit_pos"]) for r in probed} & {(q, hit[1]) for (q, _), hit in want.items()}
+    assert len(met) >= 0.7 * len(want)
+    enough = ivf.probes_for(index, asked(df), known, goal=0.9, sample=10_000)
+    probed = ivf.search(index, asked(df), known, enough).collect()
+    met = {(r["query_pos"], r["hit_pos"]) for r in probed} & {(q, hit[1]) for (q, _), hit in want.items()}
+    assert len(met) >= 0.9 * len(want)
+
+
+def test_means_on_the_sphere():
+    points = np.array([[1.0, 0.0], [0.0, 1.0], [0.8, 0.6], [0.6, 0.8], [-1.0, 0.0]])
+    centers = ivf._spherical_means(points, 2, 5)
+    assert np.allclose(np.linalg.norm(centers, axis=1), 1.0) and len(centers) == 2
+    alone = ivf._spherical_means(points[:1], 3, 5)
+    assert np.allclose(alone, points[:1])
