@@ -126,28 +126,27 @@ def baseline(spark: SparkSession, cfg: StageConfig) -> None:
 
 
 def _augmented(spark: SparkSession, cfg: StageConfig) -> dict[str, DataFrame]:
-    """Evidence, then the augmented rows; reused while cases, splits and settings are the same."""
-
-    labelled: list[DataFrame] = []
-
-    def rows() -> DataFrame:
-        if not labelled:
-            labelled.append(_labelled(spark, cfg))
-        return labelled[0]
-
-    def found(_: dict[str, DataFrame]) -> DataFrame:
-        retriever = evidence.fit_retriever(rows(), cfg.retriever)
-        return evidence.collect_evidence(
-            retriever.index, retriever.vectors, rows(), cfg.retriever.snippet_chars
-        )
-
-    build = {
-        "evidence": found,
-        "augmented": lambda written: evidence.augment(rows(), written["evidence"]),
-    }
-    content = [tables.content_of(spark, cfg.at(name)) for name in ("cases", "splits")]
-    return tables.load_or_build(
-        spark, cfg.at("rac_checkpoint"), build, cfg.source, cfg.max_rows, cfg.retriever, *content
+    """Evidence, then the augmented rows; only parts with changed rows are built while train stays the same."""
+    rows = _labelled(spark, cfg)
+
+    def found(changed, _: dict[str, DataFrame]) -> DataFrame:
+        retriever = evidence.fit_retriever(rows, cfg.retriever)
+        asked = retriever.vectors.where(changed("pos"))
+        return evidence.collect_evidence(retriever.index, asked, rows, cfg.retriever.snippet_chars)
+
+    def augmented(changed, written: dict[str, DataFrame]) -> DataFrame:
+        return evidence.augment(rows.where(changed("ingest_pos")), written["evidence"])
+
+    return tables.load_or_build_parts(
+        spark,
+        cfg.at("rac_checkpoint"),
+        rows,
+        "ingest_pos",
+        F.col("split") == "train",
+        {"evidence": ("query_pos", found), "augmented": ("ingest_pos", augmented)},
+        cfg.source,
+        cfg.max_rows,
+        cfg.retriever,
     )
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,3 +106,79 @@ def load_or_build(
     return {name: spark.read.parquet(f"{base}/{name}") for name in names}
 
 
+
+
+# Parts of a table that are built anew on their own.
+PARTS = 64
+
+
+def _contents(rows: DataFrame, key: str, shared: Column, parts: int) -> tuple[dict[int, str], str]:
+    """What each part of the rows holds, and what its ``shared`` rows hold together; one pass, in any order."""
+    known = rows.select(
+        F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"),
+        F.xxhash64(*rows.columns).cast("decimal(38,0)").alias("hash"),
+        F.coalesce(shared, F.lit(False)).alias("shared"),
+    )
+    found = known.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("hash").alias("total"),
+        F.count_if("shared").alias("n_shared"),
+        F.sum(F.when(F.col("shared"), F.col("hash"))).alias("total_shared"),
+    ).collect()
+    own = {r["part"]: f"c{r['n']}_{r['total']}" for r in found}
+    return own, f"{sum(r['n_shared'] for r in found)}_{sum(r['total_shared'] or 0 for r in found)}"
+
+
+def load_or_build_parts(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    key: str,
+    shared: Column,
+    build: dict[str, tuple[str, Callable[[Callable[[str], Column], dict[str, DataFrame]], DataFrame]]],
+    *settings: Any,
+    parts: int = PARTS,
+) -> dict[str, DataFrame]:
+    """Tables built part by part from ``rows``; parts that hold what they held before are read again.
+
+    Rows are dealt to parts by ``key``. A change among the ``shared`` rows, on which all results depend, or of
+    the settings builds all parts anew. ``build`` names, for each table in order, its column with the key
+    and how to make it: from ``changed``, which tells of a column of keys whether their part is to be built,
+    and the tables before it, cut to these parts. A manifest lists the finished parts with their content and is
+    added to last, so an interrupted run is not taken for a finished one.
+    """
+    own, common = _contents(rows, key, shared, parts)
+    base = f"{path}/{fingerprint(*settings, parts, list(build), common)}"
+    try:
+        done = {(r["part"], r["content"]) for r in
+                spark.read.schema("part int, content string").json(f"{base}/manifest").collect()}
+    except AnalysisException:
+        done = set()
+    todo = {part: content for part, content in own.items() if (part, content) not in done}
+
+    def part_of(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+
+    def read(name: str, wanted: dict[int, str]) -> DataFrame:
+        text = spark.read.text(f"{base}/{name}-schema", wholetext=True).first()[0]
+        schema = T.StructType.fromJson(json.loads(text))
+        placed = T.StructType([*schema, T.StructField("part", T.IntegerType()), T.StructField("content", T.StringType())])
+        # Only the folders of these parts are listed for reading.
+        folder = F.concat_ws(":", "part", "content").isin([f"{p}:{c}" for p, c in wanted.items()])
+        return spark.read.schema(placed).parquet(f"{base}/{name}").where(folder).select(*schema.fieldNames())
+
+    if todo or not done:
+        contents = spark.createDataFrame(list(todo.items()), "part int, content string")
+        written: dict[str, DataFrame] = {}
+        for name, (column, make) in build.items():
+            made = make(lambda keys: part_of(keys).isin(list(todo)), written)
+            spark.createDataFrame([(made.schema.json(),)], "value string").coalesce(1).write.mode(
+                "overwrite"
+            ).text(f"{base}/{name}-schema")
+            placed = made.withColumn("part", part_of(column)).join(F.broadcast(contents), "part")
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "part", "content"
+            ).parquet(f"{base}/{name}")
+            written[name] = read(name, todo)
+        contents.coalesce(1).write.mode("append").json(f"{base}/manifest")
+    return {name: read(name, own) for name in build}

@@ -6,6 +6,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from casequarry.operators.evidence import RetrieverConfig
 from casequarry.operators.svd import SvdConfig
@@ -181,6 +182,48 @@ def test_load_or_build(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_parts_are_built_again_on_their_own(spark, tmp_path):
+    built = []
+
+    def table(rows):
+        return spark.createDataFrame(rows, "pos long, split string, text string")
+
+    def run(rows, *settings):
+        df = table(rows)
+
+        def first(changed, _):
+            kept = df.where(changed("pos"))
+            built.append({r["pos"] for r in kept.collect()})
+            return kept.select("pos", F.upper("text").alias("big"))
+
+        def second(changed, written):
+            return written["first"].where("big like 'X%'").withColumnRenamed("pos", "id")
+
+        build = {"first": ("pos", first), "second": ("id", second)}
+        got = tables.load_or_build_parts(
+            spark, str(tmp_path / "parts"), df, "pos", F.col("split") == "train", build, *settings, parts=8
+        )
+        assert {(r["pos"], r["big"]) for r in got["first"].collect()} == {(p, t and t.upper()) for p, _, t in rows}
+        want = {(p, t.upper()) for p, _, t in rows if t and t.upper().startswith("X")}
+        assert {(r["id"], r["big"]) for r in got["second"].collect()} == want
+
+    rows = [(i, "train" if i < 10 else "test", f"{'xy'[i % 2]}{i}") for i in range(60)]
+    run(rows)
+    run(rows[::-1])
+    assert built == [set(range(60))]
+    changed = [(p, s, "xnew" if p == 33 else t) for p, s, t in rows]
+    run(changed)
+    assert len(built) == 2 and 33 in built[1] and len(built[1]) < 30
+    run(rows)  # what was built before is still there
+    assert len(built) == 2
+    run([*changed[:59], (70, "test", None)])
+    assert len(built) == 3 and 70 in built[2] and len(built[2]) < 40
+    run([(p, s, "other" if p == 0 else t) for p, s, t in rows])
+    assert built[3] == set(range(60))  # train changed
+    run(rows, "settings")
+    assert built[4] == set(range(60))
+
+
 def complaint_csv(path: Path) -> str:
     rng = random.Random(1)
     words = {
