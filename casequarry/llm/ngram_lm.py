@@ -50,7 +50,7 @@ _END = np.uint64(0xD6E8FEB86659FD93)
 _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _ONE = np.uint64(1)
 
-SHARD = """shard long, n_tokens long, doc_ids array<long>, held array<boolean>,
+SHARD = """shard long, n_tokens long, doc_ids array<{id}>, held array<boolean>,
     lengths array<int>, vocabulary binary, low binary, high binary"""
 
 
@@ -109,13 +109,13 @@ class _Shard:
         keys = np.concatenate([self.vocabulary | _ONE, hashed & ~_ONE])
         return keys, np.concatenate([words, pairs]).astype(np.int64), code[begin]
 
-    def row(self, shard: int, ids: list) -> pa.RecordBatch:
+    def row(self, shard: int, ids: pa.Array) -> pa.RecordBatch:
         low = self.numbers.astype(np.uint16)
         high = (self.numbers >> 16).astype(np.uint16)
         columns = [
             pa.array([shard], pa.int64()),
             pa.array([len(self.numbers)], pa.int64()),
-            pa.array([ids], pa.list_(pa.int64())),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             pa.array([self.held.tolist()], pa.list_(pa.bool_())),
             pa.array([self.lengths.tolist()], pa.list_(pa.int32())),
             *(pa.array([_packed(x)], pa.binary()) for x in (self.vocabulary, low, high)),
@@ -132,7 +132,7 @@ def _shard_of(row: dict) -> _Shard:
 
 
 def _numbered(pieces: list, shard: int) -> pa.RecordBatch:
-    ids = [i for piece in pieces for i in piece[0]]
+    ids = pa.concat_arrays([piece[0] for piece in pieces])
     held = np.concatenate([piece[1] for piece in pieces])
     lengths = np.concatenate([piece[2] for piece in pieces])
     hashes = np.concatenate([piece[3] for piece in pieces])
@@ -159,8 +159,7 @@ def shards(rows: DataFrame) -> DataFrame:
                 ends = found.offsets[1:]
                 hashes = np.insert(found.hashes, ends, _END)
                 held = np.asarray(part.column("held").to_pylist(), bool)
-                ids = part.column("doc_id").to_pylist()
-                pieces.append((ids, held, found.counts() + 1, hashes))
+                pieces.append((part.column("doc_id"), held, found.counts() + 1, hashes))
                 size += len(hashes)
                 if size >= SHARD_TOKENS:
                     yield _numbered(pieces, number)
@@ -168,7 +167,8 @@ def shards(rows: DataFrame) -> DataFrame:
         if pieces:
             yield _numbered(pieces, number)
 
-    return rows.select("doc_id", "text", "held").mapInArrow(work, SHARD)
+    schema = SHARD.format(id=rows.schema["doc_id"].dataType.simpleString())
+    return rows.select("doc_id", "text", "held").mapInArrow(work, schema)
 
 
 def _buckets(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def _score_shard(n: int, v: int, n_buckets: int):
         known, base, scores, left = (np.concatenate(x) for x in zip(*stepped))
         return pa.table(
             {
-                "doc_id": pa.array(row["doc_ids"], pa.int64()),
+                "doc_id": texts["doc_ids"][0].values,
                 "held_out": pa.array(shard.held),
                 "n_tokens": pa.array(shard.lengths),
                 "n_known": pa.array(known),
@@ -316,7 +316,7 @@ def _score_shard(n: int, v: int, n_buckets: int):
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Learn from the texts of ``docs (doc_id, text)`` that are not held out, and score all.
+    """Learn from the texts of ``docs (doc_id, text)`` that are not held out, and score all; ids of any type.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, strength``.
     """
@@ -331,7 +331,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         .cogroup(answers.select("shard", "bucket", "counts").groupBy("shard"))
         .applyInArrow(
             _score_shard(total["n"] or 0, total["v"] or 0, n_buckets),
-            """doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,
+            f"""doc_id {rows.schema["doc_id"].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long,
                base_score double, scores array<double>, left_out array<double>""",
         ),
         "lm-scores",

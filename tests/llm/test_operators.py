@@ -227,8 +227,23 @@ def test_language_model(docs, rows):
 
 def test_language_model_in_small_shards(docs, rows, monkeypatch):
     held_out = fold(F.col("doc_id"), 10) == 0
-    one = {r["doc_id"]: r["score"] for r in ngram_lm.score(docs, held_out).collect()}
-    assert one.keys() == {r[0] for r in rows}
+
+    def scored(found):
+        out = [(-1 if r["doc_id"] is None else int(str(r["doc_id"]).lstrip("d")), r["n_known"], r["score"]) for r in found]
+        return sorted(out)
+
+    want = scored(ngram_lm.score(docs, held_out).collect())
+    assert {x[0] for x in want} == {-1 if r[0] is None else r[0] for r in rows}
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 50)
+    monkeypatch.setattr(ngram_lm, "BUCKET_KEYS", 40)
+    docs = docs.repartition(16)  # a shard is a slice of a task's texts at least
+    texts = docs.select("doc_id", "text", held_out.alias("held"))
+    assert ngram_lm.shards(texts).count() > 10
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    held_out_named = fold(F.substring("doc_id", 2, 99), 10) == 0
+    found = scored(ngram_lm.score(named, held_out_named).collect())
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in want])
     assert ngram_lm.score(docs.limit(0), held_out).count() == 0
 
 
