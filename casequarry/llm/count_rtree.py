@@ -2,7 +2,7 @@
 
 The members of a set are hashed into ``GROUPS`` groups; the counts of the groups are the coordinates
 of a point. Two sets share at most the sum of the smaller coordinates, and all sets below two nodes
-at most the sum of the smaller upper corners.
+at most the sum of the smaller upper corners. Counts are kept up to ``LIMIT``, which bounds nothing.
 """
 
 from __future__ import annotations
@@ -12,12 +12,20 @@ import numpy as np
 GROUPS = 512
 LEAF = 16
 FANOUT = 8
+LIMIT = 65_535
+UNLIMITED = 2**31 - 1
 
 
 def count_vector(members: np.ndarray) -> np.ndarray:
     groups = (members & np.uint64(GROUPS - 1)).astype(np.int64)
     counts = np.bincount(groups, minlength=GROUPS)
-    return np.minimum(counts, 65_535).astype(np.uint16)
+    return np.minimum(counts, LIMIT).astype(np.uint16)
+
+
+def unlimited(vectors: np.ndarray) -> np.ndarray:
+    """The vectors with coordinates at the limit as large as any count."""
+    full = vectors >= LIMIT
+    return np.where(full, np.int32(UNLIMITED), vectors.astype(np.int32)) if full.any() else vectors
 
 
 def needed(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
@@ -30,7 +38,7 @@ class RTree:
     """Nodes level by level, leaves first: rows of a node, its upper corner and its sizes."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
-        self.vectors, self.sizes = vectors.astype(np.int32), sizes.astype(np.int64)
+        self.vectors, self.sizes = unlimited(vectors).astype(np.int32), sizes.astype(np.int64)
         widest = vectors.var(axis=0).argmax() if len(vectors) else 0
         self.order = np.lexsort((vectors[:, widest], self.sizes))
         corner = self.vectors[self.order]

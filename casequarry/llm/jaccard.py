@@ -8,7 +8,8 @@
    same classes are one. This deals the classes out to tasks and loses no pair.
 3. Within the classes that share a prefix shingle, one leads. Members whose count-vector bound
    allows it are verified against their leader on the whole sets; linked ones are contracted. A few
-   rounds take groups of near copies together without pairing them all.
+   rounds take groups of near copies together without pairing them all; they end early when a round
+   leaves nearly as much open as it found.
 4. For shingles whose classes are still in several components, count vectors go into R-trees, which
    are joined under the bound; the surviving pairs of different components are verified exactly,
    unless their ends are connected by then. After this every pair is linked, connected through links,
@@ -31,12 +32,13 @@ from pyspark.sql import types as T
 
 from casequarry.llm import frames, tokens
 from casequarry.llm.components import components
-from casequarry.llm.count_rtree import GROUPS, RTree, count_vector, join, needed
+from casequarry.llm.count_rtree import GROUPS, RTree, count_vector, join, needed, unlimited
 from casequarry.storage import materialize, shared_root
 
 SHINGLE = 5
 PERCENT = 75
-ROUNDS = 5
+# Rounds of leaders at most; after one that leaves more than this share of the rows open, the trees follow.
+ROUNDS, LEFT_OPEN = 5, 0.9
 # Slots in which shingle frequencies are counted; they only choose the common order.
 SLOT_BITS = 20
 SLOT_BLOCKS = 16
@@ -372,7 +374,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             a, b = (_vectors(batch.column(c)) for c in ("vector_a", "vector_b"))
             size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            shared = np.minimum(unlimited(a), unlimited(b)).sum(axis=1, dtype=np.int64)
             yield batch.select(["a", "b"]).filter(
                 pa.array(shared >= needed(size_a, size_b, PERCENT))
             )
@@ -627,19 +629,25 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     if keys.isEmpty():
         return None
     sets = _bucketed(_sets(docs, text, keys.select("class").distinct()), "class", "sets")
-    labels = None
+    labels, before = None, None
     for number in range(ROUNDS + 1):
         marked = materialize(_labelled(keys, labels), "jaccard-open")
         size = marked.count()
         if not size:
             break
-        if number < ROUNDS:
-            pairs = materialize(_bounded(_led(marked, number), sets), "jaccard-led")
-            similar = _verified(pairs, sets)
-        else:
+        last = number == ROUNDS or (before is not None and size > LEFT_OPEN * before)
+        if last:
             pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
             similar = _verified_together(pairs, sets)
-        labels = _joined(labels, materialize(similar, "jaccard-links"))
+        else:
+            pairs = materialize(_bounded(_led(marked, number), sets), "jaccard-led")
+            similar = _verified(pairs, sets)
+        links = materialize(similar, "jaccard-links")
+        if not links.isEmpty():
+            labels = _joined(labels, links)
+        if last:
+            break
+        before = size
     return labels
 
 

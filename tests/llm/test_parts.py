@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from casequarry.llm import decontaminate, jaccard, lsh_forest, pii, tokens, warc
+from casequarry.llm import count_rtree, decontaminate, jaccard, lsh_forest, pii, tokens, warc
 from casequarry.llm.count_rtree import RTree, count_vector, join
 from casequarry.llm.fm_index import FmIndex, suffix_order
 
@@ -170,3 +170,45 @@ def test_jaccard_of_an_empty_table_and_tiny_partitions(spark):
     assert jaccard.cluster(docs.limit(0)).collect() == []
     found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs.repartition(2)).collect()}
     assert found == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_count_vectors_at_the_limit_refute_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, 3900)) for _ in range(3)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], rng.integers(0, 2**63, 40).astype(np.uint64)])) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    similar = {
+        (i, j)
+        for i in range(len(sets))
+        for j in range(len(sets))
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert {(i, i + 3) for i in range(3)} <= similar
+    for limit in (65_535, 3):
+        monkeypatch.setattr(count_rtree, "LIMIT", limit)
+        vectors = np.stack([count_rtree.count_vector(s) for s in sets])
+        assert vectors.max() <= limit
+        trees = [count_rtree.RTree(vectors, sizes) for _ in range(2)]
+        left, right = count_rtree.join(*trees, 75)
+        assert similar <= set(zip(left.tolist(), right.tolist()))
+
+
+def test_rounds_of_leaders_end_early(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = []
+    for group in range(12):
+        body = [f"w{group}x{rng.randrange(400)}" for _ in range(60)]
+        for _ in range(6):
+            copy = list(body)
+            copy[rng.randrange(60)] = f"n{rng.randrange(10**6)}"
+            copy[rng.randrange(60)] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    numbers = brute.jaccard_components(texts)
+    least = {n: min(i for i, m in enumerate(numbers) if m == n) for n in set(numbers)}
+    want = {i: least[n] for i, n in enumerate(numbers)}
+    for share in (0.0, 1.0):  # trees after the first round, and after all of them
+        monkeypatch.setattr(jaccard, "LEFT_OPEN", share)
+        found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs).collect()}
+        assert found == want
