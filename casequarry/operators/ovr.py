@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casequarry.functions.sparse import add_transposed_times, csr, sum_over_tasks, times
+from casequarry.functions.sparse import add_transposed_times, csr, packed, sum_over_tasks, times, unpacked
 from casequarry.storage import materialize
 
 # Coefficients of so many bytes are scored in one pass; more labels take further passes.
@@ -50,7 +50,7 @@ class OvrModel:
 def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np.ndarray):
     """Mean weighted log loss and its gradient, for several labels in one pass over the rows.
 
-    ``rows`` are ``(x, class)``. A label held by a share ``p`` of the rows weighs them ``1 / 2p``
+    ``rows`` are ``(x, class)``, packed. A label held by a share ``p`` of the rows weighs them ``1 / 2p``
     and the others ``1 / 2(1 - p)``. The last weight of a label is its intercept.
     """
     terms = weights.shape[1] - 1
@@ -60,15 +60,15 @@ def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np
 
     def add(batch, total):
         w, of, weight_in, weight_out = shared.value
-        x = csr(batch.column("x"))
-        inside = np.asarray(batch.column("class"))[:, None] == of
-        sign = np.where(inside, 1.0, -1.0)
-        weight = np.where(inside, weight_in, weight_out)
-        margin = sign * (times(*x, w[:-1]) + w[-1])
-        pull = -sign * weight * np.exp(-np.logaddexp(0.0, margin))
-        add_transposed_times(total[:terms], *x, pull)
-        total[terms] += pull.sum(axis=0)
-        total[terms + 1] += (weight * np.logaddexp(0.0, -margin)).sum(axis=0)
+        for x, classes in unpacked(batch):
+            inside = classes[:, None] == of
+            sign = np.where(inside, 1.0, -1.0)
+            weight = np.where(inside, weight_in, weight_out)
+            margin = sign * (times(*x, w[:-1]) + w[-1])
+            pull = -sign * weight * np.exp(-np.logaddexp(0.0, margin))
+            add_transposed_times(total[:terms], *x, pull)
+            total[terms] += pull.sum(axis=0)
+            total[terms + 1] += (weight * np.logaddexp(0.0, -margin)).sum(axis=0)
 
     total = sum_over_tasks(rows, add, (terms + 2, len(classes)))
     shared.destroy()
@@ -138,6 +138,12 @@ def _fit_group(rows: DataFrame, n: int, classes: np.ndarray, share: np.ndarray,
     return w
 
 
+def _numbered(train: DataFrame, names: Column, features: str, label: str) -> DataFrame:
+    """The rows as packed ``(x, class)``, classes by their place in ``names``."""
+    number = (F.array_position(names, F.col(label)) - 1).cast("int").alias("class")
+    return packed(train.select(F.unwrap_udt(features).alias("x"), number))
+
+
 def fit(
     train: DataFrame, config: OvrConfig = OvrConfig(), features: str = "features", label: str = "issue"
 ) -> OvrModel:
@@ -163,10 +169,7 @@ def fit(
     if not targets:
         return OvrModel(labels, np.zeros((0, terms)), np.zeros(0))
     names = F.array(*[F.lit(name) for name in labels])
-    rows = train.select(
-        F.unwrap_udt(features).alias("x"),
-        (F.array_position(names, F.col(label)) - 1).cast("int").alias("class"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _numbered(train, names, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     share = np.array([counts[name] / n for name in labels])
     group = max(1, FIT_BYTES // (8 * (terms + 1) * (2 * HISTORY + 6)))
     try:
@@ -199,10 +202,7 @@ def optimality(
     n, names = sum(counts.values()), F.array(*[F.lit(x) for x in model.labels])
     targets = np.arange(len(model.labels)) if len(model.labels) > 2 else np.array([1])
     share = np.array([counts[model.labels[t]] / n for t in targets])
-    rows = train.select(
-        F.unwrap_udt(features).alias("x"),
-        (F.array_position(names, F.col(label)) - 1).cast("int").alias("class"),
-    )
+    rows = _numbered(train, names, features, label)
     penalty = 1.0 / (config.c * n)
     w = np.concatenate([model.coefficients, model.intercepts[:, None]], axis=1)
     gradient = _losses(rows, targets, share, w)[1] / n + penalty * w
