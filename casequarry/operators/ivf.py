@@ -333,6 +333,22 @@ def _probed(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     return asked.join(probes, "pos").select(*queries.columns, "probes")
 
 
+def _as_one_cell(index: IvfIndex, queries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Queries with ``probes``, cells and their blocks for a search of all cells, which are taken as one.
+
+    A query then meets every block once instead of every cell. Cells hold about the root of the table, so their
+    number grows with it, while a block has ``block_rows`` vectors at any size.
+    """
+    rows = index.config.block_rows
+    n_blocks = max(1, -(-index.cells.count() // rows))
+    cell = F.lit(0).alias("cell")
+    block = F.pmod(F.xxhash64("first_pos"), F.lit(n_blocks)).cast("int").alias("block")
+    cells = index.cells.select(cell, block, "embedding", "members", "first_pos", "owner")
+    probed = with_direction(queries).withColumn("probes", F.array(F.lit(0)))
+    blocks = queries.sparkSession.createDataFrame([(0, n_blocks)], "cell int, blocks int")
+    return probed, cells, blocks
+
+
 def _numbers_below(limit: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), limit - 1))
 
@@ -343,10 +359,15 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     Columns are those of the query without its vector, and ``sim, members, first_pos`` of what was
     found. Queries meet the cells they probe in a grid of blocks, so neither a large cell nor a
     popular one becomes a large task. A block compares by one matrix product and returns a bounded
-    number of rows per query. A vector that only ``own_id`` has is no candidate.
+    number of rows per query. A vector that only ``own_id`` has is no candidate. If all cells are probed,
+    they make up one.
     """
     cfg = index.config
-    probed = materialize(_probed(index, queries, nprobe), "ivf-queries")
+    if nprobe >= index.n_cells:
+        probed, cells, blocks_per_cell = _as_one_cell(index, queries)
+    else:
+        probed, cells, blocks_per_cell = _probed(index, queries, nprobe), index.cells, index.blocks_per_cell
+    probed = materialize(probed, "ivf-queries")
     # One row per cell, as above.
     grid = materialize(
         probed.select(F.explode("probes").alias("cell"))
@@ -354,7 +375,7 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
         .agg(
             F.ceil(F.count(F.lit(1)) / F.lit(cfg.block_queries)).cast("int").alias("query_blocks")
         )
-        .join(F.broadcast(index.blocks_per_cell), "cell"),
+        .join(F.broadcast(blocks_per_cell), "cell"),
         "ivf-grid",
     )
     carried = [f for f in queries.schema.fields if f.name != "embedding"]
@@ -365,7 +386,7 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
         .withColumn("query_block", F.pmod(F.xxhash64("pos"), F.col("query_blocks")).cast("int"))
         .select("cell", "query_block", _numbers_below(F.col("blocks")).alias("block"), *names, "embedding")
     )
-    right = index.cells.join(F.broadcast(grid.drop("blocks")), "cell").select(
+    right = cells.join(F.broadcast(grid.drop("blocks")), "cell").select(
         "cell",
         _numbers_below(F.col("query_blocks")).alias("query_block"),
         "block",
@@ -407,8 +428,10 @@ def candidates(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
         )
         sims[own["q"], own["v"]] = -np.inf
         width = min(wanted, sims.shape[1])
-        bound = np.partition(sims, -width, axis=1)[:, -width]
-        q, v = np.nonzero((sims >= bound[:, None]) & np.isfinite(sims))
+        bound = np.maximum(np.partition(sims, -width, axis=1)[:, -width], np.finfo(float).min)
+        q, v = np.nonzero(sims >= bound[:, None])
+        finite = np.isfinite(sims[q, v])
+        q, v = q[finite], v[finite]
         value = sims[q, v]
         # Highest similarity first; ties in position order, which is the order of the columns.
         order = np.lexsort((v, -value, q))

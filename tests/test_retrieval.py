@@ -209,3 +209,20 @@ def test_means_on_the_sphere():
     assert np.allclose(np.linalg.norm(centers, axis=1), 1.0) and len(centers) == 2
     alone = ivf._spherical_means(points[:1], 3, 5)
     assert np.allclose(alone, points[:1])
+
+
+def test_search_of_all_cells_meets_blocks_and_not_cells(spark):
+    """A query was sent to every cell, and the number of cells grows with the table."""
+    rows = vectors(400)
+    df = frame(spark, rows)
+    train = select_split(df, "train")
+    known = train.select("pos", "case_id")
+    index = ivf.build_index(train, ivf.IvfConfig(block_rows=50, block_queries=90))
+    assert index.n_cells > 10
+    n_blocks = -(-index.cells.count() // 50)
+    found = ivf.candidates(index, asked(df), index.n_cells).groupBy("pos").count().collect()
+    assert {r["pos"] for r in found} == set(range(400))
+    assert max(r["count"] for r in found) <= n_blocks * (index.config.topk + 1)
+    hits = ivf.search(index, asked(df), known, index.n_cells).collect()
+    exact = brute_force(rows, index.config.topk)
+    assert {(r["query_pos"], r["rank"]): r["hit_pos"] for r in hits} == {at: hit for at, (_, hit, _) in exact.items()}
