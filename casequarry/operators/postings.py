@@ -13,8 +13,12 @@ only blocks that can still reach it are scored.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casequarry.functions.text import unnest_bag
 from casequarry.operators.ordering import part_offsets
@@ -26,6 +30,8 @@ BUCKETS = 32
 FILE_BLOCKS = 1024
 # Blocks per query that are scored before there is a threshold.
 SEEDS = 4
+# Queries that meet the lists of a block in one task.
+QUERIES_AT_ONCE = 1024
 # Scores that are equal up to this are ties.
 TIE = 1e-9
 # Consecutive documents that are counted together when free positions are looked for.
@@ -101,16 +107,69 @@ def bounds(index: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def scores(index: DataFrame, weights: DataFrame, blocks: DataFrame, gain) -> DataFrame:
-    """``(query_id, doc, score)`` of all documents with a term of the query in ``blocks``."""
-    asked = weights.join(blocks.select("query_id", "block"), "query_id")
-    return (
+    """``(query_id, doc, score)``: the best documents with a term of the query in each of ``blocks``.
+
+    ``blocks`` has ``query_id, block, wanted``, the last being how many documents of it can matter. The lists
+    of a block and the queries that ask it meet once, so neither a posting nor a document becomes a row per
+    query. A group has one block and about ``QUERIES_AT_ONCE`` queries.
+    """
+    asked = weights.groupBy("query_id").agg(
+        F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights")
+    )
+    salts = max(1, -(-asked.count() // QUERIES_AT_ONCE))
+    left = blocks.join(asked, "query_id").withColumn(
+        "salt", F.pmod(F.xxhash64("query_id"), F.lit(salts)).cast("int")
+    )
+    lists = (
         touched(index, weights)
-        .select("term", "block", "postings")
-        .join(asked, ["term", "block"])
-        .select("query_id", "block", "weight", F.inline("postings"))
-        .groupBy("query_id", (F.col("block") * BLOCK + F.col("at")).alias("doc"))
-        .agg(F.sum(F.col("weight") * gain(F.col("tf"), F.col("length"))).alias("score"))
+        .join(weights.select("term").distinct(), "term", "left_semi")
+        .select(
+            "block",
+            "term",
+            F.col("postings.at").alias("at"),
+            F.transform("postings", lambda p: gain(p["tf"], p["length"])).alias("gain"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        )
+    )
+
+    def score(asked: pa.Table, lists: pa.Table) -> pa.Table:
+        queries, docs, scored = [], [], []
+        if asked.num_rows and lists.num_rows:
+            first = asked["block"][0].as_py() * BLOCK
+            terms = lists["term"].combine_chunks()
+            at = np.asarray(lists["at"].combine_chunks().flatten())
+            gains = np.asarray(lists["gain"].combine_chunks().flatten())
+            ends = np.cumsum(np.asarray(pc.list_value_length(lists["at"])), dtype=np.int64)
+            begins = np.concatenate([[0], ends[:-1]])
+            named, weight = asked["terms"].combine_chunks(), asked["weights"].combine_chunks()
+            for i, (query, k) in enumerate(zip(asked["query_id"].to_pylist(), asked["wanted"].to_pylist())):
+                place = pc.index_in(named[i].values, value_set=terms)
+                known = np.asarray(pc.is_valid(place))
+                place = np.asarray(pc.fill_null(place, 0))[known]
+                if not len(place):
+                    continue
+                n = ends[place] - begins[place]
+                of = np.repeat(begins[place] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                adds = np.repeat(np.asarray(weight[i].values)[known], n) * gains[of]
+                total = np.bincount(at[of], adds, BLOCK)
+                found = np.flatnonzero(np.bincount(at[of], minlength=BLOCK))
+                found = found[np.argsort(-np.round(total[found], 9), kind="stable")[:k]]
+                queries += [query] * len(found)
+                docs.append(first + found)
+                scored.append(total[found])
+        return pa.table(
+            {
+                "query_id": pa.array(queries, asked.schema.field("query_id").type),
+                "doc": pa.array(np.concatenate(docs or [np.empty(0)]).astype(np.int64)),
+                "score": pa.array(np.concatenate(scored or [np.empty(0)])),
+            }
+        )
+
+    keys = ["block", "salt"]
+    schema = T.StructType(
+        [weights.schema["query_id"], T.StructField("doc", T.LongType()), T.StructField("score", T.DoubleType())]
     )
+    return left.groupBy(*keys).cogroup(lists.groupBy(*keys)).applyInArrow(score, schema)
 
 
 def best(scored: DataFrame, k: int) -> DataFrame:
@@ -126,8 +185,9 @@ def topk(index: DataFrame, weights: DataFrame, gain, k: int) -> DataFrame:
     """``(query_id, doc, score)``: the ``k`` best of the documents that share a term with the query."""
     bounded = materialize(bounds(index, weights), "block-bounds")
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
+    wanted = F.lit(k).alias("wanted")
     seeds = bounded.withColumn("place", F.row_number().over(by_bound)).where(F.col("place") <= SEEDS)
-    first = materialize(best(scores(index, weights, seeds, gain), k), "seed-scores")
+    first = materialize(best(scores(index, weights, seeds.select("query_id", "block", wanted), gain), k), "seed-scores")
     threshold = first.where(F.col("place") == k).select(
         "query_id", F.col("score").alias("threshold")
     )
@@ -139,7 +199,7 @@ def topk(index: DataFrame, weights: DataFrame, gain, k: int) -> DataFrame:
         .where(F.col("threshold").isNull() | reaches)
     )
     rest = materialize(rest.select("query_id", "block"), "open-blocks")
-    found = best(scores(index, weights, rest, gain), k)
+    found = best(scores(index, weights, rest.withColumn("wanted", wanted), gain), k)
     both = first.drop("place").unionByName(found.drop("place"))
     return best(both, k).drop("place")
 

@@ -175,3 +175,23 @@ def test_plans_have_no_cross_join(spark):
     asked = spark.createDataFrame([("q", "a")], "query_id string, text string")
     plan = bm25.topk(corpus, asked)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_no_posting_becomes_a_row_per_query(spark, monkeypatch):
+    """Every posting of an open block was a row for every query with its term."""
+    monkeypatch.setattr(postings, "BLOCK", 16)
+    monkeypatch.setattr(postings, "QUERIES_AT_ONCE", 3)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    docs = [" ".join(rng.choices(words, range(40, 0, -1), k=rng.randrange(1, 30))) for _ in range(120)]
+    docs[60:70] = [docs[3]] * 10
+    queries = [" ".join(rng.choices(words, k=12)) for _ in range(10)] + [docs[3]]
+    check(spark, docs, queries)
+    index, weights, asked = index_of(spark, docs, {f"q{i}": q for i, q in enumerate(queries)})
+    blocks = index.select("block").distinct().crossJoin(asked.select("query_id")).selectExpr("*", "2 AS wanted")
+    blocks = materialize(blocks, "blocks")
+    corpus = bm25.build_corpus(corpus_frame(spark, docs))
+    found = postings.scores(index, weights, blocks, corpus.gain)
+    assert "Inline" not in str(found._jdf.queryExecution().optimizedPlan().toString())
+    per_block = found.groupBy("query_id", (found["doc"] / 16).cast("int")).count()
+    assert per_block.agg({"count": "max"}).first()[0] == 2
