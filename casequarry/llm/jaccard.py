@@ -2,18 +2,19 @@
 
 1. Equal shingle sets are one class; copies meet in a count and are never paired.
 2. Two similar sets share the ``k`` first shingles of what they have in common, in any common order,
-   within prefixes of ``n - ceil(0.75 n) + k`` shingles. Shingles of frequent slots come last, so
-   passages that many documents share stay out of prefixes. Classes that share fewer prefix
-   shingles with others than ``k`` have no partner and go; shingles that stand in the prefixes of the
-   same classes are one. This deals the classes out to tasks and loses no pair.
+   within prefixes of ``n - ceil(0.75 n) + k`` shingles, ``k`` being that of the larger set. Shingles of
+   frequent slots come last, so passages that many documents share stay out of prefixes. Classes
+   that share fewer prefix shingles with others than ``k`` have no partner and go; shingles that stand
+   in the prefixes of the same classes are one. This deals the classes out to tasks and loses no pair.
 3. Within the classes that share a prefix shingle, one leads. Members whose count-vector bound
    allows it are verified against their leader on the whole sets; linked ones are contracted. A few
    rounds take groups of near copies together without pairing them all; they end early when a round
    leaves nearly as much open as it found.
-4. For shingles whose classes are still in several components, count vectors go into R-trees, which
-   are joined under the bound; the surviving pairs of different components are verified exactly,
-   unless their ends are connected by then. After this every pair is linked, connected through links,
-   or refuted.
+4. Of the shingles whose classes are still in several components a class needs all but the ``k - 1``
+   with the most pairs to compare, as a partner shares ``k``. For the others, count vectors go into
+   R-trees, which are joined under the bound; the surviving pairs of different components are verified
+   exactly, unless their ends are connected by then. After this every pair is linked, connected
+   through links, or refuted.
 
 Shingles and classes are 64-bit hashes. Defined results: a text without words (or null) has no
 shingles, links with nothing and is a component of its own; a row without id takes part, and a
@@ -23,10 +24,11 @@ component is named by the smallest id in it (null if it has none); repeated rows
 from __future__ import annotations
 
 import uuid
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,12 +46,16 @@ SLOT_BITS = 20
 SLOT_BLOCKS = 16
 # Shingles that the prefixes of a pair share, unless its sets are too small.
 SHARED = 32
+# Of them so many are not counted on: shingles of one class may be one key, as keys have 32 bits in a bucket.
+SPARE = 1
 # A shingle is frequent from this multiple of the mean slot and this many texts on.
 FREQUENT_TIMES, FREQUENT_LEAST = 8, 50_000
 # Postings of a bucket, postings a task holds back, members of a group that are compared at once.
 BUCKET = 750_000
 HELD = 1 << 19
 GROUP = 1024
+# Blocks that a group is cut into, more only where a block would have more members than this.
+GRID, BLOCK = 4, 16_384
 # Rows of R-trees of the keys of one class that go to one bin.
 TREE_ROWS = 6_000
 FILTER_BITS = 24
@@ -79,10 +85,20 @@ def _class_of(members: np.ndarray) -> int:
 
 
 def _least_shared(n):
-    """Prefix shingles that a set of ``n`` shares with any similar set that is not smaller."""
+    """Prefix shingles that a set of ``n`` shares with any similar set.
+
+    They have ``PERCENT`` hundredths of the larger set at least in common, and prefixes that are not
+    whole sets leave out all but ``SHARED`` shingles of so many.
+    """
     return np.minimum(SHARED, -(-PERCENT * n // 100))
 
 
+def _counted_on(n: Column) -> Column:
+    """Weight of the keys that a class of ``n`` shares with any similar class."""
+    least = F.least(F.ceil(F.lit(PERCENT) * n / 100), F.lit(SHARED))
+    return F.greatest(least - SPARE, F.lit(1))
+
+
 def _prefix(members: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     """First shingles in the common order: by level of the slot's frequency, then by hash."""
     n = len(members)
@@ -264,12 +280,11 @@ def _shared_keys(postings: DataFrame, n_buckets: int) -> DataFrame:
 
 def _plausible(keys: DataFrame, sizes: DataFrame) -> DataFrame:
     """The keys of classes that share enough of them with others; the rest has no partner."""
-    least = F.ceil(F.lit(PERCENT) * F.ceil(F.lit(PERCENT) * F.col("n") / 100) / 100)
     enough = (
         keys.groupBy("class")
         .agg(F.count(F.lit(1)).alias("shared"))
         .join(sizes, "class")
-        .where(F.col("shared") >= F.least(least, F.lit(SHARED)))
+        .where(F.col("shared") >= _counted_on(F.col("n")))
         .select("class")
     )
     left = keys.join(enough, "class")
@@ -409,13 +424,36 @@ def _labelled(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
         return keys.withColumn("label", F.col("class"))
     known = labels.select(F.col("node").alias("class"), "label")
     marked = keys.join(known, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_keys = (
+    return _open(marked).select("key", "class", "weight", "label")
+
+
+def _open(marked: DataFrame) -> DataFrame:
+    """The rows of the keys whose classes are in several components."""
+    several = (
         marked.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where(F.col("low") != F.col("high"))
-        .select("key")
     )
-    return marked.join(open_keys, "key").select("key", "class", "weight", "label")
+    return marked.join(several.select("key"), "key")
+
+
+def _cheapest(marked: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(key, class, label)`` of keys of which any two similar classes of different components share one.
+
+    Keys are ordered by the pairs they make. Classes that are similar share the weight that is counted
+    on, so the first key they share stays if each of them does without less than that at the end.
+    """
+    per_label = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    total, most = F.sum("n"), F.max("n")
+    pairs = per_label.groupBy("key").agg(((total - most) * total).alias("pairs"))
+    from_end = Window.partitionBy("class").orderBy(F.desc("pairs"), F.desc("key"))
+    left = (
+        marked.join(pairs, "key")
+        .withColumn("behind", F.sum("weight").over(from_end))
+        .join(sizes, "class")
+        .where(F.col("behind") >= _counted_on(F.col("n")))
+    )
+    return _open(left).select("key", "class", "label")
 
 
 def _led(marked: DataFrame, number: int) -> DataFrame:
@@ -434,8 +472,8 @@ def _led(marked: DataFrame, number: int) -> DataFrame:
     return met.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
 
 
-def _met_before(own: pa.Array, low: int, key: int, i: np.ndarray, j: np.ndarray):
-    """Which pairs of rows, whose lists of keys begin at row ``low``, also share a key below ``key``."""
+def _met_before(own: pa.Array, key: int, i: np.ndarray, j: np.ndarray):
+    """Which pairs of rows of ``own``, lists of keys, also share a key below ``key``."""
     flat = own.flatten().to_numpy()
     row = np.repeat(np.arange(len(own)), np.asarray(own.value_lengths()))
     row, flat = row[flat < key], flat[flat < key]
@@ -448,7 +486,7 @@ def _met_before(own: pa.Array, low: int, key: int, i: np.ndarray, j: np.ndarray)
     met = np.zeros(len(i), bool)
     for start in range(0, len(i), 100_000):
         part = slice(start, start + 100_000)
-        met[part] = (held[i[part] - low] & held[j[part] - low]).any(axis=1)
+        met[part] = (held[i[part]] & held[j[part]]).any(axis=1)
     return met
 
 
@@ -457,12 +495,18 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
 
     Of the components of a key all but the largest are minor, and only their members are compared
     with the others, so a large group of linked copies is not compared with itself. Members and
-    minor ones are cut into blocks, and a group is a block of each. A pair that shares several keys is
-    looked at under the smallest. Keys go to a bin by the smallest hash of their classes, so keys with
+    minor ones are cut into a few blocks, and a spot is a block of each; a row goes to a spot for every
+    block of the other side, so the rows grow with the members. A spot is compared by parts of
+    ``GROUP``. A pair that shares several keys is looked at under the smallest. Keys go to a bin by the smallest hash of their classes, so keys with
     much the same classes meet there and a class sends its vector to few bins, once to each. Returns
     ``(bin, classes, left, right)``: a row per bin with the pairs as places in its list of classes.
     """
     bins = max(48, 4 * size // TREE_ROWS)
+
+    def cut(members):
+        few = F.least(F.ceil(members / GROUP), F.lit(GRID))
+        return F.greatest(few, F.ceil(members / BLOCK)).cast("int")
+
     tally = marked.groupBy("key", "label").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("class")).alias("home")
     )
@@ -480,8 +524,8 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         "class",
         "label",
         (F.col("label") != F.col("major")).alias("minor"),
-        F.ceil(F.col("size") / GROUP).cast("int").alias("blocks"),
-        F.ceil((F.col("size") - F.col("most")) / GROUP).cast("int").alias("minor_blocks"),
+        cut(F.col("size")).alias("blocks"),
+        cut(F.col("size") - F.col("most")).alias("minor_blocks"),
         "home",
     )
 
@@ -516,6 +560,10 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
         "home", "member", "n", "vector", "keys"
     )
 
+    def parts(rows, size):
+        rows = rows[np.argsort(size, kind="stable")]
+        return [rows[low : low + GROUP] for low in range(0, len(rows), GROUP)]
+
     def work(table: pa.Table, held: pa.Table) -> pa.Table:
         spot = table["spot"].to_numpy()
         order = np.argsort(spot, kind="stable")
@@ -535,14 +583,15 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
             left, right = rows[asks[rows]], rows[~asks[rows]]
             if not len(left) or not len(right):
                 continue
-            trees = (RTree(vectors[place[x]], sizes[place[x]]) for x in (left, right))
-            i, j = join(*trees, PERCENT)
-            i, j = left[i], right[j]
-            apart = label[i] != label[j]
-            own = keys.take(pa.array(place[low:high]))
-            apart[apart] = ~_met_before(own, low, key[low], i[apart], j[apart])
-            for column, values in zip(out, (place[i[apart]], place[j[apart]])):
-                column.append(values)
+            for left, right in product(parts(left, sizes[place[left]]), parts(right, sizes[place[right]])):
+                trees = (RTree(vectors[place[x]], sizes[place[x]]) for x in (left, right))
+                i, j = join(*trees, PERCENT)
+                apart = label[left[i]] != label[right[j]]
+                i, j = i[apart], j[apart]
+                own = keys.take(pa.array(place[np.concatenate([left, right])]))
+                new = ~_met_before(own, key[low], i, len(left) + j)
+                for column, values in zip(out, (place[left[i[new]]], place[right[j[new]]])):
+                    column.append(values)
         empty = np.zeros(0, np.int64)
         a, b = (np.concatenate([empty, *x]) for x in out)
         # Each pair once, as the places of its classes among those that have pairs here.
@@ -637,7 +686,9 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
             break
         last = number == ROUNDS or (before is not None and size > LEFT_OPEN * before)
         if last:
-            pairs = materialize(_rest(marked, sets, size), "jaccard-rest")
+            needed_keys = materialize(_cheapest(marked, sizes), "jaccard-needed")
+            size = needed_keys.count()
+            pairs = materialize(_rest(needed_keys, sets, size), "jaccard-rest")
             similar = _verified_together(pairs, sets)
         else:
             pairs = materialize(_bounded(_led(marked, number), sets), "jaccard-led")

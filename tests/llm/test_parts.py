@@ -212,3 +212,32 @@ def test_rounds_of_leaders_end_early(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "LEFT_OPEN", share)
         found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs).collect()}
         assert found == want
+
+
+def test_groups_of_copies_below_the_threshold_move_rows_in_proportion(spark, monkeypatch):
+    """Many copies that share words with each other and are not similar; a few of them are."""
+    monkeypatch.setattr(jaccard, "GROUP", 4)
+    moved = {}
+
+    def counted(rows, name, write=jaccard.materialize):
+        written = write(rows, name)
+        if name in ("jaccard-open", "jaccard-dealt"):
+            moved[name] = written.count()
+        return written
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rng = random.Random(4)
+    body = [f"w{i}" for i in range(60)]
+    texts = []
+    for number in range(150):
+        copy = [f"n{number}x{i}" if rng.random() < 0.12 else word for i, word in enumerate(body)]
+        texts.append(" ".join(copy))
+        if number % 20 == 0:
+            texts.append(" ".join([*copy[:-1], "end"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    numbers = brute.jaccard_components(texts)
+    least = {n: min(i for i, m in enumerate(numbers) if m == n) for n in set(numbers)}
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs).collect()}
+    assert found == {i: least[n] for i, n in enumerate(numbers)}
+    assert len(least) > len(texts) / 2
+    assert moved["jaccard-dealt"] < moved["jaccard-open"]
