@@ -80,23 +80,21 @@ def source_columns(spark: SparkSession, path: str) -> DataFrame:
 def ingest(spark: SparkSession, path: str) -> DataFrame:
     """Canonical cases with a dense ``ingest_pos`` in file order.
 
-    Later stages read columns, so the CSV is parsed once. Positions need only the row counts of
-    the splits; no row is moved for them.
+    Positions need only the row counts of the splits, which are counted without parsing a cell; no row is
+    moved for them, and the cells are parsed where the result is read.
     """
     source = read_source(spark, path)
     absent = [name for name in SOURCE_COLUMNS if name not in source.columns]
     if absent:
         raise ValueError(f"source lacks columns: {absent}")
-    parsed = materialize(
-        source.select(
-            *[missing_to_null(F.col(f"`{old}`")).alias(new) for old, new in SOURCE_COLUMNS.items()],
-            F.col("__split").alias("split"),
-            F.col("__row").alias("row"),
-        ),
-        "parsed-source",
+    parsed = source.select(
+        *[missing_to_null(F.col(f"`{old}`")).alias(new) for old, new in SOURCE_COLUMNS.items()],
+        F.col("__split").alias("split"),
+        F.col("__row").alias("row"),
     )
-    offsets = part_offsets(parsed, F.col("split"), F.lit(1))
-    placed = parsed.join(offsets, parsed["split"] == offsets["part"]).select(
+    # At most one row per split of the input.
+    offsets = F.broadcast(materialize(part_offsets(source, F.col("__split"), F.lit(1)), "split-offsets"))
+    placed = parsed.join(offsets, F.col("split") == F.col("part")).select(
         "case_id",
         parse_day(F.col("received")).alias("received"),
         "product",

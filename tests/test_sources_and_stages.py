@@ -156,6 +156,20 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert [r["ingest_pos"] for r in found] == [0, 1]
 
 
+def test_no_row_is_moved_for_its_position(spark, tmp_path):
+    head = "Complaint ID,Date received,Product,Issue,Consumer complaint narrative\n"
+    (tmp_path / "1.csv").write_text(head + "".join(f"{i},2024-01-02,p,i,text {i}\n" for i in range(50)))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = case_source.ingest(spark, str(tmp_path / "*.csv"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert sorted((r["ingest_pos"], r["text"]) for r in found.collect()) == [(i, f"text {i}") for i in range(50)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_content_follows_the_files(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
