@@ -757,9 +757,26 @@ def _class_column(texts: pa.Array) -> list:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, and all without words.
 
-    Of repeated rows with that id and the same words one stays. The columns stay as they are.
+    Of repeated rows with that id and the same words one stays. The columns stay as they are. A row
+    with an id of its own is known by it; only the others have their texts read once more.
     """
-    groups = cluster(docs).where(F.col("class").isNotNull())
+    found = materialize(cluster(docs), "jaccard-rows")
+    known_by_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    groups = found.where(F.col("class").isNotNull())
+    several = found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_or(F.col("class").isNull() | known_by_id).alias("stays"),
+    )
+    several = materialize(several, "jaccard-ids").withColumnRenamed("doc_id", "own")
+    alone = several.where((F.col("rows") == 1) & F.col("stays"))
+    own = F.col("doc_id").eqNullSafe(F.col("own"))
+    kept = docs.join(alone.select("own"), own, "left_semi")
+    repeated_ids = several.where(F.col("rows") > 1).select("own")
+    return kept.unionByName(_one_of_repeated(docs.join(repeated_ids, own, "left_semi"), groups))
+
+
+def _one_of_repeated(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of rows that share their ids those that :func:`keep_one` keeps."""
     kept = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("label", "component_id")

@@ -241,3 +241,19 @@ def test_groups_of_copies_below_the_threshold_move_rows_in_proportion(spark, mon
     assert found == {i: least[n] for i, n in enumerate(numbers)}
     assert len(least) > len(texts) / 2
     assert moved["jaccard-dealt"] < moved["jaccard-open"]
+
+
+def test_only_texts_of_repeated_ids_are_read_again(spark, monkeypatch):
+    asked = []
+
+    def append(rows, *args, add=jaccard.frames.append, **named):
+        asked.append(rows.count())
+        return add(rows, *args, **named)
+
+    monkeypatch.setattr(jaccard.frames, "append", append)
+    rows = [(i, f"some words of text number {i} and no other") for i in range(6)]
+    rows += [(6, rows[0][1]), (7, None), (5, "another text under a repeated id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, jaccard.keep_one(docs).collect()), key=str)
+    assert kept == sorted([*rows[:6], *rows[7:]], key=str)
+    assert asked == [2]
