@@ -207,6 +207,6 @@ def mark(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they are."""
-    renamed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    marked = mark(renamed, benchmark, keep=["row"])
-    return marked.where(~F.col("contaminated")).select("row.*")
+    rows = frames.numbered(docs)
+    marked = mark(rows, benchmark, rows.columns[docs.columns.index("text")])
+    return marked.where(~F.col("contaminated")).select(*rows.columns).toDF(*docs.columns)

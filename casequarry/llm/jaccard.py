@@ -782,18 +782,13 @@ def _one_of_repeated(docs: DataFrame, groups: DataFrame) -> DataFrame:
         .groupBy("label", "component_id")
         .agg(F.min("class").alias("chosen"), F.count(F.lit(1)).alias("rows"))
     )
-    renamed = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.col("doc_id").alias("id"),
-        F.col("text").alias("text"),
-    )
+    rows = frames.numbered(docs)
+    own, text = (rows.columns[docs.columns.index(c)] for c in ("doc_id", "text"))
     field = T.StructType([T.StructField("class", T.LongType())])
-    marked = frames.append(
-        renamed, field, lambda batch: [_class_column(batch.column("text"))], keep=["row", "id"]
-    )
-    blank = marked.where(F.col("class").isNull()).select("row.*")
-    same = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("class") == F.col("chosen"))
+    marked = frames.append(rows, field, lambda batch: [_class_column(batch.column(text))], text)
+    blank = marked.where(F.col("class").isNull()).select(*rows.columns)
+    same = F.col(own).eqNullSafe(F.col("component_id")) & (F.col("class") == F.col("chosen"))
     chosen = marked.join(kept, same)
-    single = chosen.where(F.col("rows") == 1).select("row.*")
-    repeated = chosen.where(F.col("rows") > 1).dropDuplicates(["id", "class"]).select("row.*")
-    return blank.unionByName(single).unionByName(repeated)
+    single = chosen.where(F.col("rows") == 1).select(*rows.columns)
+    repeated = chosen.where(F.col("rows") > 1).dropDuplicates([own, "class"]).select(*rows.columns)
+    return blank.unionByName(single).unionByName(repeated).toDF(*docs.columns)

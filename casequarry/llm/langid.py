@@ -218,6 +218,7 @@ def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
     A declared language that differs from the identified one is no reason to drop a document.
     """
     model = fit(docs.where(~held_out))
-    renamed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    rows = frames.numbered(docs)
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return predict(renamed, model, keep=["row"]).where(known).select("row.*")
+    kept = predict(rows, model, rows.columns[docs.columns.index("text")]).where(known)
+    return kept.select(*rows.columns).toDF(*docs.columns)

@@ -6,6 +6,7 @@ ngram_jaccard  one document of each group of near duplicates stays
 decontaminate  documents with too much of a benchmark go
 mix_sources    words are taken from each source up to its target
 
+The stages that run Python bound the bytes of the session's Arrow batches, if nothing else does.
 Every stage works on all rows its predecessor kept; all but the last return the columns of
 ``documents``, with other columns of the table as they are. The last adds ``size, source_size, target,
 taken`` and leaves out documents of which nothing is taken. SQL cannot express the learned, random
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casequarry.llm import decontaminate, jaccard, langid, lines, mixing
-from casequarry.llm.frames import fold
+from casequarry.llm.frames import bound_batches, fold
 from casequarry.storage import materialize
 
 ORACLE_SQL = None
@@ -26,6 +27,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns as the query of language identification does; a text of a learned language stays."""
+    bound_batches(spark)
     return langid.keep_identified(docs, fold(F.col("doc_id"), 4) == 2)
 
 
@@ -39,10 +41,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return decontaminate.keep_clean(docs, benchmark)
 

@@ -8,8 +8,20 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-
-from casequarry.llm import count_rtree, decontaminate, jaccard, lsh_forest, pii, tokens, warc
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from casequarry.llm import (
+    count_rtree,
+    decontaminate,
+    frames,
+    jaccard,
+    langid,
+    lsh_forest,
+    pii,
+    tokens,
+    warc,
+)
 from casequarry.llm.count_rtree import RTree, count_vector, join
 from casequarry.llm.fm_index import FmIndex, suffix_order
 
@@ -257,3 +269,53 @@ def test_only_texts_of_repeated_ids_are_read_again(spark, monkeypatch):
     kept = sorted(map(tuple, jaccard.keep_one(docs).collect()), key=str)
     assert kept == sorted([*rows[:6], *rows[7:]], key=str)
     assert asked == [2]
+
+
+def _sent_to_python(plan):
+    """Names and types of what the passes of a plan send to Python."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if plan.nodeName() == "MapInArrow":
+        yield children[0].schema().simpleString()
+    for child in children:
+        yield from _sent_to_python(child)
+
+
+@pytest.mark.parametrize("step", ["language", "classes", "benchmark"])
+def test_rows_take_their_text_to_python_once(spark, step):
+    rows = [(i, f"the cat and number {i} of the dogs sat there", "en", i % 3) for i in range(8)]
+    # Columns named as those of the results, and ids that several rows have.
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, lang string, score long")
+    if step == "language":
+        kept = langid.keep_identified(docs, F.lit(False))
+    elif step == "classes":
+        kept = jaccard.keep_one(docs)
+    else:
+        items = spark.createDataFrame([("a", "nothing of it")], "item_id string, text string")
+        kept = decontaminate.keep_clean(docs, items)
+    sent = list(_sent_to_python(kept._jdf.queryExecution().optimizedPlan()))
+    assert sent and all(x.count("string") == 2 for x in sent), sent
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    want = rows if step == "classes" else rows + rows[:2]
+    assert sorted(map(tuple, kept.collect())) == sorted(want)
+
+
+def test_stages_bound_the_bytes_of_batches_unless_the_session_does(spark, tmp_path):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    items = spark.createDataFrame([("a", "nothing of it")], "item_id string, text string")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.ngram_jaccard, corpus_pipeline.decontaminated):
+        session = spark.newSession()
+        docs = session.range(6_000, numPartitions=1).selectExpr(
+            "id as doc_id", "repeat('some words ', 200) as text", "'en' as lang"
+        )
+        stage(session, docs.limit(3), str(tmp_path))
+        found = [r["bytes"] for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert len(found) > 1 and max(found) <= frames.BATCH_BYTES + 3_000
+    session = spark.newSession()
+    session.conf.set(limit, "1m")
+    frames.bound_batches(session)
+    assert session.conf.get(limit) == "1m"
