@@ -758,7 +758,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, and all without words.
 
     Of repeated rows with that id and the same words one stays. The columns stay as they are. A row
-    with an id of its own is known by it; only the others have their texts read once more.
+    with an id of its own is known by it; only the others have their texts read once more. Rows are
+    left out by the ids that do not simply stay, the smaller list where most rows stay: while Spark
+    broadcasts it, no text is shuffled.
     """
     found = materialize(cluster(docs), "jaccard-rows")
     known_by_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -767,11 +769,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.bool_or(F.col("class").isNull() | known_by_id).alias("stays"),
     )
-    several = materialize(several, "jaccard-ids").withColumnRenamed("doc_id", "own")
-    alone = several.where((F.col("rows") == 1) & F.col("stays"))
+    others = several.where((F.col("rows") > 1) | ~F.col("stays")).withColumnRenamed("doc_id", "own")
+    others = materialize(others, "jaccard-other-ids")
     own = F.col("doc_id").eqNullSafe(F.col("own"))
-    kept = docs.join(alone.select("own"), own, "left_semi")
-    repeated_ids = several.where(F.col("rows") > 1).select("own")
+    kept = docs.join(others.select("own"), own, "left_anti")
+    repeated_ids = others.where(F.col("rows") > 1).select("own")
     return kept.unionByName(_one_of_repeated(docs.join(repeated_ids, own, "left_semi"), groups))
 
 

@@ -271,6 +271,24 @@ def test_only_texts_of_repeated_ids_are_read_again(spark, monkeypatch):
     assert asked == [2]
 
 
+def test_rows_are_left_out_by_the_ids_that_do_not_stay(spark, monkeypatch):
+    lists = {}
+
+    def materialize(df, name, *args, write=jaccard.materialize):
+        out = write(df, name, *args)
+        lists[name] = out
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", materialize)
+    rows = [(i, f"some words of text number {i} and no other") for i in range(40)]
+    rows += [(50, rows[3][1]), (51, None), (None, rows[4][1]), (7, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.keep_one(docs).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([*rows[:40], rows[41]], key=str)
+    joined = [t for t in lists.values() if "own" in t.columns]
+    assert [sorted((r["own"] for r in t.collect()), key=str) for t in joined] == [[50, 7, None]]
+
+
 def _sent_to_python(plan):
     """Names and types of what the passes of a plan send to Python."""
     children = [plan.children().apply(i) for i in range(plan.children().size())]
