@@ -56,7 +56,9 @@ def components(edges: DataFrame) -> DataFrame:
     current, state = _written(edges.where(F.col("a") != F.col("b")).select(high, low).distinct())
     while state[0]:
         before = state
-        current, state = _written(_small_star(_large_star(current)))
+        # Written between the stars, as the second reads it several times and each has a small plan.
+        hung = materialize(_large_star(current), "component-stars")
+        current, state = _written(_small_star(hung))
         if state == before:
             break
     roots = current.select(F.col("low").alias("node"), F.col("low").alias("label")).distinct()

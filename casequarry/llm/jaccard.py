@@ -43,7 +43,7 @@ PERCENT = 75
 ROUNDS, LEFT_OPEN = 5, 0.9
 # Slots in which shingle frequencies are counted; they only choose the common order.
 SLOT_BITS = 20
-SLOT_BLOCKS = 16
+SLOT_BLOCKS = 64
 # Shingles that the prefixes of a pair share, unless its sets are too small.
 SHARED = 32
 # Of them so many are not counted on: shingles of one class may be one key, as keys have 32 bits in a bucket.
@@ -156,7 +156,10 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _levels(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Level of every slot (how many doublings above the mean), and which slots are frequent."""
+    """Level of every slot (how many doublings above the mean), and which slots are frequent.
+
+    The driver holds the sums once, as 32-bit numbers, and works on a block of them at a time.
+    """
 
     def add_up(batches):
         totals: dict[int, np.ndarray] = {}
@@ -165,6 +168,7 @@ def _levels(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 values = np.frombuffer(part.as_buffer(), np.uint16).astype(np.int64)
                 totals[block] = totals[block] + values if block in totals else values
         for block, values in totals.items():
+            values = np.minimum(values, 0xFFFFFFFF).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())],
                 names=["block", "slots"],
@@ -172,14 +176,16 @@ def _levels(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     parts = table.where(F.col("block").isNotNull()).select("block", "slots")
     found = parts.repartition("block").mapInArrow(add_up, "block int, slots binary").collect()
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
-    width = len(counts) // SLOT_BLOCKS
-    for row in found:
-        low = row["block"] * width
-        counts[low : low + width] = np.frombuffer(row["slots"], np.int64)
-    mean = max(1.0, counts.mean())
-    level = np.floor(np.log2(np.maximum(counts / mean, 1))).astype(np.uint8)
-    return level, counts > FREQUENT_TIMES * mean + FREQUENT_LEAST
+    blocks = {row["block"]: np.frombuffer(row["slots"], np.uint32) for row in found}
+    total = sum(int(counts.sum(dtype=np.int64)) for counts in blocks.values())
+    mean = max(1.0, total / (1 << SLOT_BITS))
+    level, frequent = np.zeros(1 << SLOT_BITS, np.uint8), np.zeros(1 << SLOT_BITS, bool)
+    width = (1 << SLOT_BITS) // SLOT_BLOCKS
+    for block, counts in blocks.items():
+        own = slice(block * width, (block + 1) * width)
+        level[own] = np.floor(np.log2(np.maximum(counts / mean, 1)))
+        frequent[own] = counts > FREQUENT_TIMES * mean + FREQUENT_LEAST
+    return level, frequent
 
 
 def _postings(docs: DataFrame, text: str, shared, n_buckets: int) -> DataFrame:
@@ -452,8 +458,9 @@ def _cheapest(marked: DataFrame, sizes: DataFrame) -> DataFrame:
         .withColumn("behind", F.sum("weight").over(from_end))
         .join(sizes, "class")
         .where(F.col("behind") >= _counted_on(F.col("n")))
+        .select("key", "class", "label")
     )
-    return _open(left).select("key", "class", "label")
+    return _open(materialize(left, "jaccard-left")).select("key", "class", "label")
 
 
 def _led(marked: DataFrame, number: int) -> DataFrame:
@@ -530,28 +537,24 @@ def _rest(marked: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     )
 
     def one(blocks):
-        return F.pmod(F.xxhash64("class"), blocks).cast("int")
+        return F.array(F.pmod(F.xxhash64("class"), blocks).cast("int"))
 
     def every(blocks):
-        return F.explode(F.sequence(F.lit(0), blocks - 1))
-
-    def placed(chosen: DataFrame, asks: bool) -> DataFrame:
-        of_all, of_minor = (every, one) if asks else (one, every)
-        held = chosen.select("*", of_all(F.col("blocks")).alias("block"))
-        held = held.select("*", of_minor(F.col("minor_blocks")).alias("minor_block"))
-        spot = F.xxhash64("key", "block", "minor_block")
-        one_spot = (F.col("blocks") == 1) & (F.col("minor_blocks") == 1)
-        place = F.when(one_spot, F.col("home")).otherwise(spot)
-        return held.select(
-            "key",
-            "class",
-            "label",
-            spot.alias("spot"),
-            F.lit(asks).alias("asks"),
-            F.pmod(place, F.lit(bins)).alias("bin"),
-        )
-
-    dealt = placed(rows, False).unionByName(placed(rows.where("minor"), True))
+        return F.sequence(F.lit(0), blocks - 1)
+
+    # A minor row is there twice, as one that asks and as one of all members.
+    asks, blocks, minor_blocks = (F.col(c) for c in ("asks", "blocks", "minor_blocks"))
+    roles = F.when(F.col("minor"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    held = rows.select("*", F.explode(roles).alias("asks"))
+    of_all = F.when(asks, every(blocks)).otherwise(one(blocks))
+    of_minor = F.when(asks, one(minor_blocks)).otherwise(every(minor_blocks))
+    held = held.select("*", F.explode(of_all).alias("block"))
+    held = held.select("*", F.explode(of_minor).alias("minor_block"))
+    spot = F.xxhash64("key", "block", "minor_block")
+    place = F.when((blocks == 1) & (minor_blocks == 1), F.col("home")).otherwise(spot)
+    dealt = held.select(
+        "key", "class", "label", spot.alias("spot"), "asks", F.pmod(place, F.lit(bins)).alias("bin")
+    )
     dealt = materialize(dealt, "jaccard-dealt")
     keys = marked.groupBy("class").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     described = sets.select("class", "n", "vector").join(keys, "class")
@@ -669,6 +672,7 @@ def link(docs: DataFrame, text: str, table: DataFrame) -> DataFrame | None:
     shared = docs.sparkSession.sparkContext.broadcast(_levels(table))
     postings = _postings(docs, text, shared, n_buckets)
     keys = materialize(_shared_keys(postings, n_buckets), "jaccard-keys")
+    shared.destroy()
     # Shingles whose frequent buckets hold one class are no keys; the first pass drops them too.
     sizes = table.where(F.col("class").isNotNull()).select("class", "n").distinct()
     sizes = materialize(sizes.join(keys.select("class"), "class", "left_semi"), "jaccard-sizes")

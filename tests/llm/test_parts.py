@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from casequarry.llm import (
+    components,
     count_rtree,
     decontaminate,
     frames,
@@ -337,3 +338,51 @@ def test_stages_bound_the_bytes_of_batches_unless_the_session_does(spark, tmp_pa
     session.conf.set(limit, "1m")
     frames.bound_batches(session)
     assert session.conf.get(limit) == "1m"
+
+
+def test_jaccard_steps_have_small_plans_that_spare_the_driver(spark, monkeypatch, capsys):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(6):
+        text = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+        for _ in range(8):
+            text = [w if rng.random() > 0.01 else f"v{rng.randrange(10_000)}" for w in text]
+            texts.append(" ".join(text))
+    exchanges = {}
+
+    def planned(rows, name, *args, write=jaccard.materialize):
+        capsys.readouterr()
+        rows.explain()
+        n = capsys.readouterr().out.count("Exchange")
+        exchanges[name] = max(exchanges.get(name, 0), n)
+        return write(rows, name, *args)
+
+    for module in (jaccard, components):
+        monkeypatch.setattr(module, "materialize", planned)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.cluster(docs).collect()}
+    first = {}
+    for i, number in enumerate(brute.jaccard_components(texts)):
+        assert found[i] == first.setdefault(number, i)
+    assert exchanges["component-edges"] <= 6 and exchanges["jaccard-needed"] <= 6, exchanges
+    assert exchanges["jaccard-dealt"] <= 8, exchanges
+
+
+def test_jaccard_levels_hold_the_slots_once(spark):
+    import tracemalloc
+
+    texts = [" ".join(f"w{i % 5} x{i // 3}" for i in range(n)) for n in (9, 30, 200, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    table = jaccard.materialize(jaccard.profiles(docs), "levels")
+    tracemalloc.start()
+    try:
+        level, frequent = jaccard._levels(table)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counts = np.zeros(1 << jaccard.SLOT_BITS)
+    for members in jaccard.shingle_sets(pa.array(texts)):
+        np.add.at(counts, (members >> np.uint64(64 - jaccard.SLOT_BITS)).astype(np.int64), 1)
+    assert level.tolist() == np.floor(np.log2(np.maximum(counts, 1))).astype(int).tolist()
+    assert level.max() == 2 and not frequent.any()
+    assert most < 16 << 20, most
