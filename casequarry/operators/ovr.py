@@ -47,13 +47,14 @@ class OvrModel:
     intercepts: np.ndarray
 
 
-def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np.ndarray):
+def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np.ndarray, curved: bool = False):
     """Mean weighted log loss and its gradient, for several labels in one pass over the rows.
 
     ``rows`` are ``(x, class)``, packed. A label held by a share ``p`` of the rows weighs them ``1 / 2p``
-    and the others ``1 / 2(1 - p)``. The last weight of a label is its intercept.
+    and the others ``1 / 2(1 - p)``. The last weight of a label is its intercept. ``curved`` adds the
+    diagonal of the second derivative, from the same pass.
     """
-    terms = weights.shape[1] - 1
+    terms, n = weights.shape[1] - 1, len(classes)
     shared = rows.sparkSession.sparkContext.broadcast(
         (np.ascontiguousarray(weights.T), classes, 0.5 / share, 0.5 / (1.0 - share))
     )
@@ -61,31 +62,41 @@ def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np
     def add(batch, total):
         w, of, weight_in, weight_out = shared.value
         for x, classes in unpacked(batch):
+            offsets, indices, values = x
             inside = classes[:, None] == of
             sign = np.where(inside, 1.0, -1.0)
             weight = np.where(inside, weight_in, weight_out)
             margin = sign * (times(*x, w[:-1]) + w[-1])
-            pull = -sign * weight * np.exp(-np.logaddexp(0.0, margin))
-            add_transposed_times(total[:terms], *x, pull)
-            total[terms] += pull.sum(axis=0)
-            total[terms + 1] += (weight * np.logaddexp(0.0, -margin)).sum(axis=0)
-
-    total = sum_over_tasks(rows, add, (terms + 2, len(classes)))
+            wrong = np.exp(-np.logaddexp(0.0, margin))
+            pull = -sign * weight * wrong
+            add_transposed_times(total[:terms, :n], *x, pull)
+            total[terms, :n] += pull.sum(axis=0)
+            total[terms + 1, :n] += (weight * np.logaddexp(0.0, -margin)).sum(axis=0)
+            if curved:
+                bend = weight * wrong * (1.0 - wrong)
+                add_transposed_times(total[:terms, n:], offsets, indices, values * values, bend)
+                total[terms, n:] += bend.sum(axis=0)
+
+    total = sum_over_tasks(rows, add, (terms + 2, 2 * n if curved else n))
     shared.destroy()
-    return total[-1], total[:-1].T
+    return (total[-1, :n], *total[:-1].T.reshape(-1, n, terms + 1))
+
 
+def _direction(gradient: np.ndarray, curvature: np.ndarray, steps: list, changes: list) -> np.ndarray:
+    """Limited-memory quasi-Newton direction from past steps and gradient changes.
 
-def _direction(gradient: np.ndarray, steps: list, changes: list) -> np.ndarray:
-    """Limited-memory quasi-Newton direction from past steps and gradient changes."""
+    It starts from the diagonal ``curvature`` of the second derivative. That of a frequent term grows with the
+    rows while that of a rare one is little more than the penalty; without it the steps needed grow too.
+    """
     d = -gradient
-    if not steps:
-        return d / max(np.linalg.norm(gradient), 1e-300)
     kept = []
     for s, y in zip(reversed(steps), reversed(changes)):
         a = (s @ d) / (s @ y)
         kept.append(a)
         d = d - a * y
-    d = d * (steps[-1] @ changes[-1]) / (changes[-1] @ changes[-1])
+    d = d / curvature
+    if steps:
+        d = d * (steps[-1] @ changes[-1]) / (changes[-1] @ (changes[-1] / curvature))
     for s, y, a in zip(steps, changes, reversed(kept)):
         d = d + (a - (y @ d) / (s @ y)) * s
     return d
@@ -96,25 +107,26 @@ def _fit_group(rows: DataFrame, n: int, classes: np.ndarray, share: np.ndarray,
     penalty = 1.0 / (config.c * n)
 
     def evaluate(which: np.ndarray, at: np.ndarray):
-        loss, gradient = _losses(rows, classes[which], share[which], at)
+        loss, gradient, curvature = _losses(rows, classes[which], share[which], at, curved=True)
         return (
             loss / n + 0.5 * penalty * (at * at).sum(axis=1),
             gradient / n + penalty * at,
+            curvature / n + penalty,
         )
 
     everyone = np.arange(len(classes))
     w = np.zeros((len(classes), terms + 1))
-    value, gradient = evaluate(everyone, w)
+    value, gradient, curvature = evaluate(everyone, w)
     goal = config.tol * np.maximum(np.minimum(share, 1.0 - share), 1.0 / n)
     goal = goal * np.linalg.norm(gradient, axis=1)
     past: list[tuple[list, list]] = [([], []) for _ in everyone]
-    direction = np.array([_direction(g, [], []) for g in gradient])
+    direction = np.array([_direction(g, c, [], []) for g, c in zip(gradient, curvature)])
     step = np.ones(len(classes))
     accepted = np.zeros(len(classes), dtype=int)
     open_ = everyone[np.linalg.norm(gradient, axis=1) > goal]
     while len(open_):
         trial = w[open_] + step[open_, None] * direction[open_]
-        new_value, new_gradient = evaluate(open_, trial)
+        new_value, new_gradient, new_curvature = evaluate(open_, trial)
         going = []
         for i, k in enumerate(open_):
             slope = gradient[k] @ direction[k]
@@ -129,10 +141,10 @@ def _fit_group(rows: DataFrame, n: int, classes: np.ndarray, share: np.ndarray,
                 steps.append(s)
                 changes.append(y)
                 del steps[:-HISTORY], changes[:-HISTORY]
-            w[k], value[k], gradient[k] = trial[i], new_value[i], new_gradient[i]
+            w[k], value[k], gradient[k], curvature[k] = trial[i], new_value[i], new_gradient[i], new_curvature[i]
             accepted[k] += 1
             if np.linalg.norm(gradient[k]) > goal[k] and accepted[k] < config.max_iter:
-                direction[k], step[k] = _direction(gradient[k], steps, changes), 1.0
+                direction[k], step[k] = _direction(gradient[k], curvature[k], steps, changes), 1.0
                 going.append(k)
         open_ = np.array(going, dtype=int)
     return w
@@ -171,7 +183,7 @@ def fit(
     names = F.array(*[F.lit(name) for name in labels])
     rows = _numbered(train, names, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     share = np.array([counts[name] / n for name in labels])
-    group = max(1, FIT_BYTES // (8 * (terms + 1) * (2 * HISTORY + 6)))
+    group = max(1, FIT_BYTES // (8 * (terms + 1) * (2 * HISTORY + 10)))
     try:
         fitted = []
         for low in range(0, len(targets), group):
