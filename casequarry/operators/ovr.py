@@ -62,7 +62,7 @@ def _losses(rows: DataFrame, classes: np.ndarray, share: np.ndarray, weights: np
     def add(batch, total):
         w, of, weight_in, weight_out = shared.value
         for x, classes in unpacked(batch):
-            offsets, indices, values = x
+            offsets, indices, values = x = x[0], x[1].astype(np.int64), x[2]
             inside = classes[:, None] == of
             sign = np.where(inside, 1.0, -1.0)
             weight = np.where(inside, weight_in, weight_out)

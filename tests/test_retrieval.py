@@ -226,3 +226,17 @@ def test_search_of_all_cells_meets_blocks_and_not_cells(spark):
     hits = ivf.search(index, asked(df), known, index.n_cells).collect()
     exact = brute_force(rows, index.config.topk)
     assert {(r["query_pos"], r["rank"]): r["hit_pos"] for r in hits} == {at: hit for at, (_, hit, _) in exact.items()}
+
+
+def test_blocks_are_compared_without_an_object_per_vector(spark, monkeypatch):
+    """Every vector of a block became a Python object; queries that share a tile still leave out their own ids."""
+    monkeypatch.setattr(ivf, "QUERIES_AT_ONCE", 7)
+    rows = vectors()
+    df = frame(spark, rows)
+    index = ivf.build_index(select_split(df, "train"))
+    found = ivf.candidates(index, asked(df), index.n_cells)
+    assert "FlatMapCoGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    known = select_split(df, "train").select("pos", "case_id")
+    hits = ivf.search(index, asked(df), known, index.n_cells).collect()
+    exact = brute_force(rows, index.config.topk)
+    assert {(r["query_pos"], r["rank"]): r["hit_pos"] for r in hits} == {at: hit for at, (_, hit, _) in exact.items()}
